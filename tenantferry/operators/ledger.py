@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tenantferry.files import exists
+from tenantferry.session import metadata_rows
 
 KEY = ["tenant", "table_name", "start_pk", "end_pk"]
 SCHEMA = "tenant string, table_name string, start_pk bigint, end_pk bigint, n_rows bigint"
@@ -13,7 +14,7 @@ SCHEMA = "tenant string, table_name string, start_pk bigint, end_pk bigint, n_ro
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     if not exists(spark, path):
-        return spark.createDataFrame([], SCHEMA)
+        return metadata_rows(spark, [], SCHEMA)
     return spark.read.schema(SCHEMA).parquet(path)
 
 

@@ -13,7 +13,7 @@ from tenantferry.operators.keyed_target import BEFORE_ALL, KeyedTarget
 from tenantferry.operators.parity import compare_chunks
 from tenantferry.operators.stats import union_all
 from tenantferry.plans.planning import Plan
-from tenantferry.session import materialise
+from tenantferry.session import materialise, metadata_rows
 
 
 def pending_rows(source: DataFrame, spec, widths: DataFrame, pending: DataFrame | None) -> DataFrame:
@@ -69,4 +69,4 @@ def migrate(
 
 
 def _no_counts(spark):
-    return spark.createDataFrame([], "tenant string, table_name string, start_pk bigint, n bigint")
+    return metadata_rows(spark, [], "tenant string, table_name string, start_pk bigint, n bigint")

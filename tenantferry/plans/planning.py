@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tenantferry.operators.chunks import BLOCK, explode_chunks
 from tenantferry.operators.stats import slice_stats, union_all, with_widths
-from tenantferry.session import materialise
+from tenantferry.session import materialise, metadata_rows
 from tenantferry.sources.catalog import catalog_of, key_check, primary_keys, tenant_tables
 from tenantferry.specs import TableSpec
 
@@ -80,7 +80,7 @@ def plan(
     if chunkable:
         stats = union_all(slice_stats(tables[s.name], s) for s in chunkable)
     else:
-        stats = spark.createDataFrame([], STATS)
+        stats = metadata_rows(spark, [], STATS)
     if tenants is not None:
         tenants = tenants.select("tenant").distinct()
         stats = stats.join(tenants, "tenant", "left_semi")

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import json
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -60,3 +63,13 @@ def materialise(df: DataFrame, label: str = "stage") -> DataFrame:
     path = scratch(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def metadata_rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A small frame of metadata as one literal.
+
+    Unlike a parallelised list it needs no Python worker, and the optimizer knows that it is small.
+    """
+    fields = T.StructType.fromDDL(schema)
+    text = json.dumps([dict(zip(fields.fieldNames(), r)) for r in rows])
+    return spark.range(1).select(F.inline(F.from_json(F.lit(text), T.ArrayType(fields))))

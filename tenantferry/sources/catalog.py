@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tenantferry.session import metadata_rows
 from tenantferry.specs import TableSpec
 
 # fixed values: key types that can be cut into ranges
@@ -44,9 +45,9 @@ def catalog_of(spark: SparkSession, specs: Iterable[TableSpec]) -> Catalog:
     ]
     keys = [(s.database, s.name, c, i) for s in specs for i, c in enumerate(s.pk, 1)]
     return Catalog(
-        spark.createDataFrame(tables, TABLES),
-        spark.createDataFrame(columns, COLUMNS),
-        spark.createDataFrame(keys, KEYS),
+        metadata_rows(spark, tables, TABLES),
+        metadata_rows(spark, columns, COLUMNS),
+        metadata_rows(spark, keys, KEYS),
     )
 
 
@@ -66,9 +67,9 @@ def catalog_of_session(spark: SparkSession, database: str, pks: dict[str, list[s
         ]
     keys = [(database, t, c, i) for t, pk in pks.items() for i, c in enumerate(pk, 1)]
     return Catalog(
-        spark.createDataFrame(tables, TABLES),
-        spark.createDataFrame(columns, COLUMNS),
-        spark.createDataFrame(keys, KEYS),
+        metadata_rows(spark, tables, TABLES),
+        metadata_rows(spark, columns, COLUMNS),
+        metadata_rows(spark, keys, KEYS),
     )
 
 
