@@ -10,8 +10,8 @@ from tenantferry.specs import TableSpec
 
 
 def xor_of_crc32(text: Column) -> Column:
-    """XOR fold of CRC32 over row texts; 0 for no rows."""
-    return F.coalesce(F.bit_xor(F.crc32(F.encode(text, "UTF-8"))), F.lit(0).cast("bigint"))
+    """XOR fold of CRC32 over the UTF-8 bytes of row texts; 0 for no rows."""
+    return F.coalesce(F.bit_xor(F.crc32(text.cast("binary"))), F.lit(0).cast("bigint"))
 
 
 def compat_checksum(spec: TableSpec) -> Column:

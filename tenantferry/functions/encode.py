@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,12 +12,20 @@ NULL_TEXT = "NULL"
 SEPARATOR = "|"
 
 
+# fixed values: names of the time zone without gaps
+UTC = ("UTC", "Etc/UTC", "GMT", "Z", "+00:00")
+
+
 def _datetime_text(c: Column, digits: int) -> Column:
     """``yyyy-MM-dd HH:mm:ss`` plus a fixed number of fraction digits (0 to 6)."""
-    # the plain cast drops trailing zeros of the fraction, so pad it back
+    session = SparkSession.getActiveSession()
+    if session and session.conf.get("spark.sql.session.timeZone") in UTC:
+        return F.date_format(c, "yyyy-MM-dd HH:mm:ss" + ("." + "S" * digits if digits else ""))
+    # date_format would shift zone-less times that the session's zone skips; this does not, but is
+    # slower: the cast drops trailing zeros of the fraction, and its point if nothing is left of it
     text = c.cast("string")
-    padded = F.rpad(F.when(F.length(text) == 19, F.concat(text, F.lit("."))).otherwise(text), 26, "0")
-    return F.substring(padded, 1, 20 + digits if digits else 19)
+    fixed = F.overlay(F.rpad(text, 26, "0"), F.lit("."), 20, 1)
+    return F.substring(fixed, 1, 20 + digits if digits else 19)
 
 
 def column_text(spec: TableSpec, name: str) -> Column:

@@ -77,9 +77,8 @@ class KeyedTarget:
         for spec in self.specs.values():
             for c in self.keys(spec):
                 users.setdefault(c, []).append(spec.name)
-        return [F.col("table_name")] + [
-            F.when(F.col("table_name").isin(names), F.col(c)) for c, names in users.items()
-        ]
+        masked = [F.when(F.col("table_name").isin(names), F.col(c)) for c, names in users.items()]
+        return [*masked, F.col("table_name")]
 
     # -- reading ----------------------------------------------------------------------------
 

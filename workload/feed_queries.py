@@ -108,33 +108,37 @@ def _(spark, sf):
 
 @query("agg10_latest_change", f"select table_name, op as _op, {POS}, {COLS} from {w.latest_sql()}")
 def _(spark, sf):
-    return _flat(merge.latest_per_key(_changes(spark, sf), ["table_name", "id"]))
+    return _flat(merge.latest_per_key(_changes(spark, sf), ["id", "table_name"]))
 
 
 @query("agg10_latest_change_one_tenant", f"select table_name, op as _op, {POS}, {COLS} from {w.latest_sql(chr(39).join(['account_id = ', 'acc_2', '']))}")
 def _(spark, sf):
-    return _flat(merge.latest_per_key(_changes(spark, sf, ["acc_2"]), ["table_name", "id"]))
+    return _flat(merge.latest_per_key(_changes(spark, sf, ["acc_2"]), ["id", "table_name"]))
 
 
 # -- start positions --------------------------------------------------------------------------------
 
 DUMP = "event_id // 1000"
-# a dump says its coordinate in one of two ways; a line without a position must be passed over
-COORD_LINE = (
-    "case when event_id % 50 = 7 then '-- CHANGE MASTER TO MASTER_LOG_FILE=''bin.{f}'';' "
-    "when event_id % 50 = 9 then '-- CHANGE MASTER TO MASTER_LOG_FILE=''bin.{f}'', MASTER_LOG_POS={p};' "
-    "when event_id % 50 = 12 then '  CHANGE REPLICATION SOURCE TO SOURCE_LOG_FILE = ''bin.{f}'', SOURCE_LOG_POS = {p};' "
-    "else 'INSERT INTO t VALUES ({p})' end"
-)
+
+
+def _dump_line():
+    """A dump says its coordinate in one of two ways; a line without a position is passed over."""
+    kind, pos = F.col("event_id") % 50, F.col("event_id").cast("string")
+    name = F.concat(F.lit("'bin."), F.col("user_id").cast("string"), F.lit("'"))
+    old = F.concat(F.lit("-- CHANGE MASTER TO MASTER_LOG_FILE="), name)
+    new = F.concat(F.lit("  CHANGE REPLICATION SOURCE TO SOURCE_LOG_FILE = "), name, F.lit(", SOURCE_LOG_POS = "), pos, F.lit(";"))
+    return (
+        F.when(kind == 7, F.concat(old, F.lit(";")))
+        .when(kind == 9, F.concat(old, F.lit(", MASTER_LOG_POS="), pos, F.lit(";")))
+        .when(kind == 12, new)
+        .otherwise(F.concat(F.lit("INSERT INTO t VALUES ("), pos, F.lit(");")))
+    )
 
 
 @query("src5_coordinate_scan", f"select ({DUMP})::varchar as dump, 'bin.' || arg_min(user_id, event_id) as log_file, min(event_id)::bigint as log_pos from events where event_id % 50 = 9 group by 1")
 def _(spark, sf):
-    line = COORD_LINE.replace("''", "\\'").replace("{f}", "', user_id, '").replace("{p}", "', event_id, '")
-    line = line.replace("then '", "then concat('").replace("else '", "else concat('")
-    line = line.replace(" when ", ") when ").replace(" else ", ") else ").replace(" end", ") end").replace("case ) when", "case when")
     dumps = w.given(spark, sf, "events").select(
-        F.expr("event_id div 1000").alias("dump"), "event_id", F.expr(line).alias("value")
+        F.expr("event_id div 1000").alias("dump"), "event_id", _dump_line().alias("value")
     )
     path = scratch(spark, "dumps")
     # one file per dump, its lines in order
@@ -249,7 +253,7 @@ def _(spark, sf):
 
 @query("str2_upserts", f"select table_name, {COLS} from {w.latest_sql()} where op <> 'D'")
 def _(spark, sf):
-    newest = merge.latest_per_key(_changes(spark, sf), ["table_name", "id"])
+    newest = merge.latest_per_key(_changes(spark, sf), ["id", "table_name"])
     return newest.where(F.col("_op") != "D").select("table_name", *w.COLUMNS)
 
 
@@ -301,7 +305,7 @@ def _(spark, sf):
     # the bulk load sees the state after the first files, the hand-off lies before it
     early, _late = _split(_changes(spark, sf))
     target = _target(spark, sf, with_snapshot=False)
-    seen = merge.latest_per_key(early, ["table_name", "id"]).where(F.col("_op") != "D")
+    seen = merge.latest_per_key(early, ["id", "table_name"]).where(F.col("_op") != "D")
     for name in target.specs:
         target.load(name, seen.where(F.col("table_name") == name).select(*w.COLUMNS), ("bin.000001", 0, -1))
     _stream(spark, sf, target, _files(spark, sf), scratch(spark, "cp"), max_files=6, start=("bin.000001", 0, -1))

@@ -165,10 +165,7 @@ CRC_TABLE = (
 
 def crc_sql(text: str) -> str:
     """CRC-32 of a text, where ``crc_table`` is in scope."""
-    octets = (
-        f"list_transform(range(octet_length(encode({text}))), "
-        f"lambda i: ('0x' || substr(hex(encode({text})), (2 * i + 1)::bigint, 2))::ubigint)"
-    )
+    octets = f"list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda x: ('0x' || x)::ubigint)"
     folded = (
         f"list_reduce(list_prepend(4294967295::ubigint, {octets}), "
         "lambda c, b: xor(c >> 8, t[(xor(c, b) & 255)::bigint + 1]))"
