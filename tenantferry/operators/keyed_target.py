@@ -1,8 +1,8 @@
 """A keyed target on plain Parquet, for catalogs that have no MERGE.
 
 Rows lie in ``base``, partitioned by key bucket. Each applied batch adds its newest change per key
-to ``deltas``; readers put the two together, and ``compact`` folds the deltas into the buckets they
-touch. Every write goes to a folder no reader knows yet, and a manifest published last makes it
+to ``deltas``; readers put the two together. ``fold`` joins many deltas into one, and ``compact``
+moves them into the buckets they touch. Every write goes to a folder no reader knows yet, and a manifest published last makes it
 visible, so a batch is seen whole or not at all, over all its tables. A batch already named in the
 manifest is skipped, so delivering it again changes nothing.
 
@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,7 +52,7 @@ class KeyedTarget:
         """Latest manifest. Keys: seq, base {table: {commit: dropped buckets}}, deltas, writers."""
         found = [n for n in files.names(self.spark, f"{self.root}/manifests") if n.endswith(".json")]
         if not found:
-            return {"seq": 0, "base": {}, "deltas": [], "writers": {}, "buckets": self.buckets}
+            return {"seq": 0, "base": {}, "deltas": [], "progress": [], "writers": {}, "buckets": self.buckets}
         state = json.loads(files.read_text(self.spark, f"{self.root}/manifests/{max(found)}"))
         if state["buckets"] != self.buckets:
             raise ValueError(f"target has {state['buckets']} buckets, not {self.buckets}")
@@ -101,17 +102,20 @@ class KeyedTarget:
                 df = df.where(~((F.col("_commit") == int(commit)) & F.col("_bucket").isin(dropped)))
         return df.drop("_commit")
 
-    def _deltas(self, spec: TableSpec, state: dict) -> DataFrame | None:
-        if not state["deltas"]:
-            return None
+    def _all_deltas(self, state: dict) -> DataFrame:
         fields = self._meta + list(union_schema(self.specs.values()).fields)
         path = f"{self.root}/deltas"
         layout = [T.StructField("_commit", T.IntegerType()), T.StructField("table_name", T.StringType())]
-        df = (
+        return (
             self.spark.read.schema(T.StructType(fields + layout)).option("basePath", path)
-            .parquet(*[f"{path}/_commit={c}" for c in state["deltas"]])
+            .parquet(*[f"{path}/_commit={c}" for c in state["deltas"]]).drop("_commit")
         )
-        return df.where(F.col("table_name") == spec.name).select(*self._row_fields(spec))
+
+    def _deltas(self, spec: TableSpec, state: dict) -> DataFrame | None:
+        if not state["deltas"]:
+            return None
+        mine = self._all_deltas(state).where(F.col("table_name") == spec.name)
+        return mine.select(*self._row_fields(spec))
 
     def _newest_delta(self, spec: TableSpec, state: dict) -> DataFrame | None:
         deltas = self._deltas(spec, state)
@@ -162,19 +166,11 @@ class KeyedTarget:
             .parquet(f"{self.root}/base/table_name={spec.name}/_commit={commit}")
         )
 
-    def load(self, name: str, rows: DataFrame, at: tuple = BEFORE_ALL) -> int:
-        """Bulk load: rows replace those of equal key; no other row is removed.
-
-        ``at`` is the log position taken before the rows were read; changes after it win over them.
-        Only buckets that already hold one of the keys are rewritten.
-        """
-        spec, state = self.specs[name], self.state()
-        commit, keys = state["seq"] + 1, self.keys(spec)
-        incoming = rows.select(
-            F.lit("I").alias("_op"), position(*at).alias("_pos"), *spec.columns
-        )
-        base = self._base(spec, state)
-        commits = state["base"].setdefault(name, {})
+    def _replace(self, spec: TableSpec, rows: DataFrame, at: tuple, state: dict, commit: int) -> list[int]:
+        """Writes rows, and those that share a bucket with a key they replace; names these buckets."""
+        keys = self.keys(spec)
+        incoming = rows.select(F.lit("I").alias("_op"), position(*at).alias("_pos"), *spec.columns)
+        base, hit = self._base(spec, state), []
         if base is not None:
             clash = base.select("_bucket", *keys).join(rows.select(*keys), keys, "left_semi")
             # at most one row per bucket
@@ -182,15 +178,33 @@ class KeyedTarget:
             if hit:
                 stay = base.where(F.col("_bucket").isin(hit)).join(rows.select(*keys), keys, "left_anti")
                 incoming = incoming.unionByName(stay.select(*incoming.columns))
-                self._drop(commits, hit)
         self._write_base(spec, incoming, commit)
-        commits[str(commit)] = []
+        return hit
+
+    def load(self, tables: Mapping[str, DataFrame], at: tuple = BEFORE_ALL, parallelism: int = 4) -> int:
+        """Bulk load: rows replace those of equal key; no other row is removed.
+
+        ``at`` is the log position taken before the rows were read; changes after it win over them.
+        Only buckets that already hold one of the keys are rewritten. All tables become visible at
+        once; up to ``parallelism`` of them are written side by side.
+        """
+        state = self.state()
+        commit = state["seq"] + 1
+        with ThreadPoolExecutor(parallelism) as pool:
+            writes = {
+                name: pool.submit(self._replace, self.specs[name], rows, at, state, commit)
+                for name, rows in tables.items()
+            }
+        for name, write in writes.items():
+            commits = state["base"].setdefault(name, {})
+            self._drop(commits, write.result())
+            commits[str(commit)] = []
         state["seq"] = commit
         self._publish(state)
         return commit
 
     def _drop(self, commits: dict, buckets: list[int]) -> None:
-        for c in list(commits):
+        for c in list(commits) if buckets else []:
             commits[c] = sorted(set(commits[c]) | set(buckets))
             if len(commits[c]) == self.buckets:
                 del commits[c]
@@ -204,24 +218,45 @@ class KeyedTarget:
         if state["writers"].get(writer, -1) >= batch_id:
             return False
         commit = state["seq"] + 1
-        newest = latest_per_key(changes, self._table_keys())
-        newest.write.mode("overwrite").partitionBy("table_name").parquet(f"{self.root}/deltas/_commit={commit}")
+        self._write_delta(latest_per_key(changes, self._table_keys()), commit)
         tenant = F.col(tenant_col or next(iter(self.specs.values())).tenant_col).cast("string")
-        (
-            changes.groupBy(tenant.alias("tenant"))
-            .agg(F.max("_pos").alias("applied"), F.count("*").alias("n_changes"))
-            .write.mode("overwrite").parquet(f"{self.root}/progress/_commit={commit}")
+        counted = changes.groupBy(tenant.alias("tenant")).agg(
+            F.max("_pos").alias("applied"), F.count("*").alias("n_changes")
         )
+        self._write_progress(counted, commit)
         state["seq"] = commit
         state["deltas"].append(commit)
-        state.setdefault("progress", []).append(commit)
+        state["progress"].append(commit)
         state["writers"][writer] = batch_id
         self._publish(state)
         return True
 
+    def _write_delta(self, newest: DataFrame, commit: int) -> None:
+        newest.write.mode("overwrite").partitionBy("table_name").parquet(f"{self.root}/deltas/_commit={commit}")
+
+    def _write_progress(self, counted: DataFrame, commit: int) -> None:
+        counted.write.mode("overwrite").parquet(f"{self.root}/progress/_commit={commit}")
+
+    def _fold_progress(self, state: dict, commit: int) -> None:
+        if state["progress"]:
+            self._write_progress(self._progress(state["progress"]), commit)
+            state["progress"] = [commit]
+
+    def fold(self) -> int | None:
+        """Puts the deltas together into one, at a cost that grows with them and not with the base."""
+        state = self.state()
+        if len(state["deltas"]) < 2:
+            return None
+        commit = state["seq"] + 1
+        self._write_delta(latest_per_key(self._all_deltas(state), self._table_keys()), commit)
+        self._fold_progress(state, commit)
+        state["deltas"], state["seq"] = [commit], commit
+        self._publish(state)
+        return commit
+
     def progress(self) -> DataFrame:
         """Per tenant the greatest applied position and the number of changes taken in."""
-        commits = self.state().get("progress", [])
+        commits = self.state()["progress"]
         if not commits:
             return self.spark.createDataFrame([], PROGRESS)
         return self._progress(commits)
@@ -258,9 +293,7 @@ class KeyedTarget:
             commits = state["base"].setdefault(name, {})
             self._drop(commits, hit)
             commits[str(commit)] = []
-        if state.get("progress"):
-            self._progress(state["progress"]).write.mode("overwrite").parquet(f"{self.root}/progress/_commit={commit}")
-            state["progress"] = [commit]
+        self._fold_progress(state, commit)
         state["deltas"], state["seq"] = [], commit
         self._publish(state)
         return commit
@@ -270,7 +303,7 @@ class KeyedTarget:
         state = self.state()
         live = {
             "deltas": {str(c) for c in state["deltas"]},
-            "progress": {str(c) for c in state.get("progress", [])},
+            "progress": {str(c) for c in state["progress"]},
         }
         for name in self.specs:
             live[f"base/table_name={name}"] = set(state["base"].get(name, {}))

@@ -119,7 +119,7 @@ def tenant_changes(
     def wanted(image: Column) -> Column:
         if tenants is None or long_list:
             return image[tenant_col].isNotNull()
-        return F.coalesce(image[tenant_col].isin(list(tenants)), F.lit(False))
+        return image[tenant_col].isNotNull() & image[tenant_col].isin(list(tenants))
 
     events = row_events(feed, database).where(F.col("table_name").isin(*specs)).select(
         "op", "table_name", "pos",
@@ -145,7 +145,9 @@ def tenant_changes(
         changes.append(F.when((F.col("op") == "U") & drop_old, old))
 
     if len(changes) == 1:
-        flat = events.where(wanted(image)).select(
+        # spelled out per operation, so that the scan can skip row groups by tenant
+        deleted = F.col("op") == "D"
+        flat = events.where((deleted & wanted(before)) | (~deleted & wanted(after))).select(
             "table_name", F.col("op").alias("_op"), F.col("pos").alias("_pos"), image.alias("row")
         )
     else:

@@ -41,6 +41,7 @@ def replicate(
     start: tuple | DataFrame | None = None,
     on_tenant_exit: str = "ignore",
     on_key_change: str = "ignore",
+    fold_every: int | None = 20,
     compact_every: int | None = None,
     interval: str | None = None,
 ) -> StreamingQuery:
@@ -48,6 +49,9 @@ def replicate(
 
     Each micro-batch is one commit of the target. The checkpoint folder names the writer, so a batch
     that Spark delivers again after a failure is recognised. Batch size is set at the feed.
+
+    Small deltas are joined every ``fold_every`` batches. ``compact_every`` rewrites the touched
+    part of the target and is meant to be rare.
     """
     specs = target.specs
     tenant_col = next(iter(specs.values())).tenant_col
@@ -65,6 +69,8 @@ def replicate(
             kept.unpersist()
         if compact_every and (batch_id + 1) % compact_every == 0:
             target.compact()
+        elif fold_every and (batch_id + 1) % fold_every == 0:
+            target.fold()
 
     writer = changes.writeStream.foreachBatch(apply_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)

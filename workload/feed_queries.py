@@ -61,8 +61,8 @@ def _(spark, sf):
 def _(spark, sf):
     held, arriving = _merge_sides(spark, sf)
     target = KeyedTarget(spark, scratch(spark, "target"), {"activities": w.spec(held, "activities")}, buckets=8)
-    target.load("activities", held)
-    target.load("activities", arriving)
+    target.load({"activities": held})
+    target.load({"activities": arriving})
     return target.table("activities")
 
 
@@ -181,7 +181,7 @@ def merged_sql(where="true", keys="table_name, id"):
 def _target(spark, sf, with_snapshot=True, **kw):
     target = KeyedTarget(spark, scratch(spark, "target"), w.feed_specs(spark, sf), buckets=8, **kw)
     if with_snapshot:
-        target.load("activities", w.snapshot(spark, sf))
+        target.load({"activities": w.snapshot(spark, sf)})
     return target
 
 
@@ -267,7 +267,7 @@ def _(spark, sf):
 @query("str4_small_batches", merged_sql())
 def _(spark, sf):
     target = _target(spark, sf)
-    _stream(spark, sf, target, _files(spark, sf), scratch(spark, "cp"), max_files=1, compact_every=4)
+    _stream(spark, sf, target, _files(spark, sf), scratch(spark, "cp"), max_files=1, fold_every=2, compact_every=5)
     return _rows(target)
 
 
@@ -306,8 +306,8 @@ def _(spark, sf):
     early, _late = _split(_changes(spark, sf))
     target = _target(spark, sf, with_snapshot=False)
     seen = merge.latest_per_key(early, ["id", "table_name"]).where(F.col("_op") != "D")
-    for name in target.specs:
-        target.load(name, seen.where(F.col("table_name") == name).select(*w.COLUMNS), ("bin.000001", 0, -1))
+    loads = {n: seen.where(F.col("table_name") == n).select(*w.COLUMNS) for n in target.specs}
+    target.load(loads, ("bin.000001", 0, -1))
     _stream(spark, sf, target, _files(spark, sf), scratch(spark, "cp"), max_files=6, start=("bin.000001", 0, -1))
     return _rows(target)
 
