@@ -2,6 +2,7 @@
 
 import datetime
 import os
+import re
 from collections import Counter
 from decimal import Decimal
 
@@ -32,9 +33,20 @@ def plain(value):
     return value
 
 
+def assert_scalable(df):
+    """No cross or nested-loop join, no Python rows, no window over everything."""
+    mode = df._sc._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    text = df._jdf.queryExecution().explainString(mode)
+    for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "ArrowEvalPython", "BatchEvalPython", "MapInPandas"):
+        assert node not in text
+    for window in re.findall(r"^\(\d+\) Window\b.*?\n\n", text, re.M | re.S):
+        assert not re.search(r"\], \[\]$", window.strip())
+
+
 @pytest.mark.parametrize("name", sorted(entry.queries()))
 def test_equals_its_sql(spark, duck, name):
     df = entry.queries()[name](spark, SMALL)
+    assert_scalable(df)
     names = sorted(df.columns)
     got = Counter(tuple(plain(r[c]) for c in names) for r in df.collect())
     sql = entry.oracle_sql().get(name)
