@@ -14,7 +14,7 @@ from tenantferry.operators.parity import compare_chunks
 from tenantferry.operators.stats import union_all
 from tenantferry.plans.planning import Plan
 from tenantferry.session import materialise, metadata_rows
-from tenantferry.sources.slices import jdbc_chunks, jdbc_waves
+from tenantferry.sources.slices import jdbc_chunks, jdbc_waves, of_tenants
 
 
 def pending_rows(source: DataFrame, spec, widths: DataFrame, pending: DataFrame | None) -> DataFrame:
@@ -26,6 +26,12 @@ def pending_rows(source: DataFrame, spec, widths: DataFrame, pending: DataFrame
     return rows.select(*spec.columns)
 
 
+def few_tenants(chunks: DataFrame, at_most: int = 1000) -> list | None:
+    """The tenants of some chunks, to be filtered in the scans, unless there are many."""
+    found = [r[0] for r in chunks.select("tenant").distinct().limit(at_most + 1).collect()]
+    return found if len(found) <= at_most else None
+
+
 def migrate(
     plan: Plan, source: Mapping[str, DataFrame], target: KeyedTarget, ledger_path: str,
     handoff: tuple = BEFORE_ALL,
@@ -37,25 +43,27 @@ def migrate(
     written but not recorded replaces itself.
     """
     spark = target.spark
-    done = led.read_ledger(spark, ledger_path)
-    todo = materialise(led.pending(plan.chunks, done), "pending")
-    # the key of a chunk is in the ledger or not, so a first load needs no look at either
-    first_load = done.isEmpty()
+    todo = materialise(led.pending(plan.chunks, led.read_ledger(spark, ledger_path)), "pending")
+    # if every chunk of the planned slices is to be loaded, rows need no look at the list
+    whole = todo.count() == (plan.tables.agg(F.sum("chunk_count")).first()[0] or 0)
     # bounded by the number of tables
     names = [r[0] for r in todo.select("table_name").distinct().collect()]
     if not names:
         return compare_chunks(*[_no_counts(spark)] * 2)
 
     counts = {"source": [], "target": []}
+    few = few_tenants(todo)
+    source = {n: of_tenants(source[n], target.specs[n], few) for n in names}
     loads = {
-        name: pending_rows(source[name], target.specs[name], plan.tables, None if first_load else todo)
+        name: pending_rows(source[name], target.specs[name], plan.tables, None if whole else todo)
         for name in sorted(names)
     }
     target.load(loads, handoff)
     for name in sorted(names):
         spec = target.specs[name]
         counts["source"].append(chunk_counts(source[name], spec, plan.tables))
-        counts["target"].append(chunk_counts(target.table(name), spec, plan.tables))
+        held = of_tenants(target.table(name), spec, few)
+        counts["target"].append(chunk_counts(held, spec, plan.tables))
     both = compare_chunks(union_all(counts["source"]), union_all(counts["target"]))
     report = materialise(
         todo.join(both, ["tenant", "table_name", "start_pk"], "left").select(

@@ -12,6 +12,7 @@ from tenantferry.operators.chunks import BLOCK, explode_chunks
 from tenantferry.operators.stats import slice_stats, union_all, with_widths
 from tenantferry.session import materialise, metadata_rows
 from tenantferry.sources.catalog import catalog_of, key_check, primary_keys, tenant_tables
+from tenantferry.sources.slices import of_tenants, tenant_frame
 from tenantferry.specs import TableSpec
 
 DEFAULT_CHUNK_SIZE = 5000
@@ -57,12 +58,15 @@ def plan(
     specs: Iterable[TableSpec],
     database: str,
     tenant_col: str,
-    tenants: DataFrame | None = None,
+    tenants: Iterable[str] | DataFrame | None = None,
     chunk_size: int = DEFAULT_CHUNK_SIZE,
     include: Iterable[str] = (),
     exclude: Iterable[str] = (),
 ) -> Plan:
-    """Plan of the tenants in ``tenants`` (a ``tenant`` column), or of all that have rows.
+    """Plan of the given tenants, or of all that have rows.
+
+    A list of tenants is filtered in the scans; a frame with a ``tenant`` column, for very many, is
+    joined to the statistics and not to the rows.
 
     Each table is read once, its key and tenant columns only. The statistics are written to the
     shared folder, so that chunks, totals and skips come from one and the same scan.
@@ -78,11 +82,11 @@ def plan(
     names = [r.table_name for r in listed]
     chunkable = [specs[r.table_name] for r in listed if r.chunkable]
     if chunkable:
-        stats = union_all(slice_stats(tables[s.name], s) for s in chunkable)
+        stats = union_all(slice_stats(of_tenants(tables[s.name], s, tenants), s) for s in chunkable)
     else:
         stats = metadata_rows(spark, [], STATS)
     if tenants is not None:
-        tenants = tenants.select("tenant").distinct()
+        tenants = tenant_frame(spark, tenants)
         stats = stats.join(tenants, "tenant", "left_semi")
     widths = materialise(with_widths(stats, chunk_size), "widths")
 

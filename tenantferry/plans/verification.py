@@ -11,6 +11,7 @@ from tenantferry.functions.checksum import no_rows
 from tenantferry.operators import parity
 from tenantferry.operators.stats import union_all
 from tenantferry.plans.planning import grid
+from tenantferry.sources.slices import of_tenants, tenant_frame
 from tenantferry.specs import TableSpec
 
 verdict = parity.verdict
@@ -22,21 +23,23 @@ class ParityError(RuntimeError):
 
 def verify(
     source: Mapping[str, DataFrame], target: Mapping[str, DataFrame], specs: Iterable[TableSpec],
-    tenants: DataFrame | None = None, skipped: Iterable[str] = (), mode: str = "compat",
+    tenants: Iterable[str] | DataFrame | None = None, skipped: Iterable[str] = (), mode: str = "compat",
 ) -> DataFrame:
     """Report per tenant and table: counts, checksums, and whether they agree.
 
-    ``tenants`` restricts it to those listed, who then appear even without rows on either side;
-    ``skipped`` names tables the plan left out. Rows that only the target has show up as well.
+    ``tenants`` restricts it to those listed, who then appear even without rows on either side. A list
+    is filtered in the scans; a frame with a ``tenant`` column is joined to the results. ``skipped`` names tables the plan left out. Rows that only the target has show up as well.
     """
     leave_out = set(skipped)
     checked = [s for s in specs if s.has_tenant and s.table_type == "BASE TABLE" and s.name not in leave_out]
-    report = parity.compare_metrics(
-        parity.all_metrics(source, checked, mode), parity.all_metrics(target, checked, mode), mode
-    )
+    sides = [
+        parity.all_metrics({s.name: of_tenants(side[s.name], s, tenants) for s in checked}, checked, mode)
+        for side in (source, target)
+    ]
+    report = parity.compare_metrics(*sides, mode)
     if tenants is None:
         return report
-    asked = grid(tenants.select("tenant").distinct(), [s.name for s in checked])
+    asked = grid(tenant_frame(report.sparkSession, tenants), [s.name for s in checked])
     zero = F.lit(0).cast("bigint")
     filled = asked.join(report, ["tenant", "table_name"], "left").select(
         "tenant", "table_name",

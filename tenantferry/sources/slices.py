@@ -8,6 +8,7 @@ from itertools import islice
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tenantferry.session import metadata_rows
 from tenantferry.specs import TableSpec
 
 
@@ -24,6 +25,20 @@ def tenant_slice(df: DataFrame, spec: TableSpec, tenant, collation: str | None =
     return df.where(is_tenant(F.col(spec.tenant_col), tenant, collation)).select(*spec.columns)
 
 
+def of_tenants(df: DataFrame, spec: TableSpec, tenants) -> DataFrame:
+    """Rows of listed tenants, filtered in the scan; anything but a list leaves the rows as they are."""
+    if tenants is None or isinstance(tenants, DataFrame):
+        return df
+    return df.where(F.col(spec.tenant_col).isin(list(tenants)))
+
+
+def tenant_frame(spark: SparkSession, tenants) -> DataFrame:
+    """Distinct tenants, from a list or from a frame with a ``tenant`` column."""
+    if isinstance(tenants, DataFrame):
+        return tenants.select("tenant").distinct()
+    return metadata_rows(spark, [(t,) for t in dict.fromkeys(tenants)], "tenant string")
+
+
 def key_range(df: DataFrame, spec: TableSpec, start: int, end: int) -> DataFrame:
     return df.where(F.col(spec.pk[0]).between(start, end))
 

@@ -121,9 +121,10 @@ def seeded(spark):
     return frames, [SPECS[n] for n in frames]
 
 
-def test_plan_of_one_tenant(spark, seeded):
+@pytest.mark.parametrize("listed", [True, False])
+def test_plan_of_one_tenant(spark, seeded, listed):
     frames, specs = seeded
-    asked = metadata_rows(spark, [("acc_12345",)], "tenant string")
+    asked = ["acc_12345"] if listed else metadata_rows(spark, [("acc_12345",)], "tenant string")
     p = plan(frames, specs, "src", "account_id", asked)
     assert {(r.table_name, r.total_rows, r.chunk_count) for r in p.tables.collect()} == {("leads", 52000, 11), ("activities", 52000, 11)}
     assert [tuple(r) for r in p.skipped.collect()] == [("acc_12345", "email_preferences", "composite PK (account_id, email, preference_type)")]

@@ -65,6 +65,8 @@ def test_resume(spark, source, specs, target, tmp_path):
     some = p.chunks.where("chunk_no % 3 = 0")
     migrate(Plan(p.tables, some, p.skipped), source, target, ledger)
     assert led.completed(p.chunks, led.read_ledger(spark, ledger)).count() == some.count()
+    # nothing but the rows of those chunks is there
+    assert target.table("leads").count() + target.table("visits").count() == led.read_ledger(spark, ledger).agg(F.sum("n_rows")).first()[0]
     report = migrate(p, source, target, ledger)
     assert report.count() == p.chunks.count() - some.count() and report.where("not ok").isEmpty()
     assert same(source, target)

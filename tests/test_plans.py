@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from feeds import ROW, SPECS, frame, random_events
+from tenantferry import verify
 from tenantferry.operators.chunks import chunk_counts
 from tenantferry.operators.merge import latest_per_key
 from tenantferry.operators.parity import slice_metrics
@@ -74,3 +75,9 @@ def test_feed_filters_reach_the_scan(spark, tmp_path):
     text = explained(tenant_changes(spark.read.parquet(str(tmp_path / "feed")), SPECS, "src", ["acc_1"]))
     pushed = re.search(r"PushedFilters: (.*)", text).group(1)
     assert "EqualTo(schema_name,src)" in pushed and "account_id,acc_1" in pushed
+
+
+def test_listed_tenants_are_filtered_in_the_scan(table):
+    df, spec = table
+    text = explained(verify({"t": df}, {"t": df}, [spec], ["acc_1", "acc_2"]))
+    assert re.search(r"PushedFilters: .*In\(account_id, \[acc_1,acc_2\]\)", text)
