@@ -42,6 +42,16 @@ def test_empty_target(target):
     assert content(target) == {}
 
 
+def test_empty_load_and_empty_batch(spark, target):
+    target.load({"leads": spark.createDataFrame([], ROW)})
+    assert content(target) == {}
+    target.apply(changes_of(spark, [event("D", 1, (1, "a", "x"))]).where("false"), "w", 0)
+    target.load({"leads": rows(spark, (1, "a", "x"))})
+    assert content(target) == {("leads", 1): (1, "a", "x")}
+    target.compact()
+    assert content(target) == {("leads", 1): (1, "a", "x")}
+
+
 def test_load_replaces_and_never_removes(spark, target):
     target.load({"leads": rows(spark, (1, "a", "x"), (2, "a", "x")), "activities": rows(spark, (1, "a", "y"))})
     target.load({"leads": rows(spark, (2, "a", "z"), (3, "b", "z"))})
