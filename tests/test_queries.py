@@ -10,6 +10,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from workload import ORACLE, QUERIES
 
 SMALL = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -43,13 +44,13 @@ def assert_scalable(df):
         assert not re.search(r"\], \[\]$", window.strip())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_equals_its_sql(spark, duck, name):
-    df = entry.queries()[name](spark, SMALL)
+    df = QUERIES[name](spark, SMALL)
     assert_scalable(df)
     names = sorted(df.columns)
     got = Counter(tuple(plain(r[c]) for c in names) for r in df.collect())
-    sql = entry.oracle_sql().get(name)
+    sql = ORACLE.get(name)
     if sql is None:
         assert got
         return
@@ -61,6 +62,7 @@ def test_equals_its_sql(spark, duck, name):
 
 def test_every_sql_has_its_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
+    assert set(ORACLE) <= set(QUERIES) <= set(entry.queries())
 
 
 def test_entry(spark):
