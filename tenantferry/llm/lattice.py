@@ -99,14 +99,32 @@ def _edge(edges: Column, start: Column, length: Column) -> Column:
 
 
 def _merged(edges: Column, n: Column) -> Column:
-    """Borders of the segments that merging neighbours, best score first and then leftmost, leaves."""
-    def step(borders: Column, _: Column) -> Column:
-        pairs = F.transform(F.slice(borders, F.lit(1), F.greatest(F.size(borders) - 2, F.lit(0))), lambda a, i: F.struct(
-            _edge(edges, a, F.get(borders, i + 2) - a)["score"].alias("score"), (-i).alias("left")))
-        best = F.array_max(F.filter(pairs, lambda p: p["score"].isNotNull()))
-        return F.when(best.isNull(), borders).otherwise(F.filter(borders, lambda b, i: i != 1 - best["left"]))
-
-    return F.aggregate(F.sequence(F.lit(1), n), F.sequence(F.lit(1), n + 1), step)
+    """Borders of the segments that merging neighbours, best score first and then leftmost, leaves.
+
+    A segment carries its start, its end and the score of merging it with the next, so that a merge looks up two edges.
+    """
+    def segment(a: Column, mid: Column, end: Column) -> Column:
+        return F.struct(a.alias("a"), mid.alias("z"), _edge(edges, a, end - a)["score"].alias("s"))
+
+    def step(segments: Column, _: Column) -> Column:
+        best = F.array_max(F.filter(F.transform(segments, lambda x, i: F.struct(x["s"].alias("s"), (-i).alias("left"))), lambda p: p["s"].isNotNull()))
+        # a lambda's variable is worked out once, an expression once for each segment
+        return F.get(F.transform(F.array(best), lambda b: F.when(b.isNull(), segments).otherwise(_joined_at(segments, b["left"]))), F.lit(0))
+
+    def _joined_at(segments: Column, left: Column) -> Column:
+        end_of = lambda i: F.get(segments, i)["z"]
+
+        def redone(x: Column, i: Column) -> Column:
+            merged = segment(x["a"], end_of(i + 1), end_of(i + 2))
+            before = segment(x["a"], x["z"], end_of(i + 2))
+            return F.when(i == -left, merged).when(i == -left - 1, before).otherwise(x)
+
+        return F.filter(F.transform(segments, redone), lambda _, i: i != 1 - left)
+
+    last = n + 1
+    first = F.transform(F.sequence(F.lit(1), n), lambda a: segment(a, a + 1, F.when(a < n, a + 2)))
+    segments = F.aggregate(F.sequence(F.lit(1), n), first, step)
+    return F.concat(F.transform(segments, lambda x: x["a"]), F.array(last))
 
 
 def _viterbi(edges: Column, n: Column, longest: int, unknown: float) -> Column:
