@@ -107,9 +107,9 @@ def _merged(edges: Column, n: Column) -> Column:
         return F.struct(a.alias("a"), mid.alias("z"), _edge(edges, a, end - a)["score"].alias("s"))
 
     def step(segments: Column, _: Column) -> Column:
-        best = F.array_max(F.filter(F.transform(segments, lambda x, i: F.struct(x["s"].alias("s"), (-i).alias("left"))), lambda p: p["s"].isNotNull()))
+        best = F.array_max(F.transform(segments, lambda x, i: F.struct(x["s"].alias("s"), (-i).alias("left"))))  # null scores sort first
         # a lambda's variable is worked out once, an expression once for each segment
-        return F.get(F.transform(F.array(best), lambda b: F.when(b.isNull(), segments).otherwise(_joined_at(segments, b["left"]))), F.lit(0))
+        return F.get(F.transform(F.array(best), lambda b: F.when(b["s"].isNull(), segments).otherwise(_joined_at(segments, b["left"]))), F.lit(0))
 
     def _joined_at(segments: Column, left: Column) -> Column:
         end_of = lambda i: F.get(segments, i)["z"]
@@ -123,7 +123,7 @@ def _merged(edges: Column, n: Column) -> Column:
 
     last = n + 1
     first = F.transform(F.sequence(F.lit(1), n), lambda a: segment(a, a + 1, F.when(a < n, a + 2)))
-    segments = F.aggregate(F.sequence(F.lit(1), n), first, step)
+    segments = F.aggregate(F.sequence(F.lit(2), F.greatest(n, F.lit(2))), first, step)
     return F.concat(F.transform(segments, lambda x: x["a"]), F.array(last))
 
 
@@ -146,7 +146,7 @@ def _viterbi(edges: Column, n: Column, longest: int, unknown: float) -> Column:
     return F.aggregate(F.sequence(F.lit(1), n), F.array(n + 1), walk)
 
 
-def _ids(u: Column, borders: Column, edges: Column, v: Vocabulary) -> Column:
+def _ids(u: Column, borders: Column, edges: Column, single: Column, v: Vocabulary) -> Column:
     """The ids of the segments between borders; characters without a piece as bytes."""
     number = F.split(F.lit(",".join(map(str, v.byte_ids()))), ",").cast("array<int>")
 
@@ -155,8 +155,8 @@ def _ids(u: Column, borders: Column, edges: Column, v: Vocabulary) -> Column:
         digits = F.hex(F.encode(F.substring(u, a, k), "utf-8"))
         as_bytes = F.transform(F.sequence(F.lit(0), (F.length(digits) / 2 - 1).cast("int")), lambda j: F.get(
             number, F.conv(F.substring(digits, 2 * j + 1, F.lit(2)), 16, 10).cast("int")))
-        known = _edge(edges, a, k)["id"]
-        return F.when(known.isNotNull(), F.array(known)).otherwise(as_bytes)
+        known = F.get(single, a - 1)
+        return F.when(k > 1, F.array(_edge(edges, a, k)["id"])).when(known.isNotNull(), F.array(known)).otherwise(as_bytes)
 
     return F.flatten(F.transform(F.slice(borders, F.lit(1), F.size(borders) - 1), segment))
 
@@ -171,11 +171,13 @@ def dictionary(distinct: DataFrame, pieces: DataFrame, v: Vocabulary) -> DataFra
     sub = spread.select("u", "start", F.explode(F.sequence(F.lit(1), F.least(F.lit(v.longest), F.length("u") - F.col("start") + 1))).alias("len"))
     sub = sub.select("u", "start", "len", F.expr("substring(u, start, len)").alias("piece"))
     edges = sub.join(F.broadcast(pieces), "piece", "left").filter("id is not null or len = 1")
-    grouped = edges.groupBy("u").agg(F.collect_list(F.struct((F.col("start") * 1000 + F.col("len")).alias("key"), F.struct("score", "id").alias("value"))).alias("e"))
-    lattice = grouped.select("u", F.map_from_entries("e").alias("e"))
+    edge = F.struct((F.col("start") * 1000 + F.col("len")).alias("key"), F.struct("score", "id").alias("value"))
+    longer = F.col("len") > (1 if v.bpe else 0)  # merges need no edges of one character, which make up a third
+    grouped = edges.groupBy("u").agg(F.collect_list(F.when(longer, edge)).alias("e"), F.collect_list(F.when(F.col("len") == 1, F.struct("start", "id"))).alias("one"))
+    lattice = grouped.select("u", F.map_from_entries("e").alias("e"), F.transform(F.array_sort("one"), lambda x: x["id"]).alias("one"))
     n = F.length("u")
     borders = _merged(F.col("e"), n) if v.bpe else _viterbi(F.col("e"), n, v.longest, min(v.scores) - 10.0)
-    short = lattice.select("u", "e", borders.alias("b")).select("u", _ids(F.col("u"), F.col("b"), F.col("e"), v).alias("ids"))
+    short = lattice.select("u", "e", "one", borders.alias("b")).select("u", _ids(F.col("u"), F.col("b"), F.col("e"), F.col("one"), v).alias("ids"))
     encode = LongUnits(v)
     return short.unionByName(distinct.filter(F.length("u") > LONG).select("u").mapInPandas(encode.run, UNIT_ROW))
 
