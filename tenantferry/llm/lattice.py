@@ -269,11 +269,13 @@ def occurrences(docs: DataFrame, v: Vocabulary, id_col: str = "doc_id", text_col
     sample = rows.filter(F.pmod(F.xxhash64("row"), F.lit(every)) == 0).select(F.explode("us").alias("u"))
     often = sample.filter(F.length("u") <= LONG).groupBy("u").count().filter("count > 1").orderBy(F.desc("count"), "u").limit(HOT_UNITS).select("u")
     checked = lambda d: d.select("u", "ids", (_joined(F.col("ids"), v) == F.col("u")).alias("ok"))
-    hot = materialise(checked(dictionary(often.repartition("u"), pieces, v)), "hot-units")
+    # many small parts, since a unit is few bytes but much work; a stated number is not joined up again
+    dealt = lambda d, n: d.repartition(max(48, n // 40_000), "u")
+    hot = materialise(checked(dictionary(dealt(often, HOT_UNITS), pieces, v)), "hot-units")
     each = rows.select("row", "doc_id", F.posexplode_outer("us").alias("pos", "u"))
     frequent = each.join(F.broadcast(hot), "u", "left").filter("u is null or ids is not null")
     rare = materialise(each.filter("u is not null").join(F.broadcast(hot), "u", "left_anti").select("row", "doc_id", "pos", "u"), "rare-units")
-    tail = materialise(checked(dictionary(rare.select("u").distinct(), pieces, v)), "tail-units")
+    tail = materialise(checked(dictionary(dealt(rare.select("u"), rare.count()).distinct(), pieces, v)), "tail-units")
     return frequent.select("row", "doc_id", "pos", "u", "ids", "ok"), rare.join(tail, "u").select("row", "doc_id", "pos", "u", "ids", "ok")
 
 
