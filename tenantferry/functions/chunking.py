@@ -30,8 +30,10 @@ def step_width(min_pk: Column, max_pk: Column, rows: Column, chunk_size: int) ->
 
 
 def chunk_count(min_pk: Column, max_pk: Column, step: Column) -> Column:
-    span = key_range(min_pk, max_pk).cast("decimal(38,0)")
-    return F.ceil(span / step.cast(WIDE)).cast(KEY)
+    """Chunks of a slice, in whole numbers: a quotient's digits are cut, so a short last chunk could be lost."""
+    before_last, width = key_range(min_pk, max_pk) - F.lit(1), step.cast(WIDE)
+    full = (before_last - F.pmod(before_last, width)) / width  # divides without a rest
+    return (full + F.lit(1)).cast(KEY)
 
 
 def nth_start(min_pk: Column, step: Column, i: Column, wide: Column) -> Column:

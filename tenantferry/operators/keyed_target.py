@@ -176,8 +176,13 @@ class KeyedTarget:
             # at most one row per bucket
             hit = [r[0] for r in clash.select("_bucket").distinct().collect()]
             if hit:
-                stay = base.where(F.col("_bucket").isin(hit)).join(rows.select(*keys), keys, "left_anti")
-                incoming = incoming.unionByName(stay.select(*incoming.columns))
+                held, late = base.where(F.col("_bucket").isin(hit)), F.col("_pos") > position(*at)
+                # what was applied after ``at``, deletes included, wins over the rows; a compact has put it here
+                newer = held.where(late)
+                older = held.where(~late).join(rows.select(*keys), keys, "left_anti")
+                incoming = incoming.join(newer.select(*keys), keys, "left_anti")
+                for stay in (newer, older):
+                    incoming = incoming.unionByName(stay.select(*incoming.columns))
         self._write_base(spec, incoming, commit)
         return hit
 

@@ -87,3 +87,15 @@ def test_rows_added_after_planning_are_in_no_chunk(spark):
 def test_unknown_tenant_has_no_stats(spark):
     df = spark.range(10).withColumn("account_id", F.lit("a"))
     assert slice_stats(df, TableSpec.of(df, "t", ["id"])).where("tenant = 'nobody'").isEmpty()
+
+
+def test_wide_chunks_reach_the_last_key(spark):
+    """A rest of one or two keys is a chunk of its own, however wide the chunks are."""
+    sizes = [2_000_001, 4_000_000, 10**9, 2**40 + 1]
+    for size in sizes:
+        cases = [(1, n * size + rest, n * size + rest) for n in (1, 2, 3) for rest in (0, 1, 2)]
+        for case, got in zip(cases, chunks(spark, cases, size)):
+            assert got[0][0] == 1 and got[-1][1] == case[1]
+            assert all(a[1] + 1 == b[0] for a, b in zip(got, got[1:]))
+    (got,) = chunks(spark, [(-(2**62), 2**62, 2)], 1)
+    assert got[0][0] == -(2**62) and got[-1][1] == 2**62

@@ -205,3 +205,19 @@ def test_json_messages(spark):
     feed = frame(spark, events)
     messages = feed.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value"))
     assert decode_feed(messages, ROW).exceptAll(feed).isEmpty()
+
+
+@pytest.mark.parametrize("compacted", [False, True])
+def test_a_load_loses_against_what_was_applied_after_its_position(spark, target, compacted):
+    first = rows(spark, (1, "a", "old"), (2, "a", "old"), (3, "a", "old"))
+    target.load({"leads": first}, at=("b.000001", 100))
+    target.apply(changes_of(spark, [
+        event("U", 500, (1, "a", "old"), (1, "a", "new")), event("D", 501, (2, "a", "old")),
+    ]), "w", 0)
+    if compacted:
+        target.compact()
+    target.load({"leads": rows(spark, (1, "a", "old"), (2, "a", "old"), (3, "a", "again"), (4, "a", "old"))}, at=("b.000001", 100))
+    want = {("leads", 1): (1, "a", "new"), ("leads", 3): (3, "a", "again"), ("leads", 4): (4, "a", "old")}
+    assert content(target) == want
+    target.compact()
+    assert content(target) == want
