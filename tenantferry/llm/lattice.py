@@ -7,16 +7,23 @@ higher-order ``aggregate`` folds them into a path: Viterbi over the piece scores
 models, whose scores are ranks and where the best-scoring path is not what encoding means, the merges
 in the order of their scores. Characters without a piece become byte pieces.
 
+For BPE the state of the fold is the set of borders between segments, as the bits of a number: an edge is merged if its
+ends are borders and just one border lies between them. One walk over the edges by score, then place, makes the merges in
+the order in which a queue would, unless a piece comes about only after a piece of worse score ("late", as the vocabulary
+tells). Units that hold a late piece, and those of more than ``LONG`` characters, go through the same merges in
+Python, with a heap.
+
 Frequent units come from a bounded sample of documents; their dictionary is bounded and broadcast. Occurrences of
-all other units are written apart, and meet the dictionary of their distinct units in an equi-join.
+all other units are written apart, and meet the dictionary of their distinct units in an equi-join. Joins with broadcast
+tables use a hash of the string as key, and then compare the strings.
 
-Null and empty texts have no tokens. Repeated rows each get a result. A unit of more than ``LONG`` characters goes
-through the same merges in Python, with a heap, since a fold over it would cost its length squared.
+Null and empty texts have no tokens. Repeated rows each get a result.
 """
 
 from __future__ import annotations
 
 import heapq
+import re
 import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -30,8 +37,7 @@ from tenantferry.session import materialise
 SPACE = "▁"
 #: Units in the broadcast dictionary at most, and documents they are taken from.
 HOT_UNITS, HOT_DOCUMENTS = 150_000, 20_000
-LONG = 96
-UNIT_ROW = "u string, ids array<int>"
+LONG = 60  # with its ends, a unit's borders fit the bits of a number
 
 
 @dataclass
@@ -46,6 +52,15 @@ class Vocabulary:
     def longest(self) -> int:
         return max((len(p) for p, k in zip(self.pieces, self.kinds) if k in (1, 4)), default=1)
 
+    def late(self) -> list[str]:
+        """Pieces of a BPE model that are not made by merges in the order of score and place; no longer ones around them."""
+        known = {p: s for p, s, k in zip(self.pieces, self.scores, self.kinds) if k in (1, 4)} if self.bpe else {}
+        found: list[str] = []
+        for p in sorted((p for p in known if len(p) > 1), key=len):
+            if not any(x in p for x in found) and _out_of_order(p, known):
+                found.append(p)
+        return found
+
     def byte_ids(self) -> list[int]:
         place = {p: i for i, (p, k) in enumerate(zip(self.pieces, self.kinds)) if k == 6}
         unknown = self.kinds.index(2)
@@ -57,6 +72,21 @@ class Vocabulary:
         return "".join(c for c in ",.!?;:%&*$#|)" if c not in inside)
 
 
+def _out_of_order(piece: str, known: dict[str, float]) -> bool:
+    """Whether the merges inside a piece go back to a better score, or further left at an equal one."""
+    borders, last = list(range(len(piece) + 1)), (float("-inf"), 0)
+    while len(borders) > 2:
+        ways = [(-known[w], borders[i], i) for i in range(len(borders) - 2) if (w := piece[borders[i]:borders[i + 2]]) in known]
+        if not ways:
+            return False  # never made at all
+        score, at, i = min(ways)
+        if (score, at) <= last:
+            return True
+        last = (score, at)
+        del borders[i + 1]
+    return False
+
+
 def load(path: str) -> Vocabulary:
     """Read a model file on the driver; its size bounds all that is broadcast from it."""
     from sentencepiece import sentencepiece_model_pb2
@@ -74,9 +104,16 @@ def load(path: str) -> Vocabulary:
 
 
 def piece_table(spark: SparkSession, v: Vocabulary) -> DataFrame:
-    """(piece, id, score) of what may stand in a text."""
-    rows = [(p, i, float(s)) for i, (p, s, k) in enumerate(zip(v.pieces, v.scores, v.kinds)) if k in (1, 4)]
-    return materialise(spark.createDataFrame(rows, "piece string, id int, score double").coalesce(1), "pieces")
+    """(p, h, id, score, place) of what may stand in a text; h hashes p, place is the score's place from the best."""
+    usable = [(p, i, float(s)) for i, (p, s, k) in enumerate(zip(v.pieces, v.scores, v.kinds)) if k in (1, 4)]
+    place = {s: i for i, s in enumerate(sorted({-s for _, _, s in usable}))}
+    rows = spark.createDataFrame([(*x, place[-x[2]]) for x in usable], "p string, id int, score double, place long")
+    return materialise(rows.withColumn("h", F.xxhash64("p")).coalesce(1), "pieces")
+
+
+def _same(a: str, b: str) -> Column:
+    """Equality of strings that a join's planner does not take as a key beside the hash."""
+    return F.col(a).startswith(F.col(b)) & F.col(b).startswith(F.col(a))
 
 
 def units(text: Column, v: Vocabulary) -> Column:
@@ -99,32 +136,31 @@ def _edge(edges: Column, start: Column, length: Column) -> Column:
 
 
 def _merged(edges: Column, n: Column) -> Column:
-    """Borders of the segments that merging neighbours, best score first and then leftmost, leaves.
-
-    A segment carries its start, its end and the score of merging it with the next, so that a merge looks up two edges.
-    """
-    def segment(a: Column, mid: Column, end: Column) -> Column:
-        return F.struct(a.alias("a"), mid.alias("z"), _edge(edges, a, end - a)["score"].alias("s"))
+    """Borders, as bits, after the merges of the edges in their order."""
+    def step(borders: Column, x: Column) -> Column:
+        inside = borders.bitwiseAND(x["inner"])
+        merge = (F.bit_count(inside) == 1) & (borders.bitwiseAND(x["ends"]) == x["ends"])
+        return F.when(merge, borders.bitwiseXOR(inside)).otherwise(borders)
 
-    def step(segments: Column, _: Column) -> Column:
-        best = F.array_max(F.transform(segments, lambda x, i: F.struct(x["s"].alias("s"), (-i).alias("left"))))  # null scores sort first
-        # a lambda's variable is worked out once, an expression once for each segment
-        return F.get(F.transform(F.array(best), lambda b: F.when(b["s"].isNull(), segments).otherwise(_joined_at(segments, b["left"]))), F.lit(0))
+    every = F.call_function("shiftleft", F.lit(1).cast("long"), n + 1) - F.lit(1).cast("long")
+    return F.aggregate(edges, every, step)
 
-    def _joined_at(segments: Column, left: Column) -> Column:
-        end_of = lambda i: F.get(segments, i)["z"]
 
-        def redone(x: Column, i: Column) -> Column:
-            merged = segment(x["a"], end_of(i + 1), end_of(i + 2))
-            before = segment(x["a"], x["z"], end_of(i + 2))
-            return F.when(i == -left, merged).when(i == -left - 1, before).otherwise(x)
+def _bytes(u: Column, at: Column, v: Vocabulary) -> Column:
+    """The byte pieces of one character of a unit."""
+    number = F.split(F.lit(",".join(map(str, v.byte_ids()))), ",").cast("array<int>")
+    digits = F.hex(F.encode(F.substring(u, at, F.lit(1)), "utf-8"))
+    return F.transform(F.sequence(F.lit(0), (F.length(digits) / 2 - 1).cast("int")), lambda j: F.get(
+        number, F.conv(F.substring(digits, 2 * j + 1, F.lit(2)), 16, 10).cast("int")))
 
-        return F.filter(F.transform(segments, redone), lambda _, i: i != 1 - left)
 
-    last = n + 1
-    first = F.transform(F.sequence(F.lit(1), n), lambda a: segment(a, a + 1, F.when(a < n, a + 2)))
-    segments = F.aggregate(F.sequence(F.lit(2), F.greatest(n, F.lit(2))), first, step)
-    return F.concat(F.transform(segments, lambda x: x["a"]), F.array(last))
+def _merged_ids(u: Column, edges: Column, borders: Column, v: Vocabulary) -> Column:
+    """The ids of the edges between neighbouring borders; by their ends, which go up along the unit."""
+    path = F.filter(edges, lambda x: (borders.bitwiseAND(x["ends"]) == x["ends"]) & (borders.bitwiseAND(x["inner"]) == 0))
+    path = F.array_sort(F.transform(path, lambda x: F.struct(x["ends"], x["id"], x["at"])))
+    plain = F.transform(path, lambda x: x["id"])
+    spelt = F.flatten(F.transform(path, lambda x: F.when(x["id"].isNotNull(), F.array(x["id"])).otherwise(_bytes(u, (x["at"] % 256).cast("int"), v))))
+    return F.when(F.exists(plain, lambda i: i.isNull()), spelt).otherwise(plain)
 
 
 def _viterbi(edges: Column, n: Column, longest: int, unknown: float) -> Column:
@@ -148,38 +184,45 @@ def _viterbi(edges: Column, n: Column, longest: int, unknown: float) -> Column:
 
 def _ids(u: Column, borders: Column, edges: Column, single: Column, v: Vocabulary) -> Column:
     """The ids of the segments between borders; characters without a piece as bytes."""
-    number = F.split(F.lit(",".join(map(str, v.byte_ids()))), ",").cast("array<int>")
-
     def segment(a: Column, i: Column) -> Column:
         k = F.get(borders, i + 1) - a
-        digits = F.hex(F.encode(F.substring(u, a, k), "utf-8"))
-        as_bytes = F.transform(F.sequence(F.lit(0), (F.length(digits) / 2 - 1).cast("int")), lambda j: F.get(
-            number, F.conv(F.substring(digits, 2 * j + 1, F.lit(2)), 16, 10).cast("int")))
         known = F.get(single, a - 1)
-        return F.when(k > 1, F.array(_edge(edges, a, k)["id"])).when(known.isNotNull(), F.array(known)).otherwise(as_bytes)
+        return F.when(k > 1, F.array(_edge(edges, a, k)["id"])).when(known.isNotNull(), F.array(known)).otherwise(_bytes(u, a, v))
 
     return F.flatten(F.transform(F.slice(borders, F.lit(1), F.size(borders) - 1), segment))
 
 
+def foldable(u: Column, v: Vocabulary) -> Column:
+    """Whether a unit can be folded; the others go through ``LongUnits``."""
+    late = v.late()
+    short = F.length(u) <= LONG
+    return short & ~u.rlike("|".join(map(re.escape, late))) if late else short
+
+
 def dictionary(distinct: DataFrame, pieces: DataFrame, v: Vocabulary) -> DataFrame:
-    """(u, ids) for distinct units u.
+    """(u, ids) for distinct units u that can be folded.
 
     The explosion and the broadcast join leave the partitioning of ``distinct`` as it is, so grouping needs no
     exchange if it is dealt by u.
     """
-    spread = distinct.filter(F.length("u") <= LONG).select("u", F.explode(F.sequence(F.lit(1), F.length("u"))).alias("start"))
+    spread = distinct.select("u", F.explode(F.sequence(F.lit(1), F.length("u"))).alias("start"))
     sub = spread.select("u", "start", F.explode(F.sequence(F.lit(1), F.least(F.lit(v.longest), F.length("u") - F.col("start") + 1))).alias("len"))
-    sub = sub.select("u", "start", "len", F.expr("substring(u, start, len)").alias("piece"))
-    edges = sub.join(F.broadcast(pieces), "piece", "left").filter("id is not null or len = 1")
+    sub = sub.select("u", "start", "len", F.expr("substring(u, start, len)").alias("piece")).withColumn("hash", F.xxhash64("piece"))
+    edges = sub.join(F.broadcast(pieces), (F.col("hash") == F.col("h")) & _same("piece", "p"), "left").filter("id is not null or len = 1")
+    n = F.length("u")
+    if v.bpe:
+        # single characters last: nothing is merged into them
+        at = F.expr("case when len = 1 then 1L << 40 else place << 8 end + start").alias("at")
+        ends = F.expr("(1L << (start - 1)) | (1L << (start + len - 1))").alias("ends")
+        inner = F.expr("((1L << (len - 1)) - 1L) << start").alias("inner")
+        grouped = edges.select("u", F.struct(at, ends, inner, "id").alias("e")).groupBy("u").agg(F.array_sort(F.collect_list("e")).alias("e"))
+        merged = grouped.select("u", "e", _merged(F.col("e"), n).alias("b"))
+        return merged.select("u", _merged_ids(F.col("u"), F.col("e"), F.col("b"), v).alias("ids"))
     edge = F.struct((F.col("start") * 1000 + F.col("len")).alias("key"), F.struct("score", "id").alias("value"))
-    longer = F.col("len") > (1 if v.bpe else 0)  # merges need no edges of one character, which make up a third
-    grouped = edges.groupBy("u").agg(F.collect_list(F.when(longer, edge)).alias("e"), F.collect_list(F.when(F.col("len") == 1, F.struct("start", "id"))).alias("one"))
+    grouped = edges.groupBy("u").agg(F.collect_list(edge).alias("e"), F.collect_list(F.when(F.col("len") == 1, F.struct("start", "id"))).alias("one"))
     lattice = grouped.select("u", F.map_from_entries("e").alias("e"), F.transform(F.array_sort("one"), lambda x: x["id"]).alias("one"))
-    n = F.length("u")
-    borders = _merged(F.col("e"), n) if v.bpe else _viterbi(F.col("e"), n, v.longest, min(v.scores) - 10.0)
-    short = lattice.select("u", "e", "one", borders.alias("b")).select("u", _ids(F.col("u"), F.col("b"), F.col("e"), F.col("one"), v).alias("ids"))
-    encode = LongUnits(v)
-    return short.unionByName(distinct.filter(F.length("u") > LONG).select("u").mapInPandas(encode.run, UNIT_ROW))
+    borders = _viterbi(F.col("e"), n, v.longest, min(v.scores) - 10.0)
+    return lattice.select("u", "e", "one", borders.alias("b")).select("u", _ids(F.col("u"), F.col("b"), F.col("e"), F.col("one"), v).alias("ids"))
 
 
 class LongUnits:
@@ -236,7 +279,8 @@ class LongUnits:
 
     def run(self, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame({"u": batch["u"], "ids": [self.ids(u) for u in batch["u"]]})
+            found = {u: self.ids(u) for u in set(batch["u"])}
+            yield batch.assign(ids=batch["u"].map(found))
 
 
 # -- from ids to texts --------------------------------------------------------------------------------------
@@ -258,25 +302,33 @@ def decoded(ids: Column, v: Vocabulary) -> Column:
 # -- documents ----------------------------------------------------------------------------------------------
 
 
-def occurrences(docs: DataFrame, v: Vocabulary, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """Two frames (row, doc_id, pos, u, ids, ok) that together hold every unit of every document with its ids.
+def occurrences(docs: DataFrame, v: Vocabulary, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, list[DataFrame]]:
+    """(row, doc_id, pos, u, ids, ok) of every unit of every document, and frames (row, pos, u, ids, ok) of those without ids there.
 
-    The first holds the frequent units, and a row without a unit for a document that has none; the second the others.
+    The first has the ids of frequent units only, and a row without a unit for a document that has none. The others
+    hold the units that are not frequent.
     """
     pieces = piece_table(docs.sparkSession, v)
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), units(F.col(text_col), v).alias("us"))
-    every = max(1, docs.count() // HOT_DOCUMENTS)
-    sample = rows.filter(F.pmod(F.xxhash64("row"), F.lit(every)) == 0).select(F.explode("us").alias("u"))
-    often = sample.filter(F.length("u") <= LONG).groupBy("u").count().filter("count > 1").orderBy(F.desc("count"), "u").limit(HOT_UNITS).select("u")
-    checked = lambda d: d.select("u", "ids", (_joined(F.col("ids"), v) == F.col("u")).alias("ok"))
+    n_docs = docs.count()
+    sample = rows.filter(F.pmod(F.xxhash64("row"), F.lit(max(1, n_docs // HOT_DOCUMENTS))) == 0).select(F.explode("us").alias("u"))
+    often = sample.groupBy("u").count().filter("count > 1").filter(foldable(F.col("u"), v)).orderBy(F.desc("count"), "u").limit(HOT_UNITS).select("u")
+    checked = lambda d: d.withColumn("ok", _joined(F.col("ids"), v) == F.col("u"))
     # many small parts, since a unit is few bytes but much work; a stated number is not joined up again
-    dealt = lambda d, n: d.repartition(max(48, n // 40_000), "u")
-    hot = materialise(checked(dictionary(dealt(often, HOT_UNITS), pieces, v)), "hot-units")
-    each = rows.select("row", "doc_id", F.posexplode_outer("us").alias("pos", "u"))
-    frequent = each.join(F.broadcast(hot), "u", "left").filter("u is null or ids is not null")
-    rare = materialise(each.filter("u is not null").join(F.broadcast(hot), "u", "left_anti").select("row", "doc_id", "pos", "u"), "rare-units")
-    tail = materialise(checked(dictionary(dealt(rare.select("u"), rare.count()).distinct(), pieces, v)), "tail-units")
-    return frequent.select("row", "doc_id", "pos", "u", "ids", "ok"), rare.join(tail, "u").select("row", "doc_id", "pos", "u", "ids", "ok")
+    parts = lambda n: max(48, n // 40_000)
+    hot = dictionary(often.repartition(parts(HOT_UNITS), "u"), pieces, v)
+    hot = materialise(checked(hot).select(F.col("u").alias("hu"), F.xxhash64("u").alias("h"), "ids", "ok"), "hot-units")
+    each = rows.select("row", "doc_id", F.posexplode_outer("us").alias("pos", "u")).withColumn("hash", F.xxhash64("u"))
+    is_hot = (F.col("hash") == F.col("h")) & _same("u", "hu")
+    frequent = each.join(F.broadcast(hot), is_hot, "left")
+    rare = materialise(each.filter("u is not null").join(F.broadcast(hot), is_hot, "left_anti").select("row", "doc_id", "pos", "u"), "rare-units")  # the same columns of docs as above, so the same row numbers
+    folds = foldable(F.col("u"), v)
+    n = parts(rare.count())
+    tail = dictionary(rare.filter(folds).select("u").repartition(n, "u").distinct(), pieces, v)
+    columns = ["row", "pos", "u", "ids", "ok"]
+    folded = rare.filter(folds).select("row", "pos", "u").repartition(n, "u").join(checked(tail), "u").select(columns)
+    other = rare.filter(~folds).select("row", "pos", "u").mapInPandas(LongUnits(v).run, "row long, pos int, u string, ids array<int>")
+    return frequent.select("row", "doc_id", "pos", "u", "ids", "ok"), [folded, checked(other).select(columns)]
 
 
 def counted(docs: DataFrame, v: Vocabulary, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -285,22 +337,28 @@ def counted(docs: DataFrame, v: Vocabulary, id_col: str = "doc_id", text_col: st
     The digest joins a hash of each unit's place and ids by exclusive or, so that it can be summed up before rows move.
     round_trip: every unit's ids decode to the unit.
     """
-    def part(x: DataFrame) -> DataFrame:
-        return x.groupBy("row", "doc_id").agg(
-            F.count("u").alias("n_units"), F.coalesce(F.sum(F.size("ids")), F.lit(0)).alias("n_tokens"),
-            F.bit_xor(F.when(F.col("u").isNotNull(), F.xxhash64("pos", "ids")).otherwise(F.lit(0))).alias("digest"),
+    def part(x: DataFrame, doc_id: Column, n_units: Column) -> DataFrame:
+        return x.groupBy("row").agg(
+            doc_id.alias("doc_id"), n_units.alias("n_units"), F.coalesce(F.sum(F.size("ids")), F.lit(0)).alias("n_tokens"),
+            F.bit_xor(F.when(F.col("ids").isNotNull(), F.xxhash64("pos", "ids")).otherwise(F.lit(0))).alias("digest"),
             F.min(F.coalesce("ok", F.lit(True))).alias("ok"))
 
-    frequent, rare = occurrences(docs, v, id_col, text_col)
-    both = part(frequent).unionByName(part(rare)).groupBy("row", "doc_id").agg(
-        F.sum("n_units").alias("n_units"), F.sum("n_tokens").alias("n_tokens"), F.bit_xor("digest").alias("digest"), F.min("ok").alias("round_trip"))
+    first, others = occurrences(docs, v, id_col, text_col)
+    both = part(first, F.max("doc_id"), F.count("u"))
+    for x in others:
+        both = both.unionByName(part(x, F.lit(None).cast(first.schema["doc_id"].dataType), F.lit(0).cast("long")))
+    both = both.groupBy("row").agg(
+        F.max("doc_id").alias("doc_id"), F.sum("n_units").alias("n_units"), F.sum("n_tokens").alias("n_tokens"), F.bit_xor("digest").alias("digest"), F.min("ok").alias("round_trip"))
     return both.select("doc_id", "n_units", "n_tokens", F.lpad(F.lower(F.hex("digest")), 16, "0").alias("ids_digest"), "round_trip")
 
 
 def encoded(docs: DataFrame, v: Vocabulary, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, ids, n_tokens. Other columns are left out."""
-    frequent, rare = occurrences(docs, v, id_col, text_col)
-    both = frequent.unionByName(rare).select("row", "doc_id", "pos", F.coalesce("ids", F.array().cast("array<int>")).alias("ids"))
-    ordered = both.groupBy("row", "doc_id").agg(F.collect_list(F.struct("pos", "ids")).alias("parts"))
+    first, others = occurrences(docs, v, id_col, text_col)
+    rows = first.filter("u is null or ids is not null or pos = 0").select("row", "doc_id", "pos", "ids")  # pos 0: each document once at least
+    for x in others:
+        rows = rows.unionByName(x.select("row", "pos", "ids"), allowMissingColumns=True)
+    part = F.when(F.col("ids").isNotNull(), F.struct("pos", "ids"))
+    ordered = rows.groupBy("row").agg(F.max("doc_id").alias("doc_id"), F.collect_list(part).alias("parts"))
     ids = F.flatten(F.transform(F.array_sort("parts"), lambda x: x["ids"]))
     return ordered.select("doc_id", ids.alias("ids")).withColumn("n_tokens", F.size("ids").cast("long"))
