@@ -261,6 +261,18 @@ def test_lattice(odd, none):
     assert lattice.encoded(none, v).count() == 0
 
 
+def test_units_beyond_the_fold(spark):
+    import sentencepiece
+
+    v = lattice.load(queries.PIECES)
+    reference = sentencepiece.SentencePieceProcessor(model_file=queries.PIECES)
+    texts = ["a   b", " " * 37 + "end", "x    y" * 9 + "  z", "w" * 59, "w" * 60, "hello" * 40, "tab\tand  two", "語" * 61, "\U0001F9FF" * 3, "unusual   "]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    assert v.late() == [lattice.SPACE * 3]
+    for r in lattice.encoded(docs, v).collect():
+        assert r["ids"] == reference.encode(texts[r["doc_id"]])
+
+
 def test_viterbi_fold(spark):
     pieces = ["<unk>", *"abc▁", "ab", "bc", "abc", "▁a", "ca"]
     scores = [0.0, -3.0, -3.0, -3.0, -2.0, -4.0, -3.5, -6.5, -2.5, -5.0]
