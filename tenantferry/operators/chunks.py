@@ -35,8 +35,8 @@ def explode_chunks(widths: DataFrame, block: int = BLOCK) -> DataFrame:
     )
 
 
-def assign_chunks(df: DataFrame, spec: TableSpec, widths: DataFrame) -> DataFrame:
-    """Adds ``tenant`` and ``start_pk`` to each row inside a planned slice.
+def assign_chunks(df: DataFrame, spec: TableSpec, widths: DataFrame, only: DataFrame | None = None) -> DataFrame:
+    """Adds ``tenant`` and ``start_pk`` to each row inside a planned slice, or inside the chunks in ``only``.
 
     An equi join on the tenant plus arithmetic. Rows outside the planned key span, such as those
     added after planning, belong to no chunk. Pass materialised widths: their size then decides
@@ -48,14 +48,18 @@ def assign_chunks(df: DataFrame, spec: TableSpec, widths: DataFrame) -> DataFram
     pk = F.col(spec.pk[0]).cast("bigint")
     joined = df.join(mine, F.col(spec.tenant_col) == F.col("tenant")).where(pk.between(F.col("min_pk"), F.col("max_pk")))
     start = chunking.start_of(pk, F.col("min_pk"), F.col("step"), F.col("wide"))
-    return joined.withColumn("start_pk", start).drop("min_pk", "max_pk", "step", "wide")
+    rows = joined.withColumn("start_pk", start).drop("min_pk", "max_pk", "step", "wide")
+    if only is not None:
+        listed = only.where(F.col("table_name") == spec.name).select("tenant", "start_pk")
+        rows = rows.join(listed, ["tenant", "start_pk"], "left_semi")
+    return rows
 
 
-def chunk_counts(df: DataFrame, spec: TableSpec, widths: DataFrame) -> DataFrame:
+def chunk_counts(df: DataFrame, spec: TableSpec, widths: DataFrame, only: DataFrame | None = None) -> DataFrame:
     """Rows per non-empty chunk."""
     keys = df.select(spec.tenant_col, spec.pk[0])
     return (
-        assign_chunks(keys, spec, widths)
+        assign_chunks(keys, spec, widths, only)
         .groupBy("tenant", "start_pk").agg(F.count("*").alias("n"))
         .select("tenant", F.lit(spec.name).alias("table_name"), "start_pk", "n")
     )

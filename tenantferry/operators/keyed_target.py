@@ -27,6 +27,9 @@ from tenantferry.specs import TableSpec, union_schema
 
 PROGRESS = T.StructType([
     T.StructField("tenant", T.StringType()),
+    T.StructField("writer", T.StringType()),
+    T.StructField("batch_id", T.LongType()),
+    T.StructField("last_ts", T.TimestampType()),
     T.StructField("applied", POS),
     T.StructField("n_changes", T.LongType()),
 ])
@@ -167,23 +170,29 @@ class KeyedTarget:
         )
 
     def _replace(self, spec: TableSpec, rows: DataFrame, at: tuple, state: dict, commit: int) -> list[int]:
-        """Writes rows, and those that share a bucket with a key they replace; names these buckets."""
-        keys = self.keys(spec)
+        """Writes rows under the commit's number; buckets with a key they replace again, whole, under its negative.
+
+        Returns these buckets. The rows are evaluated once, since a live source may give others the next time; what was
+        written is read back.
+        """
+        keys, names = self.keys(spec), self._row_fields(spec)
         incoming = rows.select(F.lit("I").alias("_op"), position(*at).alias("_pos"), *spec.columns)
-        base, hit = self._base(spec, state), []
-        if base is not None:
-            clash = base.select("_bucket", *keys).join(rows.select(*keys), keys, "left_semi")
-            # at most one row per bucket
-            hit = [r[0] for r in clash.select("_bucket").distinct().collect()]
-            if hit:
-                held, late = base.where(F.col("_bucket").isin(hit)), F.col("_pos") > position(*at)
-                # what was applied after ``at``, deletes included, wins over the rows; a compact has put it here
-                newer = held.where(late)
-                older = held.where(~late).join(rows.select(*keys), keys, "left_anti")
-                incoming = incoming.join(newer.select(*keys), keys, "left_anti")
-                for stay in (newer, older):
-                    incoming = incoming.unionByName(stay.select(*incoming.columns))
+        base = self._base(spec, state)
         self._write_base(spec, incoming, commit)
+        if base is None:
+            return []
+        written = self._base(spec, {"base": {spec.name: {str(commit): []}}})
+        clash = base.select("_bucket", *keys).join(written.select(*keys), keys, "left_semi")
+        # at most one row per bucket
+        hit = [r[0] for r in clash.select("_bucket").distinct().collect()]
+        if hit:
+            mine = F.col("_bucket").isin(hit)
+            held, written, late = base.where(mine), written.where(mine), F.col("_pos") > position(*at)
+            # what was applied after ``at``, deletes included, wins over the rows; a compact has put it here
+            newer = held.where(late)
+            older = held.where(~late).join(written.select(*keys), keys, "left_anti")
+            merged = written.join(newer.select(*keys), keys, "left_anti").select(*names)
+            self._write_base(spec, merged.unionByName(newer.select(*names)).unionByName(older.select(*names)), -commit)
         return hit
 
     def load(self, tables: Mapping[str, DataFrame], at: tuple = BEFORE_ALL, parallelism: int = 4) -> int:
@@ -201,9 +210,11 @@ class KeyedTarget:
                 for name, rows in tables.items()
             }
         for name, write in writes.items():
-            commits = state["base"].setdefault(name, {})
-            self._drop(commits, write.result())
+            commits, hit = state["base"].setdefault(name, {}), write.result()
             commits[str(commit)] = []
+            self._drop(commits, hit)
+            if hit:
+                commits[str(-commit)] = []
         state["seq"] = commit
         self._publish(state)
         return commit
@@ -228,7 +239,11 @@ class KeyedTarget:
         counted = changes.groupBy(tenant.alias("tenant")).agg(
             F.max("_pos").alias("applied"), F.count("*").alias("n_changes")
         )
-        self._write_progress(counted, commit)
+        named = counted.select(
+            "tenant", F.lit(writer).alias("writer"), F.lit(batch_id).cast("bigint").alias("batch_id"),
+            F.current_timestamp().alias("last_ts"), "applied", "n_changes",
+        )
+        self._write_progress(named, commit)
         state["seq"] = commit
         state["deltas"].append(commit)
         state["progress"].append(commit)
@@ -261,6 +276,12 @@ class KeyedTarget:
 
     def progress(self) -> DataFrame:
         """Per tenant the greatest applied position and the number of changes taken in."""
+        return self.progress_of_writers().groupBy("tenant").agg(
+            F.max("applied").alias("applied"), F.sum("n_changes").alias("n_changes")
+        )
+
+    def progress_of_writers(self) -> DataFrame:
+        """The same per tenant and writer, with the last batch's number and the time of its commit."""
         commits = self.state()["progress"]
         if not commits:
             return self.spark.createDataFrame([], PROGRESS)
@@ -268,7 +289,10 @@ class KeyedTarget:
 
     def _progress(self, commits: list[int]) -> DataFrame:
         rows = self.spark.read.schema(PROGRESS).parquet(*[f"{self.root}/progress/_commit={c}" for c in commits])
-        return rows.groupBy("tenant").agg(F.max("applied").alias("applied"), F.sum("n_changes").alias("n_changes"))
+        return rows.groupBy("tenant", "writer").agg(
+            F.max("batch_id").alias("batch_id"), F.max("last_ts").alias("last_ts"),
+            F.max("applied").alias("applied"), F.sum("n_changes").alias("n_changes"),
+        )
 
     def compact(self, replayed_up_to: tuple | None = None) -> int | None:
         """Folds the deltas into the buckets they touch.

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tenantferry.operators import ledger as led
 from tenantferry.operators.chunks import assign_chunks, chunk_counts
@@ -14,22 +15,30 @@ from tenantferry.operators.parity import compare_chunks
 from tenantferry.operators.stats import union_all
 from tenantferry.plans.planning import Plan
 from tenantferry.session import materialise, metadata_rows
-from tenantferry.sources.slices import jdbc_chunks, jdbc_waves, of_tenants
+from tenantferry.sources.slices import jdbc_chunks, jdbc_waves, key_range
 
 
 def pending_rows(source: DataFrame, spec, widths: DataFrame, pending: DataFrame | None) -> DataFrame:
     """Source rows in the pending chunks; ``None`` stands for all chunks."""
-    rows = assign_chunks(source, spec, widths)
-    if pending is not None:
-        mine = pending.where(F.col("table_name") == spec.name).select("tenant", "start_pk")
-        rows = rows.join(mine, ["tenant", "start_pk"], "left_semi")
-    return rows.select(*spec.columns)
+    return assign_chunks(source, spec, widths, pending).select(*spec.columns)
 
 
-def few_tenants(chunks: DataFrame, at_most: int = 1000) -> list | None:
-    """The tenants of some chunks, to be filtered in the scans, unless there are many."""
-    found = [r[0] for r in chunks.select("tenant").distinct().limit(at_most + 1).collect()]
-    return found if len(found) <= at_most else None
+def pending_bounds(pending: DataFrame) -> dict[str, Row]:
+    """The range of the tenants and of the keys of each table's pending chunks: one row per table."""
+    rows = pending.groupBy("table_name").agg(
+        F.min("tenant").alias("first"), F.max("tenant").alias("last"),
+        F.min("start_pk").alias("start_pk"), F.max("end_pk").alias("end_pk"),
+    )
+    return {r.table_name: r for r in rows.collect()}
+
+
+def within(df: DataFrame, spec, bounds: Row) -> DataFrame:
+    """Rows in the range of the pending chunks: a filter in the scan, the same for any number of tenants."""
+    rows = key_range(df, spec, bounds.start_pk, bounds.end_pk)
+    # a plan holds tenants as text, whose order is that of text columns only
+    if df.schema[spec.tenant_col].dataType == T.StringType():
+        rows = rows.where(F.col(spec.tenant_col).between(bounds.first, bounds.last))
+    return rows
 
 
 def migrate(
@@ -39,31 +48,28 @@ def migrate(
     """Loads what the ledger does not list yet and returns the parity of the chunks it loaded.
 
     ``handoff`` is the log position taken before the first read; replication starts from it. A run
-    cut short is simply repeated: chunks in the ledger are not read again, and a load that was
-    written but not recorded replaces itself.
+    cut short is simply repeated: scans are narrowed to the range of the pending chunks, rows of
+    chunks in the ledger are neither loaded nor counted again, and a load that was written but not
+    recorded replaces itself.
     """
     spark = target.spark
     todo = materialise(led.pending(plan.chunks, led.read_ledger(spark, ledger_path)), "pending")
     # if every chunk of the planned slices is to be loaded, rows need no look at the list
     whole = todo.count() == (plan.tables.agg(F.sum("chunk_count")).first()[0] or 0)
-    # bounded by the number of tables
-    names = [r[0] for r in todo.select("table_name").distinct().collect()]
+    bounds = pending_bounds(todo)
+    names = sorted(bounds)
     if not names:
         return compare_chunks(*[_no_counts(spark)] * 2)
 
     counts = {"source": [], "target": []}
-    few = few_tenants(todo)
-    source = {n: of_tenants(source[n], target.specs[n], few) for n in names}
-    loads = {
-        name: pending_rows(source[name], target.specs[name], plan.tables, None if whole else todo)
-        for name in sorted(names)
-    }
-    target.load(loads, handoff)
-    for name in sorted(names):
+    only = None if whole else todo
+    source = {n: within(source[n], target.specs[n], bounds[n]) for n in names}
+    target.load({n: pending_rows(source[n], target.specs[n], plan.tables, only) for n in names}, handoff)
+    for name in names:
         spec = target.specs[name]
-        counts["source"].append(chunk_counts(source[name], spec, plan.tables))
-        held = of_tenants(target.table(name), spec, few)
-        counts["target"].append(chunk_counts(held, spec, plan.tables))
+        counts["source"].append(chunk_counts(source[name], spec, plan.tables, only))
+        held = within(target.table(name), spec, bounds[name])
+        counts["target"].append(chunk_counts(held, spec, plan.tables, only))
     both = compare_chunks(union_all(counts["source"]), union_all(counts["target"]))
     report = materialise(
         todo.join(both, ["tenant", "table_name", "start_pk"], "left").select(

@@ -121,6 +121,7 @@ def plan_json(plan: Plan, database: str, tenant_col: str, page: int = BLOCK) ->
             F.struct(F.col("start_pk").alias("start"), F.col("end_pk").alias("end"))
         )).alias("chunks")
     )
+    # fixed values: the names in the documents
     head = [
         F.col("tenant").alias("customer_id"), F.lit(tenant_col).alias("tenant_column"),
         F.lit(database).alias("source_database"), F.col("table_name").alias("table"),

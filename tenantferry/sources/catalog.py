@@ -130,6 +130,7 @@ def key_check(tables: DataFrame, keys: DataFrame) -> DataFrame:
     """Adds ``chunkable`` and, where it is false, the ``reason``; keyless tables stay."""
     n = F.coalesce("n_pk", F.lit(0))
     integer = F.lower("pk_type").isin(*INTEGER_TYPES)
+    # fixed values: the texts of the reasons
     reason = (
         F.when(n == 0, F.lit("no primary key"))
         .when(n > 1, F.concat(F.lit("composite PK ("), F.col("pk_names"), F.lit(")")))

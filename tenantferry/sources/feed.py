@@ -96,6 +96,7 @@ def tenant_changes(
     tenants: Iterable | DataFrame | None = None,
     on_tenant_exit: str = "ignore",
     on_key_change: str = "ignore",
+    tenant_in_key: bool = False,
 ) -> DataFrame:
     """Changes of the wanted tenants: ``table_name, _op, _pos`` and the row's columns.
 
@@ -104,7 +105,9 @@ def tenant_changes(
     list, a DataFrame with a ``tenant`` column for long lists, or None for every tenant.
 
     An update that leaves the tenant is dropped and one that changes the key leaves the old key
-    behind, unless the options are set to ``delete``: then the old row is deleted.
+    behind, unless the options are set to ``delete``: then the old row is deleted. Where the target
+    keeps a copy per tenant (``tenant_in_key``), every change of the tenant leaves the old copy's
+    tenant, also if the new one is wanted too.
     """
     specs = dict(specs)
     row = union_schema(specs.values())
@@ -113,7 +116,7 @@ def tenant_changes(
         raise ValueError("the tables of one feed must share the tenant column")
     tenant_col = tenant_cols.pop()
     long_list = isinstance(tenants, DataFrame)
-    if on_tenant_exit == "delete" and long_list:
+    if on_tenant_exit == "delete" and long_list and not tenant_in_key:
         raise ValueError("on_tenant_exit='delete' needs the tenants as a list")
 
     def wanted(image: Column) -> Column:
@@ -133,7 +136,8 @@ def tenant_changes(
     # each event yields its change and, if asked for, the delete of the row it moved away from
     drop_old = F.lit(False)
     if on_tenant_exit == "delete":
-        drop_old = drop_old | (wanted(before) & ~wanted(after))
+        left = ~before[tenant_col].eqNullSafe(after[tenant_col]) if tenant_in_key else ~wanted(after)
+        drop_old = drop_old | (wanted(before) & left)
     if on_key_change == "delete":
         moved = F.lit(False)
         for spec in specs.values():

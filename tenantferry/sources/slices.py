@@ -43,22 +43,40 @@ def key_range(df: DataFrame, spec: TableSpec, start: int, end: int) -> DataFrame
     return df.where(F.col(spec.pk[0]).between(start, end))
 
 
-def _quoted(value) -> str:
+def backslash_escapes(url: str) -> bool:
+    """Databases in whose text literals a backslash is an escape, whose names stand in backticks, and
+    which compare text without regard to case."""
+    return url.startswith(("jdbc:mysql:", "jdbc:mariadb:"))
+
+
+def _name(name: str, url: str) -> str:
+    mark = "`" if backslash_escapes(url) else '"'
+    return mark + name.replace(mark, 2 * mark) + mark
+
+
+def _quoted(value, url: str) -> str:
     if isinstance(value, (int, float)):
         return str(value)
-    return "'" + str(value).replace("'", "''") + "'"
+    text = str(value).replace("'", "''")
+    return "'" + (text.replace("\\", "\\\\") if backslash_escapes(url) else text) + "'"
 
 
-def chunk_predicate(spec: TableSpec, tenant, start: int, end: int) -> str:
-    return f"{spec.tenant_col} = {_quoted(tenant)} AND {spec.pk[0]} BETWEEN {int(start)} AND {int(end)}"
+def chunk_predicate(spec: TableSpec, tenant, start: int, end: int, url: str) -> str:
+    """The rows of a chunk. The tenant matches exactly, so that no row is read under two predicates."""
+    column, value = _name(spec.tenant_col, url), _quoted(tenant, url)
+    same = f"{column} = {value}"
+    if backslash_escapes(url) and isinstance(tenant, str):
+        # the first lets an index find the rows, the second leaves those of other case or with blanks behind
+        same += " AND " + " = ".join(f"CAST(CONVERT({x} USING utf8mb4) AS BINARY)" for x in (column, value))
+    return f"{same} AND {_name(spec.pk[0], url)} BETWEEN {int(start)} AND {int(end)}"
 
 
 def jdbc_chunks(
     spark: SparkSession, url: str, spec: TableSpec, chunks: Iterable[tuple], properties: dict | None = None,
 ) -> DataFrame:
     """One partition per ``(tenant, start, end)``, each its own bounded read of the source."""
-    predicates = [chunk_predicate(spec, t, s, e) for t, s, e in chunks]
-    return spark.read.jdbc(url, spec.name, predicates=predicates, properties=properties or {})
+    predicates = [chunk_predicate(spec, t, s, e, url) for t, s, e in chunks]
+    return spark.read.jdbc(url, _name(spec.name, url), predicates=predicates, properties=properties or {})
 
 
 def jdbc_waves(chunks: DataFrame, wave: int = 10_000) -> Iterator[list[tuple]]:

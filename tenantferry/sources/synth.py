@@ -1,4 +1,4 @@
-"""Fixture rows for the two chunkable tables and the composite-key one, from row counts per tenant."""
+"""Fixture rows for the two chunkable tables, from row counts per tenant, and the schema of the composite-key one."""
 
 from __future__ import annotations
 

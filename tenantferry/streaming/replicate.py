@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tenantferry import files
 from tenantferry.operators.keyed_target import KeyedTarget
+from tenantferry.sources.coordinates import missing_positions
 from tenantferry.sources.feed import LAST_ROW, position, row_events, tenant_changes
+from tenantferry.sources.slices import tenant_frame
 
 
 def after_start(changes: DataFrame, tenant_col: str, start: tuple | DataFrame | None) -> DataFrame:
@@ -20,7 +24,8 @@ def after_start(changes: DataFrame, tenant_col: str, start: tuple | DataFrame |
     if start is None:
         return changes
     if isinstance(start, tuple):
-        return changes.where(F.col("_pos") > position(*start))
+        # the log file by itself is a filter that a scan can skip data by
+        return changes.where((F.col("_pos.log_file") >= start[0]) & (F.col("_pos") > position(*start)))
     at = start.select(
         F.col("tenant").alias(tenant_col),
         F.struct(
@@ -32,6 +37,28 @@ def after_start(changes: DataFrame, tenant_col: str, start: tuple | DataFrame |
     return changes.join(at, tenant_col).where(F.col("_pos") > F.col("_start")).drop("_start").select(*changes.columns)
 
 
+def writer_of(spark: SparkSession, checkpoint: str) -> str:
+    """The id of the query that owns a checkpoint folder; a new checkpoint at an old path has another."""
+    return json.loads(files.read_text(spark, f"{checkpoint.rstrip('/')}/metadata"))["id"]
+
+
+def wanted_changes(
+    feed: DataFrame,
+    target: KeyedTarget,
+    database: str,
+    tenants: Iterable | DataFrame | None = None,
+    start: tuple | DataFrame | None = None,
+    on_tenant_exit: str = "ignore",
+    on_key_change: str = "ignore",
+) -> DataFrame:
+    """The changes that replication with these options applies."""
+    tenant_col = next(iter(target.specs.values())).tenant_col
+    changes = tenant_changes(
+        feed, target.specs, database, tenants, on_tenant_exit, on_key_change, target.tenant_in_key
+    )
+    return after_start(changes, tenant_col, start)
+
+
 def replicate(
     feed: DataFrame,
     target: KeyedTarget,
@@ -47,24 +74,27 @@ def replicate(
 ) -> StreamingQuery:
     """Starts replication; with no ``interval`` it takes what is there and stops.
 
-    Each micro-batch is one commit of the target. The checkpoint folder names the writer, so a batch
-    that Spark delivers again after a failure is recognised. Batch size is set at the feed.
+    Each micro-batch is one commit of the target. The id in the checkpoint folder names the writer, so
+    a batch that Spark delivers again after a failure is recognised, and a new checkpoint at the same
+    path starts anew instead. Batch size is set at the feed. Tenants asked for by name must have a
+    start position if ``start`` is a list of them.
 
     Small deltas are joined every ``fold_every`` batches. ``compact_every`` rewrites the touched
     part of the target and is meant to be rare.
     """
-    specs = target.specs
-    tenant_col = next(iter(specs.values())).tenant_col
-    changes = after_start(
-        tenant_changes(feed, specs, database, tenants, on_tenant_exit, on_key_change), tenant_col, start
-    )
+    tenant_col = next(iter(target.specs.values())).tenant_col
+    if isinstance(start, DataFrame) and tenants is not None:
+        missing = missing_positions(tenant_frame(target.spark, tenants), start).limit(10).collect()
+        if missing:
+            raise ValueError(f"no start position for tenants such as {[r.tenant for r in missing]}")
+    changes = wanted_changes(feed, target, database, tenants, start, on_tenant_exit, on_key_change)
 
     def apply_batch(batch: DataFrame, batch_id: int) -> None:
         kept = batch.persist()
         try:
             # an empty batch leaves no commit
             if not kept.isEmpty():
-                target.apply(kept, checkpoint, batch_id, tenant_col)
+                target.apply(kept, writer_of(target.spark, checkpoint), batch_id, tenant_col)
         finally:
             kept.unpersist()
         if compact_every and (batch_id + 1) % compact_every == 0:
@@ -77,26 +107,35 @@ def replicate(
     return writer.start()
 
 
-def lag(feed: DataFrame, target: KeyedTarget, database: str) -> DataFrame:
-    """Per tenant the newest position in the feed, the newest applied one, and what lies between.
+def lag(feed: DataFrame, target: KeyedTarget, database: str, checkpoint: str | None = None, **options) -> DataFrame:
+    """Per tenant the newest position in the feed, the newest applied one, and how many changes are pending.
 
-    A tenant can be cut over when nothing is pending.
+    A tenant can be cut over when nothing is pending: no change lies past the newest applied one, and
+    as many were applied as the feed holds, so that a file which comes late is not overlooked. The
+    options (``tenants``, ``start`` and so on) must be those of ``replicate``. ``checkpoint`` tells whose
+    changes count as applied; without it, those of the writer that applied most for a tenant. A tenant
+    whose changes several writers share is then reported as pending, never as ready too soon.
     """
     tenant_col = next(iter(target.specs.values())).tenant_col
-    changes = tenant_changes(feed, target.specs, database).select(
+    changes = wanted_changes(feed, target, database, **options).select(
         F.col(tenant_col).cast("string").alias("tenant"), "_pos"
     )
-    return lag_of(changes, target.progress())
+    written = target.progress_of_writers()
+    if checkpoint is not None:
+        written = written.where(F.col("writer") == writer_of(target.spark, checkpoint))
+    progress = written.groupBy("tenant").agg(F.max("applied").alias("applied"), F.max("n_changes").alias("n_changes"))
+    return lag_of(changes, progress)
 
 
 def lag_of(changes: DataFrame, progress: DataFrame) -> DataFrame:
-    applied = progress.select("tenant", "applied")
-    waiting = F.col("applied").isNull() | (F.col("_pos") > F.col("applied"))
+    applied = progress.select("tenant", "applied", F.col("n_changes").alias("n_applied"))
+    newer = F.count_if(F.col("applied").isNull() | (F.col("_pos") > F.col("applied")))
+    missing = F.count("*") - F.coalesce(F.max("n_applied"), F.lit(0))
     return (
         changes.join(applied, "tenant", "left").groupBy("tenant")
         .agg(
             F.max("_pos").alias("feed_pos"), F.max("applied").alias("applied_pos"),
-            F.count_if(waiting).alias("pending"),
+            F.greatest(newer, missing).alias("pending"),
         )
         .withColumn("ready", F.col("pending") == 0)
     )

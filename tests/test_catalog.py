@@ -84,7 +84,18 @@ def test_catalog_of_a_database(spark, monkeypatch):
 
 
 def test_predicates_are_quoted():
-    assert chunk_predicate(SPECS["leads"], "o'neill", 1, 5) == "account_id = 'o''neill' AND id BETWEEN 1 AND 5"
+    leads = SPECS["leads"]
+    assert chunk_predicate(leads, "o'neill\\", 1, 5, "jdbc:any:") == "\"account_id\" = 'o''neill\\' AND \"id\" BETWEEN 1 AND 5"
+    got = chunk_predicate(leads, "o'neill\\", 1, 5, "jdbc:mysql://db/src")
+    assert got.startswith("`account_id` = 'o''neill\\\\' AND CAST(") and got.endswith("AND `id` BETWEEN 1 AND 5")
+    odd = TableSpec("order", schema(**{"group": "long", "a`b": "string"}), ("group",), tenant_col="a`b")
+    assert "`a``b` = 'x'" in chunk_predicate(odd, "x", 1, 5, "jdbc:mysql:") and "`group`" in chunk_predicate(odd, "x", 1, 5, "jdbc:mysql:")
+
+
+def test_tenants_that_differ_in_case_are_read_apart():
+    for tenant in ("Acc", "acc"):
+        exact = chunk_predicate(SPECS["leads"], tenant, 1, 5, "jdbc:mariadb:").split(" AND ")[1]
+        assert exact == f"CAST(CONVERT(`account_id` USING utf8mb4) AS BINARY) = CAST(CONVERT('{tenant}' USING utf8mb4) AS BINARY)"
 
 
 def test_one_bounded_read_per_chunk(spark, monkeypatch):
@@ -96,7 +107,7 @@ def test_one_bounded_read_per_chunk(spark, monkeypatch):
 
     monkeypatch.setattr(DataFrameReader, "jdbc", jdbc)
     jdbc_chunks(spark, "jdbc:any:", SPECS["leads"], [("a", 1, 5), ("a", 6, 9)])
-    assert seen["table"] == "leads" and len(seen["predicates"]) == 2
+    assert seen["table"] == '"leads"' and len(seen["predicates"]) == 2
 
 
 def test_chunk_bounds_come_in_waves(spark):

@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from feeds import ROW, SPECS, frame, random_events
 from tenantferry import verify
-from tenantferry.operators.chunks import chunk_counts
+from tenantferry.operators.chunks import chunk_counts, explode_chunks
 from tenantferry.operators.merge import latest_per_key
 from tenantferry.operators.parity import slice_metrics
 from tenantferry.operators.stats import slice_stats, with_widths
+from tenantferry.plans.migrate import pending_bounds, pending_rows, within
 from tenantferry.session import materialise
 from tenantferry.sources.feed import tenant_changes
 from tenantferry.sources.slices import key_range, tenant_slice
@@ -63,6 +64,20 @@ def test_rows_find_their_chunk_by_an_equi_join(table):
     assert "wide_text" not in text
 
 
+def test_bounds_of_the_pending_chunks_reach_the_scan(table):
+    df, spec = table
+    widths = materialise(with_widths(slice_stats(df, spec), 100), "widths")
+    todo = materialise(explode_chunks(widths).where("tenant between 'acc_1' and 'acc_2' and chunk_no = 3"), "todo")
+    bounds = pending_bounds(todo)["t"]
+    rows = pending_rows(within(df, spec, bounds), spec, widths, todo)
+    text = explained(rows)
+    pushed = " ".join(re.findall(r"PushedFilters: (.*)", text))
+    for part in ("GreaterThanOrEqual(account_id,acc_1)", "LessThanOrEqual(account_id,acc_2)", f"GreaterThanOrEqual(id,{bounds.start_pk})", f"LessThanOrEqual(id,{bounds.end_pk})"):
+        assert part in pushed
+    assert len(re.findall(r"ReadSchema: .*wide_text", text)) == 1
+    assert sorted(r.n for r in chunk_counts(within(df, spec, bounds), spec, widths, todo).collect()) == [100, 100] and rows.count() == 200
+
+
 def test_newest_change_combines_before_the_shuffle(spark):
     changes = tenant_changes(frame(spark, random_events(50)), SPECS, "src")
     text = explained(latest_per_key(changes, ["id", "table_name"]))

@@ -7,7 +7,7 @@ from pyspark.errors import StreamingQueryException
 from feeds import ROW, SPECS, applied, changes_of, content, event, frame, random_events
 from tenantferry import KeyedTarget, replicate
 from tenantferry.sources.feed import file_feed
-from tenantferry.streaming.replicate import duplicate_positions, lag
+from tenantferry.streaming.replicate import duplicate_positions, lag, writer_of
 
 
 @pytest.fixture
@@ -132,6 +132,50 @@ def test_lag(spark, site):
     assert all(r.ready for r in lag(frame(spark, events), site.target, "src").collect())
 
 
+def test_lag_sees_what_comes_late(spark, site):
+    events = [event("I", p, None, (p, "a", "x")) for p in (499, 500, 501)]
+    start = ("b.000001", 499)
+    site.target.apply(changes_of(spark, events[2:]), "w", 0)
+    for kw, pending in (({}, 2), ({"start": start}, 1)):
+        got = lag(frame(spark, events), site.target, "src", **kw).first()
+        assert (got.applied_pos.log_pos, got.pending, got.ready) == (501, pending, False)
+    site.target.apply(changes_of(spark, events[1:2]), "w", 1)
+    assert lag(frame(spark, events), site.target, "src", start=start).first().ready
+    # another writer's replay of the same changes does not make up for the missing one
+    site.target.apply(changes_of(spark, events[1:]), "again", 0)
+    assert not lag(frame(spark, events), site.target, "src").first().ready
+
+
+def test_the_writer_is_named_by_the_id_in_its_checkpoint(spark, site):
+    site.add([event("I", 1, None, (1, "a", "x"))])
+    site.run()
+    named = writer_of(spark, site.checkpoint)
+    assert site.target.state()["writers"] == {named: 0} and site.checkpoint not in named
+    got = site.target.progress_of_writers().first()
+    assert (got.tenant, got.writer, got.batch_id, got.n_changes) == ("a", named, 0, 1) and got.last_ts is not None
+    assert lag(frame(spark, [event("I", 1, None, (1, "a", "x"))]), site.target, "src", site.checkpoint).first().ready
+
+
+def test_no_start_position_is_an_error(spark, site):
+    site.add([event("I", 1, None, (1, "a", "x"))])
+    starts = spark.createDataFrame([("a", "b.000001", 0)], "tenant string, log_file string, log_pos long")
+    with pytest.raises(ValueError, match="'b'"):
+        site.run(tenants=["a", "b"], start=starts)
+    site.run(tenants=["a"], start=starts)
+    assert len(content(site.target)) == 1
+
+
+@pytest.mark.parametrize("tenants", [None, ["a", "b"]])
+def test_a_copy_goes_with_its_tenant(spark, tmp_path, tenants):
+    apart = KeyedTarget(spark, str(tmp_path / "apart"), SPECS, buckets=2, tenant_in_key=True)
+    events = [event("I", 1, None, (1, "a", "x")), event("U", 2, (1, "a", "x"), (1, "b", "y")), event("U", 3, (1, "b", "y"), (1, "b", "z"))]
+    path = str(tmp_path / "feed")
+    frame(spark, events).write.parquet(path)
+    replicate(file_feed(spark, path, ROW), apart, "src", str(tmp_path / "cp"), tenants, on_tenant_exit="delete").awaitTermination()
+    assert [(r.account_id, r.v) for r in apart.table("leads").collect()] == [("b", "z")]
+    assert all(r.ready for r in lag(frame(spark, events), apart, "src", tenants=tenants, on_tenant_exit="delete").collect())
+
+
 def test_conflicting_positions_are_found(spark):
     events = [event("I", 1, None, (1, "a", "x")), event("I", 1, None, (1, "a", "x")), event("I", 2, None, (1, "a", "x")), event("I", 2, None, (2, "a", "x"))]
     assert [r.pos.log_pos for r in duplicate_positions(frame(spark, events), "src").collect()] == [2]

@@ -328,18 +328,44 @@ select tenant, feed.log_file || ':' || feed.log_pos || ':' || feed.row_idx as fe
  (select count(*) from c where c.tenant = t.tenant and (applied is null or c.pos > applied))::bigint as pending, feed = applied as ready from t"""
 
 
-@query("str10_lag", LAG.format(w.changes_sql()))
-def _(spark, sf):
+def _lag(spark, sf, part):
     target = _target(spark, sf, with_snapshot=False)
-    target.apply(_split(_changes(spark, sf))[0], "batches", 0)
+    target.apply(_split(_changes(spark, sf))[part], "batches", 0)
     report = lag(w.feed(spark, sf), target, w.DB)
 
     def text(c):
-        return F.concat_ws(":", f"{c}.log_file", F.col(f"{c}.log_pos").cast("string"), F.col(f"{c}.row_idx").cast("string")).alias(c)
+        return F.concat(f"{c}.log_file", F.lit(":"), F.col(f"{c}.log_pos").cast("string"), F.lit(":"), F.col(f"{c}.row_idx").cast("string")).alias(c)
 
     return report.select("tenant", text("feed_pos"), text("applied_pos"), "pending", "ready")
 
 
+@query("str10_lag", LAG.format(w.changes_sql()))
+def _(spark, sf):
+    return _lag(spark, sf, 0)
+
+
+LATE_LAG = """with c as (select account_id as tenant, struct_pack(log_file := log_file, log_pos := log_pos, row_idx := row_idx) as pos, log_file >= 'bin.000003' as late from {}),
+t as (select tenant, max(pos) as feed, max(case when late then pos end) as applied, count(*) - count(*) filter (late) as n_missing from c group by 1),
+p as (select *, greatest(n_missing, (select count(*) from c where c.tenant = t.tenant and (applied is null or c.pos > applied)))::bigint as pending from t)
+select tenant, feed.log_file || ':' || feed.log_pos || ':' || feed.row_idx as feed_pos, applied.log_file || ':' || applied.log_pos || ':' || applied.row_idx as applied_pos,
+ pending, pending = 0 as ready from p"""
+
+
+@query("str10_lag_late_files", LATE_LAG.format(w.changes_sql()))
+def _(spark, sf):
+    # the later files came first; nothing is newer than what was applied, and still not all is there
+    return _lag(spark, sf, 1)
+
+
+@query("snk1_load_after_compact", merged_sql())
+def _(spark, sf):
+    target = _target(spark, sf)
+    target.apply(_changes(spark, sf), "batches", 0)
+    target.compact()
+    target.load({"activities": w.snapshot(spark, sf)})
+    return _rows(target)
+
+
 # -- options --------------------------------------------------------------------------------------
 
 EXIT = f"""(select table_name, op, {POS}, {COLS} from {w.changes_sql()} where account_id = 'acc_1' union all
@@ -358,6 +384,17 @@ def _(spark, sf):
     return _flat(_changes(spark, sf, ["acc_1"], on_key_change="delete"))
 
 
+COPIES = f"""(select table_name, op, {POS}, {COLS} from {w.changes_sql()} where account_id is not null union all
+ select table_name, 'D', {POS}, {', '.join('b_' + c for c in w.COLUMNS)} from {w.changes_sql()} where op = 'U' and b_account_id is not null and b_account_id is distinct from account_id)"""
+
+
+@query("fil2_exit_per_copy", f"select table_name, {COLS} from (select * from {COPIES} qualify row_number() over (partition by table_name, account_id, id order by log_file desc, log_pos desc, row_idx desc) = 1) where op <> 'D'")
+def _(spark, sf):
+    target = _target(spark, sf, with_snapshot=False, tenant_in_key=True)
+    _stream(spark, sf, target, _files(spark, sf), scratch(spark, "cp"), max_files=3, on_tenant_exit="delete")
+    return _rows(target)
+
+
 @query("e2e4_replicate", merged_sql())
 def _(spark, sf):
     target = _target(spark, sf)

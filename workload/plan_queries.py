@@ -9,6 +9,7 @@ from tenantferry.operators.parity import compare_chunks
 from tenantferry.operators.stats import slice_counts, slice_stats, union_all, with_widths
 from tenantferry.plans import planning
 from tenantferry.session import materialise, metadata_rows, scratch
+from tenantferry.sources.catalog import catalog_of, tenant_tables
 from tenantferry.sources.slices import is_tenant, key_range, tenant_slice
 from tenantferry.sources import synth
 from tenantferry.specs import TableSpec, duplicate_keys, ordered
@@ -209,16 +210,16 @@ def _(spark, sf):
 
 @query("set2_skipped_and_discovered", f"select distinct table_name from {SKIPS} where reason like '%PK%' intersect select table_name from {CARRYING}")
 def _(spark, sf):
-    frames, _, p = _plan(spark, sf)
-    discovered = w.sizes(frames).where("n_rows > 0").select("table_name")
+    frames, specs, p = _plan(spark, sf)
+    discovered = tenant_tables(catalog_of(spark, specs.values()), w.DB, w.TENANT)
     return p.skipped.where(F.contains("reason", F.lit("PK"))).select("table_name").intersect(discovered)
 
 
 @query("set3_discovered_minus_skipped", f"select table_name from {CARRYING} where table_name not in (select table_name from {SKIPS})")
 def _(spark, sf):
-    _, _, p = _plan(spark, sf)
-    planned = p.tables.select("table_name").distinct().unionByName(p.skipped.select("table_name").distinct())
-    return planned.distinct().exceptAll(p.skipped.select("table_name").distinct())
+    _, specs, p = _plan(spark, sf)
+    discovered = tenant_tables(catalog_of(spark, specs.values()), w.DB, w.TENANT)
+    return discovered.exceptAll(p.skipped.select("table_name").distinct())
 
 
 @query("set4_skipped_names", f"select distinct table_name from {SKIPS}")
@@ -313,6 +314,14 @@ def _(spark, sf):
     return _migrated(spark, sf, ["activities"], half_first=True)[0].table("activities")
 
 
+@query("e2e3_resume_all_tables", " union all ".join(f"select '{n}' as table_name, count(*)::bigint as n_rows, sum(id)::bigint as id_sum from {w.table_sql(n)} where account_id is not null" for n in w.CHUNKED))
+def _(spark, sf):
+    target = _migrated(spark, sf, w.CHUNKED, half_first=True)[0]
+    return union_all(
+        target.table(n).agg(F.lit(n).alias("table_name"), F.count("*").alias("n_rows"), F.sum("id").cast("bigint").alias("id_sum")) for n in w.CHUNKED
+    )
+
+
 @query("key_uniqueness", "select l_orderkey as order_id, l_linenumber as line, count(*)::bigint as n from lineitem group by 1, 2 having count(*) > 1")
 def _(spark, sf):
     df = w.table(spark, sf, "order_lines")
