@@ -245,23 +245,39 @@ def components(edges: DataFrame) -> DataFrame:
     return now.select(F.col("u").alias("v"), F.col("v").alias("root"))
 
 
-def near_duplicates(docs: DataFrame, most: int = MAX_BITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id, fingerprint, component_id (the smallest id that links reach)."""
-    prints = materialise(docs.select(F.col(id_col).alias("doc_id"), fingerprints(F.col(text_col)).alias("fp")), "fingerprints")
+def text_hash(text: Column) -> Column:
+    return F.md5(utf8(text))
+
+
+def _labelled(docs: DataFrame, most: int, id_col: str, text_col: str) -> DataFrame:
+    """One row per document: doc_id, text_hash, fp, root (of its group, of its own for each group) and component_id."""
+    columns = F.col(id_col).alias("doc_id"), text_hash(F.col(text_col)).alias("text_hash"), fingerprints(F.col(text_col)).alias("fp")
+    prints = materialise(docs.select(*columns), "fingerprints")
     classes = materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "classes")
     found = components(links(classes.select("fp"), most))
     rooted = classes.join(found, classes["fp"] == found["v"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = rooted.join(least, "root").select("fp", "component_id")
-    return prints.join(named, "fp").select("doc_id", as_hex(F.col("fp")).alias("fingerprint"), "component_id")
+    return prints.join(rooted.join(least, "root").select("fp", "root", "component_id"), "fp")
+
+
+def near_duplicates(docs: DataFrame, most: int = MAX_BITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per document: doc_id, fingerprint, component_id (the smallest id that links reach)."""
+    return _labelled(docs, most, id_col, text_col).select("doc_id", as_hex(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+def _one_of_each(docs: DataFrame, labelled: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The first document of each root, by id (none last), fingerprint and text; of repeated rows of it, one."""
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp", "text_hash")
+    first = labelled.groupBy("root").agg(F.min(place).alias("m")).select(F.col("m.doc_id").alias("__id"), F.col("m.text_hash").alias("__hash"))
+    marked = docs.withColumn("__text", text_hash(F.col(text_col)))
+    same = (F.col("__text") == F.col("__hash")) & F.col(id_col).eqNullSafe(F.col("__id"))
+    return marked.join(first, same, "left_semi").dropDuplicates([id_col, "__text"]).drop("__text")
 
 
-def drop_near_duplicates(docs: DataFrame, most: int = MAX_BITS) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, most: int = MAX_BITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One document of each group, the one with the smallest id, with its columns as they are.
 
-    Of repeated rows of that id one stays; documents without an id are kept.
+    Different texts of one id are told apart. Of repeated rows of an id and text one stays; documents without an id
+    stay only where their group has none with one.
     """
-    groups = near_duplicates(docs, most)
-    keep = groups.filter("doc_id = component_id").select("doc_id").distinct()
-    known = docs.filter(F.col("doc_id").isNotNull()).join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return known.unionByName(docs.filter(F.col("doc_id").isNull()))
+    return _one_of_each(docs, _labelled(docs, most, id_col, text_col), id_col, text_col)

@@ -111,6 +111,15 @@ def test_simhash(odd, none):
     assert simhash.near_duplicates(none).count() == 0
 
 
+def test_unlike_texts_of_one_id_keep_one_each(spark):
+    r = random.Random(11)
+    a, b, c = (" ".join(r.choices([f"w{i}" for i in range(500)], k=60)) for _ in range(3))
+    docs = spark.createDataFrame([(1, a), (1, b), (1, b), (2, b), (3, c), (None, c), (None, a + " end")], "doc_id long, text string")
+    for _ in range(2):
+        kept = simhash.drop_near_duplicates(docs.repartition(5), most=0)
+        assert sorted(map(tuple, kept.filter("doc_id is not null").collect())) == sorted([(1, a), (1, b), (3, c)])
+
+
 @pytest.mark.parametrize("block", [4096, 16])
 def test_links_join_what_differs_in_few_bits(spark, block):
     r = random.Random(3)
