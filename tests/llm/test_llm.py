@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tenantferry.llm import kdtree, lattice, mixing, pii, queries, repetition, secrets, simhash, token_trees, topk, toxicity
+from tenantferry.llm import kdtree, lattice, mixing, pii, queries, repetition, secrets, similar, simhash, token_trees, topk, toxicity
 
 SPACE = re.compile(r"[^\x20\x09-\x0D]+")
 PROSE = "The quick brown fox jumps over the lazy dog while seven wizards quietly mix potent brews near the old mill by the river"
@@ -120,6 +120,36 @@ def test_unlike_texts_of_one_id_keep_one_each(spark):
         assert sorted(map(tuple, kept.filter("doc_id is not null").collect())) == sorted([(1, a), (1, b), (3, c)])
 
 
+def test_stage_links_by_similarity_of_five_word_shingles(spark):
+    r = random.Random(12)
+    word = lambda: f"w{r.randrange(3000)}"
+    texts = [None, "", "one two", "One  two", "one two three"]
+    for k in range(25):
+        base = [word() for _ in range(r.choice([5, 12, 64, 200]))]
+        texts.append(" ".join(base))
+        for _ in range(3):
+            copy = list(base)
+            for _ in range(r.randint(1, 1 + len(base) // 40)):
+                copy[r.randrange(len(copy))] = word()
+            texts.append(" ".join(copy + [word()] * r.randint(0, 2)))
+    chain = [f"c{i}" for i in range(230)]  # a large group in which not every pair is similar
+    texts += [" ".join(chain[i:i + 150]) for i in range(80)]
+    sets = []
+    for t in texts:
+        w = SPACE.findall((t or "").lower())
+        sets.append({tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))})
+    label = list(range(len(texts)))
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if 5 * len(a & b) >= 4 * len(a | b) and label[i] != label[j]:
+                old, new = max(label[i], label[j]), min(label[i], label[j])
+                label = [new if x == old else x for x in label]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    kept = corpus_pipeline.near_duplicates(spark, docs, "")
+    assert kept.columns == docs.columns and sorted(x["doc_id"] for x in kept.collect()) == sorted(set(label))
+    assert similar.drop_similar(docs.limit(0)).count() == 0
+
+
 @pytest.mark.parametrize("block", [4096, 16])
 def test_links_join_what_differs_in_few_bits(spark, block):
     r = random.Random(3)
