@@ -242,6 +242,34 @@ def test_mixing(odd, none):
     assert mixing.sample(none, 0.8).count() == 0 and mixing.sample(odd, 0.8).columns == odd.columns
 
 
+def test_a_rare_cell_does_not_set_the_scale(spark):
+    rows = [(i, "word " * 50, f"s{i % 3}", "en" if i % 5 else "de") for i in range(900)]
+    rare = [(10_000, "five words of a source", "new", "xx"), (10_001, "one", None, None)]
+    part = {}
+    for name, extra in (("given", []), ("rare", rare)):
+        docs = spark.createDataFrame(rows + extra, "doc_id long, text string, source string, lang string")
+        marks = mixing.by_source_language_topic(docs, 0.8).select("doc_id", "__mix.*").collect()
+        part[name] = sum(x["probability"] * x["weight"] for x in marks) / sum(x["weight"] for x in marks)
+        assert all(x["source"] == mixing.OTHER for x in marks if x["doc_id"] >= 10_000)
+    assert abs(part["given"] - mixing.KEEP) < 1e-6 and abs(part["rare"] - part["given"]) < 1e-3
+
+
+def test_mixing_keeps_to_its_budget():
+    r = random.Random(13)
+    for trial in range(200):
+        cells = {(f"a{i}", f"b{j}"): float(r.choice([0, 1, 10, 1000])) for i in range(4) for j in range(3)}
+        if not any(cells.values()):
+            continue
+        goals = [mixing.tempered(cells, i, 0.5) for i in range(2)]
+        keep = r.choice([0.05, 0.5, 0.9])
+        p = mixing.probabilities(cells, goals, keep)
+        assert all(0 < x <= 1 for x in p.values())
+        assert abs(mixing.report(cells, goals, p)[0] - keep) < 1e-3
+    cells = {("a",): 10.0, ("b",): 1000.0, (mixing.OTHER,): 500.0}
+    assert mixing.probabilities(cells, [{"a": 1.0}]) == {("a",): 1.0, ("b",): 0.0, (mixing.OTHER,): 0.0}
+    assert mixing.probabilities({("a",): 10.0, ("b",): 990.0}, [{"a": 0.5, "b": 0.5}], 0.5) == {("a",): 1.0, ("b",): pytest.approx(490 / 990)}
+
+
 @pytest.mark.parametrize("block", [20000, 7])
 def test_topk(spark, block):
     r = np.random.default_rng(4)
