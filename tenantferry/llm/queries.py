@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenantferry.llm import kdtree, lattice, mixing, pii, repetition, secrets, simhash, token_trees, topk, toxicity
+from tenantferry.llm import cuckoo, kdtree, lattice, merkle, mixing, pii, repair, repetition, secrets, simhash, sql, token_trees, topk, toxicity
 from tenantferry.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,11 +26,11 @@ SHARDS = 16
 FLATTEN = 0.8
 
 
-def query(sql: str | None = None) -> Callable[[Query], Query]:
+def query(oracle: str | None = None) -> Callable[[Query], Query]:
     def add(fn: Query) -> Query:
         QUERIES[fn.__name__] = fn
-        if sql:
-            ORACLE[fn.__name__] = sql
+        if oracle:
+            ORACLE[fn.__name__] = oracle
         return fn
     return add
 
@@ -118,3 +118,19 @@ def op10_kdtree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), F.col("shard").cast("int").alias("shard"),
         F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query(sql.REPAIR)
+def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.conversations(table(spark, sf_dir, "conversations"))
+
+
+@query(sql.DEDUP)
+def op12_cuckoo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cuckoo.documents(table(spark, sf_dir, "documents"))
+
+
+@query(sql.MERKLE)
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    proofs = merkle.documents(table(spark, sf_dir, "documents"))
+    return proofs.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
