@@ -1,30 +1,35 @@
 """Quality rules: repeated passages inside a document, found with a suffix array over its words.
 
 The words of a batch of documents form one sequence whose symbols are numbered per document, so that a
-repeat never spans two documents. Prefix doubling gives the rank of every suffix; a level's ranks tell
-which windows of 2**k words are equal, and from the top level down they give the longest common prefix
-of neighbours in the suffix array. Where the depth of the LCP interval of a suffix does not carry on
-from the word before, a maximal repeated substring begins; the union of those spans is what repeats.
+repeat never spans two documents. Prefix doubling gives the rank of every suffix, and only the newest ranks are
+kept. Longest common prefixes are compared out where the word before differs from that of the neighbour in the suffix
+array; everywhere else they are one less than those of the word before, so they take linear memory.
+Where the depth of the LCP interval of a suffix does not carry on from the word before, a maximal repeated
+substring begins; the union of those spans is what repeats.
 
 Null texts count as empty ones. Documents without words have no repeats and fail the base rule on the
-number of words. Texts of any length are taken whole; a batch ends after ``BATCH_WORDS`` words or one document.
+number of words. Texts of any length are taken whole; a batch ends after ``BATCH_WORDS`` words or one document, and
+of a batch's texts one at a time is held as words.
 """
 
 from __future__ import annotations
 
+import re
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import count
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tenantferry.llm.common import utf8
 
 WINDOW = 8
-BATCH_WORDS = 400_000
+BATCH_WORDS = 100_000
+#: Longer texts are split into words piece by piece.
+PIECE = 1 << 20
 MIN_WORDS, MAX_REPEAT_PERCENT = 20, 30
 #: The method's limits: a repeat counts from so many words on; largest covered share; longest repeat as a share
 #: of the document, applied from so many words on.
@@ -34,27 +39,72 @@ FIELDS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_rep
 SPACES = b"\t\n\x0b\x0c\r "
 NOT_COUNTED = SPACES + bytes(range(0x80, 0xC0))  # white space, and all but the first byte of a character
 SYMBOLS = b"#*$%&|<>"
+BLANK = re.compile(rb"[\x20\t-\r]")
 
 
-def _refine(rank: np.ndarray, ties: np.ndarray, ends: np.ndarray, h: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ranks by 2h words from ranks by h words, and the suffixes that are still equal to another."""
+def _refine(rank: np.ndarray, ties: np.ndarray, ends: np.ndarray, h: int) -> np.ndarray:
+    """Turns ranks by h words into ranks by 2h words, in place; returns the suffixes that are still equal to another."""
     n = len(rank)
-    after = ties + h
+    after = ties + np.int32(h)
     second = np.where(after < ends[ties], rank[np.minimum(after, n - 1)] + 1, 0)
-    key = rank[ties] * (n + 1) + second
+    key = rank[ties].astype(np.int64) * (n + 1) + second
+    del after, second
     order = np.argsort(key, kind="stable")
     key, ties = key[order], ties[order]
-    old = rank[ties]
-    at = np.arange(len(ties))
+    del order
+    at = np.arange(len(ties), dtype=np.int32)
     new_group = np.ones(len(ties), bool)
     new_group[1:] = key[1:] != key[:-1]
+    old = (key // (n + 1)).astype(np.int32)
+    del key
     old_group = np.ones(len(ties), bool)
     old_group[1:] = old[1:] != old[:-1]
     first = np.maximum.accumulate(np.where(new_group, at, 0))
-    rank = rank.copy()
     rank[ties] = old + first - np.maximum.accumulate(np.where(old_group, at, 0))
     alone = new_group & np.append(new_group[1:], True)
-    return rank, ties[~alone]
+    return ties[~alone]
+
+
+def _matching(symbols: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """For how many words the suffixes at a and b agree; 0 where b is negative. ``symbols`` ends in one that occurs nowhere else."""
+    n = len(symbols) - 1
+    out = np.zeros(len(a), np.int32)
+    live, step = np.flatnonzero(b >= 0), 0
+    while live.size > 64:
+        out[live] = step
+        live = live[symbols[a[live] + step] == symbols[b[live] + step]]
+        step += 1
+    for k in live:
+        i, j, width = int(a[k]) + step, int(b[k]) + step, 64
+        while True:
+            width = min(width, n + 1 - max(i, j))
+            differ = symbols[i:i + width] != symbols[j:j + width]
+            if differ.any():
+                out[k] = i + int(differ.argmax()) - int(a[k])
+                break
+            i, j, width = i + width, j + width, 2 * width
+    return out
+
+
+def _depths(symbols: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """For each suffix the longest prefix it shares with a neighbour in the suffix array."""
+    n = len(rank)
+    suffixes = np.empty(n, np.int32)
+    suffixes[rank] = np.arange(n, dtype=np.int32)
+    before = np.full(n, -1, np.int32)
+    before[suffixes[1:]] = suffixes[:-1]
+    del suffixes
+    ended = np.append(symbols, np.int32(-1))
+    carried = np.zeros(n, bool)
+    carried[1:] = (before[1:] > 0) & (symbols[:-1] == ended[before[1:] - 1])
+    starts = np.flatnonzero(~carried).astype(np.int32)
+    known = _matching(ended, starts, before[starts])
+    run = np.cumsum(~carried, dtype=np.int32) - 1
+    shared = known[run] + starts[run] - np.arange(n, dtype=np.int32)
+    depth = shared.copy()
+    has = before >= 0  # each suffix is the neighbour of one other
+    depth[before[has]] = np.maximum(depth[before[has]], shared[has])
+    return depth
 
 
 def _covered(starts: np.ndarray, lengths: np.ndarray | int, n: int) -> np.ndarray:
@@ -73,32 +123,20 @@ def repeats(symbols: np.ndarray, owner: np.ndarray, ends: np.ndarray, n_docs: in
     zero = np.zeros(n_docs, np.int64)
     if not n:
         return zero, zero, zero
+    symbols, ends = symbols.astype(np.int32, copy=False), ends.astype(np.int32, copy=False)
     sizes = np.bincount(symbols)
-    rank = (np.cumsum(sizes) - sizes)[symbols]
-    ties = np.flatnonzero(sizes[symbols] > 1)
-    levels, h, windows = [rank], 1, np.empty(0, np.int64)
+    rank = (np.cumsum(sizes) - sizes).astype(np.int32)[symbols]
+    ties = np.flatnonzero(sizes[symbols] > 1).astype(np.int32)
+    h, windows = 1, np.empty(0, np.int32)
     while ties.size:
-        rank, ties = _refine(rank, ties, ends, h)
-        levels.append(rank)
+        ties = _refine(rank, ties, ends, h)
         h *= 2
         if h == WINDOW:
             windows = ties
     in_windows = np.bincount(owner[_covered(windows, WINDOW, n)], minlength=n_docs)
-
-    suffixes = np.empty(n, np.int64)
-    suffixes[rank] = np.arange(n)
-    levels = [np.append(x, -1) for x in levels]
-    here, nxt = suffixes[:-1], suffixes[1:]
-    pair = np.flatnonzero(levels[0][here] == levels[0][nxt])
-    here, nxt = here[pair], nxt[pair]
-    a, b = here.copy(), nxt.copy()
-    for k in range(len(levels) - 1, -1, -1):
-        step = (levels[k][a] == levels[k][b]) * (1 << k)
-        a += step
-        b += step
-    depth = np.zeros(n, np.int64)
-    np.maximum.at(depth, here, a - here)
-    np.maximum.at(depth, nxt, a - here)
+    del windows
+    depth = _depths(symbols, rank)
+    del rank
 
     begins = depth >= min_repeat
     begins[1:] &= ~((depth[:-1] == depth[1:] + 1) & (owner[:-1] == owner[1:]))
@@ -116,50 +154,55 @@ def _dup_lines(text: bytes) -> int:
     return len(lines) - len(set(lines))
 
 
-def measure(texts: list[bytes]) -> pd.DataFrame:
+def _words(text: bytes) -> Iterator[bytes]:
+    at = 0
+    while len(text) - at > PIECE:
+        gap = BLANK.search(text, at + PIECE)
+        end = gap.start() if gap else len(text)
+        yield from text[at:end].split()
+        at = end
+    yield from text[at:].split()
+
+
+def measure(texts: Iterable[bytes]) -> pa.Table:
     """The columns of ``FIELDS`` for each text."""
-    n_words, parts, bounds, total, size = [], [], [0], 0, 0
-    done = []
+    plain: list[tuple] = []
+    counts, parts, size, held, done = [], [], 0, 0, []
 
     def close() -> None:
-        nonlocal parts, total, size
-        if bounds[-1] == len(n_words):
-            return
-        here = np.array(n_words[bounds[-1]:], np.int64)
-        owner = np.repeat(np.arange(len(here)), here)
-        ends = np.repeat(np.cumsum(here), here)
-        done.append(np.array(repeats(np.concatenate(parts), owner, ends, len(here))))
-        bounds.append(len(n_words))
-        parts, total, size = [], 0, 0
+        nonlocal counts, parts, size, held
+        if counts:
+            here = np.array(counts, np.int32)
+            owner = np.repeat(np.arange(len(here), dtype=np.int32), here)
+            ends = np.repeat(np.cumsum(here, dtype=np.int32), here)
+            done.append(np.array(repeats(np.concatenate(parts), owner, ends, len(here))))
+        counts, parts, size, held = [], [], 0, 0
 
     for text in texts:
-        words = text.split()
         number = defaultdict(count(size).__next__)
-        parts.append(np.fromiter(map(number.__getitem__, words), np.int64, len(words)))
+        parts.append(np.fromiter(map(number.__getitem__, _words(text)), np.int32))
         size += len(number)
-        n_words.append(len(words))
-        total += len(words)
-        if total >= BATCH_WORDS:
+        n = len(parts[-1])
+        counts.append(n)
+        plain.append((n, len(text.translate(None, NOT_COUNTED)), len(text) - len(text.translate(None, SYMBOLS)), _dup_lines(text)))
+        del text, number
+        held += n
+        if held >= BATCH_WORDS:
             close()
     close()
     found = np.concatenate(done, axis=1) if done else np.zeros((3, 0), np.int64)
-    return pd.DataFrame({
-        "n_words": np.array(n_words, np.int64),
-        "word_chars": [len(x.translate(None, NOT_COUNTED)) for x in texts],
-        "n_symbols": [len(x) - len(x.translate(None, SYMBOLS)) for x in texts],
-        "n_dup_lines": [_dup_lines(x) for x in texts],
-        "n_repeat_words": found[0], "covered_words": found[1], "longest_repeat": found[2],
-    })
+    columns = [*np.array(plain, np.int64).reshape(-1, 4).T, *found.astype(np.int64)]
+    return pa.table([pa.array(c) for c in columns], names=[f.split()[0] for f in FIELDS.split(", ")])
 
 
-def _measured(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+def _measured(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     for texts in batches:
-        yield measure(list(texts))
+        yield measure(x.as_py() for x in texts).to_struct_array().combine_chunks()
 
 
 def measures(text: Column) -> Column:
     """A struct of ``FIELDS`` for a text column."""
-    return F.pandas_udf(_measured, FIELDS)(utf8(text))
+    return F.arrow_udf(_measured, FIELDS)(utf8(text))
 
 
 def base_failed(m: Column) -> Column:
