@@ -8,7 +8,7 @@ holds a single value. Rows of a single value, such as a hot source, are cut by a
 so that no value is too heavy to be shared out. All nodes of a level go through the rounds together, and what
 the driver gets is a histogram for each of them, whatever the number of rows.
 
-Null metadata sort first. Rows equal in everything share a leaf. An empty table has no rows in any shard.
+Null metadata sort first. Points equal in everything, tie included, share a leaf. An empty table has no rows in any shard.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tenantferry.session import materialise
 
@@ -25,6 +26,8 @@ BINS = 1024
 #: A cut may miss its place by this share of the node's weight.
 SLACK = 0.0005
 TIE_BITS = 60
+#: A group of equal texts larger than this part of a shard is not kept together.
+SHARED = 8
 #: Rows of a shard that are numbered together.
 NUMBERED = 100_000
 
@@ -166,20 +169,42 @@ def numbered(rows: DataFrame, shard: str, order: list[str], name: str = "slot",
     return dealt.join(before, [shard, "__part"]).select(*rows.columns, (F.col("__before") + F.row_number().over(inside) - 1).alias(name))
 
 
+def _ordered_id(column: Column, kind: T.DataType) -> Column:
+    number = column.cast("long") if isinstance(kind, T.NumericType) else prefix(column.cast("string"))
+    return F.coalesce(number, F.lit(-1))
+
+
 def documents(docs: DataFrame, leaves: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, size, text_crc32, shard, slot, by bytes of text over source, language, size and id.
 
-    The size is that of the UTF-8 text and 1; a null text has no bytes. Equal texts may be in several shards.
+    The size is that of the UTF-8 text and 1; a null text has no bytes. Documents of equal text are one group and share a
+    shard, placed by their smallest id as one point of all their bytes. Only a group of over ``1 / SHARED`` of a shard,
+    by bytes or by rows, is shared out row by row, as it would tip the balance; there are at most ``2 * SHARED * leaves``.
+    Ids may be of any type; text ids stand by their first bytes.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     has = set(docs.columns)
     name = lambda c: prefix(F.col(c).cast("string")) if c in has else F.lit(0).cast("long")
-    points = materialise(docs.select(
+    dims = ["d_source", "d_lang", "d_size", "d_id"]
+    rows = materialise(docs.select(
         F.col(id_col).alias("doc_id"), (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"),
-        name("source").alias("d_source"), name("lang").alias("d_lang"), F.coalesce(F.col(id_col).cast("long"), F.lit(-1)).alias("d_id"),
-    ).withColumns({
-        "weight": F.col("size"), "d_size": F.col("size"),
-        "tie": F.xxhash64("doc_id", "text_crc32").bitwiseAND(F.lit((1 << TIE_BITS) - 1)),
-    }), "points")
-    placed = materialise(assign(points, ["d_source", "d_lang", "d_size", "d_id"], leaves=leaves).select("doc_id", "size", "text_crc32", "shard", "tie"), "placed")
-    return numbered(placed, "shard", ["tie", "doc_id", "text_crc32"]).drop("tie")
+        F.xxhash64(F.sha2(text.cast("binary"), 256)).alias("key"), F.monotonically_increasing_id().alias("row"),
+        name("source").alias("d_source"), name("lang").alias("d_lang"), _ordered_id(F.col(id_col), docs.schema[id_col].dataType).alias("d_id"),
+    ).withColumn("d_size", F.col("size")), "rows")
+    groups = rows.groupBy("key").agg(
+        F.sum("size").alias("weight"), F.count("*").alias("n"), F.min(F.struct("d_id", "d_source", "d_lang", "d_size")).alias("at"))
+    groups = materialise(groups.select("key", "weight", "n", "at.*"), "groups")
+    whole = groups.agg(F.sum("weight").alias("w"), F.sum("n").alias("n")).first()
+    share = leaves * SHARED
+    large = (F.col("weight") * share > (whole["w"] or 0)) | (F.col("n") * share > (whole["n"] or 0))
+    out = F.broadcast(groups.where(large).where("n > 1").select("key"))
+    single = rows.join(out, "key").select(F.col("row").alias("point"), F.lit(True).alias("alone"), F.col("size").alias("weight"), "doc_id", "key", *dims)
+    joint = groups.join(out, "key", "left_anti").select(F.col("key").alias("point"), F.lit(False).alias("alone"), "weight", F.lit(None).cast(docs.schema[id_col].dataType).alias("doc_id"), "key", *dims)
+    # rows repeated with id and text differ in the last bits alone
+    tie = F.shiftleft(F.xxhash64("doc_id", "key").bitwiseAND(F.lit((1 << (TIE_BITS - 20)) - 1)), 20).bitwiseOR(F.xxhash64("point").bitwiseAND(F.lit((1 << 20) - 1)))
+    points = materialise(single.unionByName(joint).withColumn("tie", tie).select("point", "alone", "weight", "tie", *dims), "points")
+    placed = assign(points, dims, leaves=leaves).select("point", "alone", F.col("shard").alias("to"))
+    split = rows.join(out, "key", "left_semi").withColumn("alone", F.lit(True)).withColumn("point", F.col("row"))
+    kept = rows.join(out, "key", "left_anti").withColumn("alone", F.lit(False)).withColumn("point", F.col("key"))
+    all_ = split.unionByName(kept).join(placed, ["alone", "point"]).select("doc_id", "size", "text_crc32", F.col("to").alias("shard"), "key", "row")
+    return numbered(materialise(all_, "placed"), "shard", ["key", "row"]).drop("key", "row")

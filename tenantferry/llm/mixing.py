@@ -18,11 +18,13 @@ scaled up. A null id is drawn as the empty text.
 
 from __future__ import annotations
 
-from itertools import product
+from math import prod
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tenantferry.session import materialise
+
 OTHER = "(other)"
 MAX_CELLS = 1_000_000
 ROUNDS, CLOSE = 200, 1e-9
@@ -165,7 +167,7 @@ def mix(docs: DataFrame, dims: dict[str, Column], targets: dict[str, dict[str, f
     named = {d: F.coalesce(c.cast("string"), F.lit(OTHER)) for d, c in dims.items()}
     if isinstance(targets, dict):
         named = {d: F.when(c.isin(list(targets[d])), c).otherwise(OTHER) for d, c in named.items()}
-        if len(list(product(*([*targets[d], OTHER] for d in dims)))) > MAX_CELLS:
+        if prod(len(targets[d]) + 1 for d in dims) > MAX_CELLS:
             raise ValueError(f"more than {MAX_CELLS} cells")
     marked = docs.withColumn("__mix", F.struct(*(c.alias(d) for d, c in named.items()), weight.alias("weight")))
     raw = cell_sums(marked, list(dims))
@@ -175,12 +177,12 @@ def mix(docs: DataFrame, dims: dict[str, Column], targets: dict[str, dict[str, f
         cells[counted[c]] = cells.get(counted[c], 0.0) + w
     goals = [tempered(cells, i, targets) if isinstance(targets, float) else targets[d] for i, d in enumerate(dims)]
     p = probabilities(cells, goals, keep)
-    sep = "\x1f"
-    key = F.concat_ws(sep, *(F.col(f"__mix.{d}") for d in dims))
-    names = [f"__d{i}" for i in range(len(dims))]
-    schema = ", ".join(["__cell string", "__p double", *(f"{x} string" for x in names)])
-    table = docs.sparkSession.createDataFrame([(sep.join(c), p[counted[c]], *counted[c]) for c in raw], schema)
-    joined = marked.withColumn("__cell", key).join(F.broadcast(table), "__cell").drop("__cell")
+    names, keys = [f"__d{i}" for i in range(len(dims))], [f"__k{i}" for i in range(len(dims))]
+    schema = ", ".join(["__p double", *(f"{x} string" for x in [*keys, *names])])
+    # as a table its true size decides whether it is broadcast
+    table = materialise(docs.sparkSession.createDataFrame([(p[counted[c]], *c, *counted[c]) for c in raw], schema), "cells")
+    same = [F.col(f"__mix.{d}") == F.col(k) for d, k in zip(dims, keys)]
+    joined = marked.join(table, same).drop(*keys)
     kept = draw(F.col(id_col)) < F.col("__p")
     values = (F.col(x).alias(d) for x, d in zip(names, dims))
     marks = F.struct(*values, F.col("__mix.weight").alias("weight"), F.col("__p").alias("probability"), kept.alias("kept"))

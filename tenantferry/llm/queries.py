@@ -85,16 +85,16 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
 with usable as (
-    select vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as v
+    select vec_id, row_number() over () as r, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as v
     from embeddings
     where embedding is not null and len(embedding) > 0
       and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
 ), scored as (
-    select q.vec_id as query_id, c.vec_id, list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::bigint as score
-    from usable q join usable c on q.vec_id <> c.vec_id and len(q.v) = len(c.v)
+    select q.vec_id as query_id, q.r, c.vec_id, c.r as other, list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::bigint as score
+    from usable q join usable c on q.r <> c.r and len(q.v) = len(c.v)
     where q.vec_id % 50 = 0
 ), ranked as (
-    select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from scored
+    select *, row_number() over (partition by r order by score desc, vec_id, other) as rank from scored
 )
 select query_id, rank::int as rank, vec_id, score from ranked where rank <= 5
 """)

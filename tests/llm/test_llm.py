@@ -1,6 +1,7 @@
 """The operators for training data against brute force, on small tables with odd rows."""
 
 import hashlib
+import os
 import random
 import re
 import zlib
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from tenantferry.llm import kdtree, lattice, mixing, pii, queries, repetition, secrets, similar, simhash, token_trees, topk, toxicity
 
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 SPACE = re.compile(r"[^\x20\x09-\x0D]+")
 PROSE = "The quick brown fox jumps over the lazy dog while seven wizards quietly mix potent brews near the old mill by the river"
 ODD = [
@@ -36,6 +38,10 @@ def none(odd):
     return odd.limit(0)
 
 
+def spark_of(df):
+    return df.sparkSession
+
+
 def by_id(df):
     return {r["doc_id"]: r for r in df.collect()}
 
@@ -189,7 +195,7 @@ def test_repetition(odd, none):
     texts = [" ".join(r.choice("abc") for _ in range(r.randint(0, 60))).encode() for _ in range(60)] + [b"x " * 50, b""]
     m = repetition.measure(texts)
     for i, t in enumerate(texts):
-        assert tuple(m.loc[i, ["n_repeat_words", "covered_words", "longest_repeat"]]) == repeats(t.decode())
+        assert tuple(m[c][i].as_py() for c in ("n_repeat_words", "covered_words", "longest_repeat")) == repeats(t.decode())
     for r in repetition.quality(odd).collect():
         text = ODD[r["doc_id"]] or ""
         words = SPACE.findall(text)
@@ -202,6 +208,29 @@ def test_repetition(odd, none):
     assert repetition.keep_good(odd).columns == odd.columns and repetition.quality(none).count() == 0
 
 
+def test_repetition_takes_linear_memory():
+    """20 MB of one document: its repeats of a few words, and of half its length, within a few times its size."""
+    code = """
+import resource, sys
+from tenantferry.llm import repetition
+rss = lambda: resource.getrusage(resource.RUSAGE_SELF).ru_maxrss / 1024
+text = {text}
+start = rss()
+m = repetition.measure([text]).to_pylist()[0]
+print(len(text), m["n_words"], m["longest_repeat"], rss() - start)
+"""
+    import subprocess
+    import sys
+
+    n = 220_000
+    whole = f'b"the quick brown fox jumps over the lazy dog and then sleeps all day under trees " * {n}'
+    half = f'(h := b" ".join(b"w%d" % (i * 7919 % 1000003) for i in range({10 * n}))) + b" " + h'
+    for text, words, longest in ((whole, 16 * n, 16 * (n - 1)), (half, 20 * n, 10 * n)):
+        out = subprocess.run([sys.executable, "-c", code.format(text=text)], capture_output=True, text=True, check=True, cwd=ROOT).stdout.split()
+        assert int(out[0]) > 16_000_000 and (int(out[1]), int(out[2])) == (words, longest)
+        assert float(out[3]) < 600
+
+
 def test_token_trees(spark, odd, none):
     counter = token_trees.Counter(queries.RANKS, queries.PRE_TOKENS)
     r = random.Random(5)
@@ -239,6 +268,9 @@ def test_mixing(odd, none):
         assert x["weight"] == len(SPACE.findall(ODD[x["doc_id"]] or "")) and 0 <= x["probability"] <= 1
         u = int(hashlib.md5(str(x["doc_id"]).encode()).hexdigest()[:13], 16) / 2**52
         assert x["kept"] == (u < x["probability"])
+    rows = [(i, "a b c", *x) for i, x in enumerate([("a\x1fb", "c"), ("a", "b\x1fc"), ("a", "c")] * 6)]
+    cells = mixing.by_source_language_topic(spark_of(odd).createDataFrame(rows, "doc_id long, text string, source string, lang string"), 0.8)
+    assert sorted(r["doc_id"] for r in cells.collect()) == list(range(18))
     assert mixing.sample(none, 0.8).count() == 0 and mixing.sample(odd, 0.8).columns == odd.columns
 
 
@@ -274,15 +306,20 @@ def test_mixing_keeps_to_its_budget():
 def test_topk(spark, block):
     r = np.random.default_rng(4)
     rows = [(i, [float(x) for x in r.normal(size=8)]) for i in range(120)]
-    rows += [(200, rows[0][1]), (150, rows[0][1]), (300, None), (301, [None] * 8), (302, [float("nan")] * 8), (303, [float("inf")] * 8), (304, []), rows[3]]
-    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    rows += [(200, rows[0][1]), (150, rows[0][1]), (300, None), (301, [None] * 8), (302, [float("nan")] * 8), (303, [float("inf")] * 8), (304, []), rows[3], rows[50]]
+    vectors = spark.createDataFrame([(*x, 0, 1) for x in rows], "vec_id long, embedding array<float>, row int, score int")
     got = defaultdict(list)
     for x in topk.search(vectors, F.col("vec_id") % 50 == 0, 5, block=block).orderBy("query_id", "rank").collect():
         got[x["query_id"]].append((x["vec_id"], x["score"]))
-    usable = {i: [int(np.floor(256 * float(np.float32(c)))) for c in v] for i, v in rows if v and all(c is not None and np.isfinite(c) for c in v)}
-    for q in [i for i in usable if i % 50 == 0]:
-        want = sorted(((i, sum(a * b for a, b in zip(v, usable[q]))) for i, v in usable.items() if i != q), key=lambda x: (-x[1], x[0]))[:5]
-        assert got.pop(q) == want
+    # every row but the query's own: a row given twice is found twice, and finds its like
+    usable = [(i, [int(np.floor(256 * float(np.float32(c)))) for c in v]) for i, v in rows if v and all(c is not None and np.isfinite(c) for c in v)]
+    want = defaultdict(list)
+    for at, (q, x) in enumerate(usable):
+        if q % 50 == 0:
+            scored = [(i, sum(a * b for a, b in zip(v, x))) for n, (i, v) in enumerate(usable) if n != at]
+            want[q] += sorted(scored, key=lambda x: (-x[1], x[0]))[:5]
+    assert {q: sorted(x) for q, x in got.items()} == {q: sorted(x) for q, x in want.items()}
+    got = None
     assert not got and topk.search(vectors.limit(0), F.col("vec_id") % 50 == 0, 5).count() == 0
 
 
@@ -367,6 +404,20 @@ def test_kdtree(spark, odd, none):
     sums = [r["s"] for r in kdtree.documents(hot, 16).groupBy("shard").agg(F.sum("size").alias("s")).collect()]
     assert len(sums) == 16 and max(sums) / min(sums) < 1.05
     assert kdtree.documents(none, 4).count() == 0
+    # equal texts share a shard, unless there are too many of them
+    texts = [(f"id{i}", PROSE * (1 + i // 3 % 40), "s", "en") for i in range(1200)] + [(f"x{i}", None, "s", "en") for i in range(600)]
+    named = spark.createDataFrame(texts, "doc_id string, text string, source string, lang string")
+    at, sizes, bytes_ = defaultdict(set), Counter(), Counter()
+    for x in kdtree.documents(named, 4).collect():
+        at[x["text_crc32"]].add(x["shard"])
+        sizes[x["shard"]] += x["size"]
+        bytes_[x["text_crc32"]] += x["size"]
+    assert len(sizes) == 4 and max(sizes.values()) < 1.1 * min(sizes.values())
+    small = [t for t, b in bytes_.items() if t and b * 4 * kdtree.SHARED <= sum(bytes_.values())]
+    assert len(small) > 20 and all(len(at[t]) == 1 for t in small)
+    # rows alike in everything are shared out too
+    same = kdtree.documents(spark.range(3200).selectExpr("7L doc_id", "'text' text", "'s' source", "'en' lang"), 4)
+    assert sorted(r["n"] for r in same.groupBy("shard").agg(F.count("*").alias("n")).collect())[0] > 700
 
 
 def test_pipeline(spark):
@@ -381,7 +432,7 @@ def test_pipeline(spark):
 
 
 def test_registered(spark):
-    assert {int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES} == set(range(1, 11))
+    assert {int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES} == set(range(1, 14))
     import duckdb
 
     con = duckdb.connect()
