@@ -126,7 +126,10 @@ def test_unlike_texts_of_one_id_keep_one_each(spark):
         assert sorted(map(tuple, kept.filter("doc_id is not null").collect())) == sorted([(1, a), (1, b), (3, c)])
 
 
-def test_stage_links_by_similarity_of_five_word_shingles(spark):
+@pytest.mark.parametrize("few, block", [(32, 512), (1, 5)])
+def test_stage_links_by_similarity_of_five_word_shingles(spark, monkeypatch, few, block):
+    monkeypatch.setattr(similar, "FEW", few)
+    monkeypatch.setattr(similar, "BLOCK", block)
     r = random.Random(12)
     word = lambda: f"w{r.randrange(3000)}"
     texts = [None, "", "one two", "One  two", "one two three"]
@@ -175,6 +178,22 @@ def test_links_join_what_differs_in_few_bits(spark, block):
     assert sorted(map(sorted, want.values())) == sorted(map(sorted, got.values()))
 
 
+def test_shared_counts_and_forest():
+    r = np.random.default_rng(3)
+    sets = [np.unique(r.integers(0, 40, r.integers(0, 30))) for _ in range(50)]
+    want = [[len(set(a) & set(b)) if i != j else None for j, b in enumerate(sets)] for i, a in enumerate(sets)]
+    for columns in (4096, 7):
+        got = similar.shared_counts(sets, columns)
+        assert all(got[i, j] == want[i][j] for i in range(50) for j in range(50) if i != j)
+    near = (r.random((60, 60)) < 0.02)
+    near |= near.T
+    edges, label = similar.forest(near), list(range(60))
+    for a, b in zip(*np.nonzero(near)):
+        old, new = label[a], label[b]
+        label = [new if x == old else x for x in label]
+    assert len(edges) == 60 - len(set(label)) and all(label[a] == label[b] for a, b in edges)
+
+
 def repeats(text):
     w = (text or "").encode().split()
     n, windows = len(w), Counter(tuple(w[i:i + 8]) for i in range(len(w) - 7))
