@@ -1,19 +1,22 @@
 """A keyed target on plain Parquet, for catalogs that have no MERGE.
 
-Rows lie in ``base``, partitioned by key bucket. Each applied batch adds its newest change per key
-to ``deltas``; readers put the two together. ``fold`` joins many deltas into one, and ``compact``
-moves them into the buckets they touch. Every write goes to a folder no reader knows yet, and a manifest published last makes it
-visible, so a batch is seen whole or not at all, over all its tables. A batch already named in the
-manifest is skipped, so delivering it again changes nothing.
+A table's rows lie in key buckets, one folder each. A batch of changes, or a bulk load, is merged with the buckets it
+touches and these are written anew, by Spark's writer, as partitions of the next version; the others stay as they are. A
+pointer published last says which version of each bucket counts, so a batch is seen whole or not at all, over all
+its tables. A batch the pointer already names is skipped, and one cut short is written over by dynamic
+partition overwrite when it comes again.
 
 Rows keep ``_op`` and ``_pos``: a change that arrives late loses against a newer one, including
 against a delete. There must be one writer at a time; a second one fails when it publishes.
+
+A batch costs the buckets it touches: choose their number so that a bucket is a few hundred megabytes at most, and
+batches so that each carries many changes.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,7 +26,7 @@ from pyspark.sql import types as T
 from tenantferry import files
 from tenantferry.operators.merge import latest_per_key
 from tenantferry.sources.feed import POS, position
-from tenantferry.specs import TableSpec, union_schema
+from tenantferry.specs import TableSpec
 
 PROGRESS = T.StructType([
     T.StructField("tenant", T.StringType()),
@@ -49,20 +52,20 @@ class KeyedTarget:
             T.StructField("_op", T.StringType()), T.StructField("_pos", POS),
         ]
 
-    # -- manifest ---------------------------------------------------------------------------
+    # -- pointer ----------------------------------------------------------------------------
 
     def state(self) -> dict:
-        """Latest manifest. Keys: seq, base {table: {commit: dropped buckets}}, deltas, writers."""
-        found = [n for n in files.names(self.spark, f"{self.root}/manifests") if n.endswith(".json")]
+        """Latest pointer. Keys: seq, tables {table: {bucket: version}}, progress (its version), writers {writer: batch}."""
+        found = [n for n in files.names(self.spark, f"{self.root}/pointer") if n.endswith(".json")]
         if not found:
-            return {"seq": 0, "base": {}, "deltas": [], "progress": [], "writers": {}, "buckets": self.buckets}
-        state = json.loads(files.read_text(self.spark, f"{self.root}/manifests/{max(found)}"))
+            return {"seq": 0, "tables": {}, "progress": None, "writers": {}, "buckets": self.buckets}
+        state = json.loads(files.read_text(self.spark, f"{self.root}/pointer/{max(found)}"))
         if state["buckets"] != self.buckets:
             raise ValueError(f"target has {state['buckets']} buckets, not {self.buckets}")
         return state
 
     def _publish(self, state: dict) -> None:
-        files.publish(self.spark, f"{self.root}/manifests/{state['seq']:012d}.json", json.dumps(state))
+        files.publish(self.spark, f"{self.root}/pointer/{state['seq']:012d}.json", json.dumps(state))
 
     # -- keys -------------------------------------------------------------------------------
 
@@ -75,166 +78,106 @@ class KeyedTarget:
     def bucket(self, spec: TableSpec) -> Column:
         return F.pmod(F.xxhash64(*self.keys(spec)), F.lit(self.buckets)).cast("int")
 
-    def _table_keys(self) -> list[Column]:
-        """Grouping columns for a frame that mixes tables: keys of other tables are blanked."""
-        users: dict[str, list[str]] = {}
-        for spec in self.specs.values():
-            for c in self.keys(spec):
-                users.setdefault(c, []).append(spec.name)
-        masked = [F.when(F.col("table_name").isin(names), F.col(c)) for c, names in users.items()]
-        return [*masked, F.col("table_name")]
-
     # -- reading ----------------------------------------------------------------------------
 
     def _row_fields(self, spec: TableSpec) -> list[str]:
         return ["_op", "_pos", *spec.columns]
 
-    def _base(self, spec: TableSpec, state: dict) -> DataFrame | None:
-        commits = state["base"].get(spec.name, {})
-        if not commits:
-            return None
-        path = f"{self.root}/base/table_name={spec.name}"
+    def _rows(self, spec: TableSpec, versions: Mapping[str, int]) -> DataFrame:
+        """Rows of the given versions of buckets, deletes still in place."""
         fields = self._meta + [T.StructField(f.name, f.dataType, True) for f in spec.schema.fields]
-        layout = [T.StructField("_commit", T.IntegerType()), T.StructField("_bucket", T.IntegerType())]
-        df = (
-            self.spark.read.schema(T.StructType(fields + layout)).option("basePath", path)
-            .parquet(*[f"{path}/_commit={c}" for c in commits])
-        )
-        for commit, dropped in commits.items():
-            if dropped:
-                df = df.where(~((F.col("_commit") == int(commit)) & F.col("_bucket").isin(dropped)))
-        return df.drop("_commit")
-
-    def _all_deltas(self, state: dict) -> DataFrame:
-        fields = self._meta + list(union_schema(self.specs.values()).fields)
-        path = f"{self.root}/deltas"
-        layout = [T.StructField("_commit", T.IntegerType()), T.StructField("table_name", T.StringType())]
-        return (
-            self.spark.read.schema(T.StructType(fields + layout)).option("basePath", path)
-            .parquet(*[f"{path}/_commit={c}" for c in state["deltas"]]).drop("_commit")
-        )
-
-    def _deltas(self, spec: TableSpec, state: dict) -> DataFrame | None:
-        if not state["deltas"]:
-            return None
-        mine = self._all_deltas(state).where(F.col("table_name") == spec.name)
-        return mine.select(*self._row_fields(spec))
-
-    def _newest_delta(self, spec: TableSpec, state: dict) -> DataFrame | None:
-        deltas = self._deltas(spec, state)
-        if deltas is None or len(state["deltas"]) == 1:
-            return deltas
-        return latest_per_key(deltas, self.keys(spec))
-
-    def _merged(self, spec: TableSpec, state: dict) -> DataFrame:
-        """Base and deltas put together, deletes still in place.
-
-        The base is not shuffled while the deltas are small enough for Spark to broadcast.
-        """
-        base, delta = self._base(spec, state), self._newest_delta(spec, state)
-        names, keys = self._row_fields(spec), self.keys(spec)
-        if base is None and delta is None:
-            fields = self._meta + list(spec.schema.fields)
-            return self.spark.createDataFrame([], T.StructType(fields)).select(*names)
-        if delta is None:
-            return base.select(*names)
-        if base is None:
-            return delta.select(*names)
-        newer = delta.select(*keys, F.col("_pos").alias("_delta_pos"))
-        kept = base.join(newer, keys, "left").where(
-            F.col("_delta_pos").isNull() | (F.col("_pos") > F.col("_delta_pos"))
-        )
-        outdated = (
-            base.select(*keys, "_pos").join(newer, keys)
-            .where(F.col("_pos") > F.col("_delta_pos")).select(*keys)
-        )
-        return kept.select(*names).unionByName(delta.join(outdated, keys, "left_anti").select(*names))
+        layout = [T.StructField("_v", T.IntegerType()), T.StructField("_bucket", T.IntegerType())]
+        schema, path = T.StructType(fields + layout), f"{self.root}/base/table_name={spec.name}"
+        if not versions:
+            return self.spark.createDataFrame([], schema).drop("_v")
+        folders = [f"{path}/_v={v}/_bucket={b}" for b, v in versions.items()]
+        return self.spark.read.schema(schema).option("basePath", path).parquet(*folders).drop("_v")
 
     def table(self, name: str, with_meta: bool = False) -> DataFrame:
         """Current rows of a table."""
         spec = self.specs[name]
-        rows = self._merged(spec, self.state()).where(F.col("_op") != "D")
-        return rows if with_meta else rows.select(*spec.columns)
+        rows = self._rows(spec, self.state()["tables"].get(name, {})).where(F.col("_op") != "D")
+        return rows.select(*(self._row_fields(spec) if with_meta else spec.columns))
 
     def tables(self) -> dict[str, DataFrame]:
         return {name: self.table(name) for name in self.specs}
 
     # -- writing ----------------------------------------------------------------------------
 
-    def _write_base(self, spec: TableSpec, rows: DataFrame, commit: int) -> None:
-        bucketed = rows.select(*self._row_fields(spec)).withColumn("_bucket", self.bucket(spec))
-        # AQE splits large buckets over several files and joins small ones
+    def _write(self, spec: TableSpec, rows: DataFrame, version: int) -> None:
+        placed = rows.select(*self._row_fields(spec), F.lit(version).alias("_v"), self.bucket(spec).alias("_bucket"))
+        # AQE splits large buckets over several files and joins small ones; only partitions written here are replaced
         (
-            bucketed.hint("rebalance", "_bucket").write.mode("overwrite").partitionBy("_bucket")
-            .parquet(f"{self.root}/base/table_name={spec.name}/_commit={commit}")
+            placed.hint("rebalance", "_bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy("_v", "_bucket").parquet(f"{self.root}/base/table_name={spec.name}")
         )
 
-    def _replace(self, spec: TableSpec, rows: DataFrame, at: tuple, state: dict, commit: int) -> list[int]:
-        """Writes rows under the commit's number; buckets with a key they replace again, whole, under its negative.
+    def _touched(self, spec: TableSpec, rows: DataFrame) -> list[str]:
+        # at most one row per bucket
+        return [str(r[0]) for r in rows.select(self.bucket(spec).alias("b")).distinct().collect()]
+
+    def _merge(self, spec: TableSpec, incoming: DataFrame, held: Mapping[str, int], touched: Iterable[str], version: int) -> dict[str, int]:
+        """Writes the touched buckets anew with the newest row of each key; of equal positions the incoming one."""
+        names, touched = self._row_fields(spec), list(touched)
+        old = self._rows(spec, {b: held[b] for b in touched if b in held})
+        both = incoming.select(*names, F.lit(1).alias("_new")).unionByName(old.select(*names, F.lit(0).alias("_new")))
+        ranked = both.withColumn("_order", F.struct("_pos", "_new"))
+        self._write(spec, latest_per_key(ranked, self.keys(spec), "_order"), version)
+        return dict.fromkeys(touched, version)
+
+    def _load(self, spec: TableSpec, rows: DataFrame, at: tuple, held: Mapping[str, int], version: int) -> dict[str, int]:
+        """Writes the rows under ``version``, and buckets that had rows before, merged, under the next one.
 
-        Returns these buckets. The rows are evaluated once, since a live source may give others the next time; what was
-        written is read back.
+        The rows are evaluated once, since a live source may give others the next time; what was written is read back.
         """
-        keys, names = self.keys(spec), self._row_fields(spec)
-        incoming = rows.select(F.lit("I").alias("_op"), position(*at).alias("_pos"), *spec.columns)
-        base = self._base(spec, state)
-        self._write_base(spec, incoming, commit)
-        if base is None:
-            return []
-        written = self._base(spec, {"base": {spec.name: {str(commit): []}}})
-        clash = base.select("_bucket", *keys).join(written.select(*keys), keys, "left_semi")
-        # at most one row per bucket
-        hit = [r[0] for r in clash.select("_bucket").distinct().collect()]
-        if hit:
-            mine = F.col("_bucket").isin(hit)
-            held, written, late = base.where(mine), written.where(mine), F.col("_pos") > position(*at)
-            # what was applied after ``at``, deletes included, wins over the rows; a compact has put it here
-            newer = held.where(late)
-            older = held.where(~late).join(written.select(*keys), keys, "left_anti")
-            merged = written.join(newer.select(*keys), keys, "left_anti").select(*names)
-            self._write_base(spec, merged.unionByName(newer.select(*names)).unionByName(older.select(*names)), -commit)
-        return hit
+        self._write(spec, rows.select(F.lit("I").alias("_op"), position(*at).alias("_pos"), *spec.columns), version)
+        folder = f"{self.root}/base/table_name={spec.name}/_v={version}"
+        fresh = {n.removeprefix("_bucket="): version for n in files.names(self.spark, folder) if n.startswith("_bucket=")}
+        both = [b for b in fresh if b in held]
+        if both:
+            # what was applied after ``at``, deletes included, wins over the rows
+            fresh |= self._merge(spec, self._rows(spec, {b: version for b in both}), held, both, version + 1)
+        return fresh
 
     def load(self, tables: Mapping[str, DataFrame], at: tuple = BEFORE_ALL, parallelism: int = 4) -> int:
         """Bulk load: rows replace those of equal key; no other row is removed.
 
         ``at`` is the log position taken before the rows were read; changes after it win over them.
-        Only buckets that already hold one of the keys are rewritten. All tables become visible at
+        Only buckets that the rows fall into are rewritten. All tables become visible at
         once; up to ``parallelism`` of them are written side by side.
         """
         state = self.state()
-        commit = state["seq"] + 1
+        version = state["seq"] + 1
+        for name in tables:  # what a load cut short has left under this number
+            files.remove(self.spark, f"{self.root}/base/table_name={name}/_v={version}")
         with ThreadPoolExecutor(parallelism) as pool:
             writes = {
-                name: pool.submit(self._replace, self.specs[name], rows, at, state, commit)
+                name: pool.submit(self._load, self.specs[name], rows, at, state["tables"].get(name, {}), version)
                 for name, rows in tables.items()
             }
         for name, write in writes.items():
-            commits, hit = state["base"].setdefault(name, {}), write.result()
-            commits[str(commit)] = []
-            self._drop(commits, hit)
-            if hit:
-                commits[str(-commit)] = []
-        state["seq"] = commit
+            state["tables"][name] = state["tables"].get(name, {}) | write.result()
+        state["seq"] = version + 1
         self._publish(state)
-        return commit
-
-    def _drop(self, commits: dict, buckets: list[int]) -> None:
-        for c in list(commits) if buckets else []:
-            commits[c] = sorted(set(commits[c]) | set(buckets))
-            if len(commits[c]) == self.buckets:
-                del commits[c]
+        return state["seq"]
 
-    def apply(self, changes: DataFrame, writer: str, batch_id: int, tenant_col: str | None = None) -> bool:
+    def apply(self, changes: DataFrame, writer: str, batch_id: int, tenant_col: str | None = None, parallelism: int = 4) -> bool:
         """Applies one batch of changes (``table_name, _op, _pos`` and row columns), once.
 
-        Returns False when the manifest says that this writer's batch is in already.
+        Returns False when the pointer says that this writer's batch is in already. Pass a batch that Spark holds, as it is read once a table.
         """
         state = self.state()
         if state["writers"].get(writer, -1) >= batch_id:
             return False
-        commit = state["seq"] + 1
-        self._write_delta(latest_per_key(changes, self._table_keys()), commit)
+        version = state["seq"] + 1
+
+        def merge(spec: TableSpec) -> dict[str, int]:
+            mine = changes.where(F.col("table_name") == spec.name)
+            touched = self._touched(spec, mine)
+            return self._merge(spec, mine, state["tables"].get(spec.name, {}), touched, version) if touched else {}
+
+        with ThreadPoolExecutor(parallelism) as pool:
+            done = dict(zip(self.specs, pool.map(merge, self.specs.values())))
         tenant = F.col(tenant_col or next(iter(self.specs.values())).tenant_col).cast("string")
         counted = changes.groupBy(tenant.alias("tenant")).agg(
             F.max("_pos").alias("applied"), F.count("*").alias("n_changes")
@@ -243,36 +186,26 @@ class KeyedTarget:
             "tenant", F.lit(writer).alias("writer"), F.lit(batch_id).cast("bigint").alias("batch_id"),
             F.current_timestamp().alias("last_ts"), "applied", "n_changes",
         )
-        self._write_progress(named, commit)
-        state["seq"] = commit
-        state["deltas"].append(commit)
-        state["progress"].append(commit)
+        sums = named.unionByName(self._progress(state)).groupBy("tenant", "writer").agg(
+            F.max("batch_id").alias("batch_id"), F.max("last_ts").alias("last_ts"),
+            F.max("applied").alias("applied"), F.sum("n_changes").alias("n_changes"),
+        )
+        sums.write.mode("overwrite").parquet(f"{self.root}/progress/_v={version}")
+        for name, versions in done.items():
+            state["tables"][name] = state["tables"].get(name, {}) | versions
+        state["seq"] = state["progress"] = version
         state["writers"][writer] = batch_id
         self._publish(state)
         return True
 
-    def _write_delta(self, newest: DataFrame, commit: int) -> None:
-        newest.write.mode("overwrite").partitionBy("table_name").parquet(f"{self.root}/deltas/_commit={commit}")
-
-    def _write_progress(self, counted: DataFrame, commit: int) -> None:
-        counted.write.mode("overwrite").parquet(f"{self.root}/progress/_commit={commit}")
-
-    def _fold_progress(self, state: dict, commit: int) -> None:
-        if state["progress"]:
-            self._write_progress(self._progress(state["progress"]), commit)
-            state["progress"] = [commit]
+    def _progress(self, state: dict) -> DataFrame:
+        if state["progress"] is None:
+            return self.spark.createDataFrame([], PROGRESS)
+        return self.spark.read.schema(PROGRESS).parquet(f"{self.root}/progress/_v={state['progress']}")
 
-    def fold(self) -> int | None:
-        """Puts the deltas together into one, at a cost that grows with them and not with the base."""
-        state = self.state()
-        if len(state["deltas"]) < 2:
-            return None
-        commit = state["seq"] + 1
-        self._write_delta(latest_per_key(self._all_deltas(state), self._table_keys()), commit)
-        self._fold_progress(state, commit)
-        state["deltas"], state["seq"] = [commit], commit
-        self._publish(state)
-        return commit
+    def progress_of_writers(self) -> DataFrame:
+        """Per tenant and writer the greatest applied position, the changes taken in, the last batch's number and its time."""
+        return self._progress(self.state())
 
     def progress(self) -> DataFrame:
         """Per tenant the greatest applied position and the number of changes taken in."""
@@ -280,66 +213,43 @@ class KeyedTarget:
             F.max("applied").alias("applied"), F.sum("n_changes").alias("n_changes")
         )
 
-    def progress_of_writers(self) -> DataFrame:
-        """The same per tenant and writer, with the last batch's number and the time of its commit."""
-        commits = self.state()["progress"]
-        if not commits:
-            return self.spark.createDataFrame([], PROGRESS)
-        return self._progress(commits)
-
-    def _progress(self, commits: list[int]) -> DataFrame:
-        rows = self.spark.read.schema(PROGRESS).parquet(*[f"{self.root}/progress/_commit={c}" for c in commits])
-        return rows.groupBy("tenant", "writer").agg(
-            F.max("batch_id").alias("batch_id"), F.max("last_ts").alias("last_ts"),
-            F.max("applied").alias("applied"), F.sum("n_changes").alias("n_changes"),
-        )
-
-    def compact(self, replayed_up_to: tuple | None = None) -> int | None:
-        """Folds the deltas into the buckets they touch.
+    def compact(self, replayed_up_to: tuple = BEFORE_ALL) -> int | None:
+        """Forgets deletes at or below ``replayed_up_to``, a position nothing older than which can be delivered again.
 
-        Deletes are remembered, since an older change may still arrive. Those at or below
-        ``replayed_up_to``, a position nothing older than which can be delivered again, are dropped.
+        Deletes are remembered, since an older change may still arrive. Only buckets that hold such a delete are rewritten.
         """
         state = self.state()
-        if not state["deltas"]:
+        version, found = state["seq"] + 1, False
+        past = (F.col("_op") == "D") & (F.col("_pos") <= position(*replayed_up_to))
+        for name, held in state["tables"].items():
+            spec = self.specs[name]
+            hit = self._touched(spec, self._rows(spec, held).where(past))
+            if hit:
+                found = True
+                rest = self._rows(spec, {b: held[b] for b in hit}).where(~past)
+                left = self._touched(spec, rest)
+                self._write(spec, rest, version)
+                state["tables"][name] = {b: v for b, v in held.items() if b not in hit} | dict.fromkeys(left, version)
+        if not found:
             return None
-        commit = state["seq"] + 1
-        for name, spec in self.specs.items():
-            names = self._row_fields(spec)
-            deltas = self._deltas(spec, state).withColumn("_bucket", self.bucket(spec))
-            # at most one row per bucket
-            hit = [r[0] for r in deltas.select("_bucket").distinct().collect()]
-            if not hit:
-                continue
-            rows = deltas.select(*names)
-            base = self._base(spec, state)
-            if base is not None:
-                rows = rows.unionByName(base.where(F.col("_bucket").isin(hit)).select(*names))
-            merged = latest_per_key(rows, self.keys(spec))
-            if replayed_up_to is not None:
-                merged = merged.where((F.col("_op") != "D") | (F.col("_pos") > position(*replayed_up_to)))
-            self._write_base(spec, merged, commit)
-            commits = state["base"].setdefault(name, {})
-            self._drop(commits, hit)
-            commits[str(commit)] = []
-        self._fold_progress(state, commit)
-        state["deltas"], state["seq"] = [], commit
+        state["seq"] = version
         self._publish(state)
-        return commit
+        return version
 
     def vacuum(self) -> None:
-        """Deletes folders and manifests the latest manifest does not use; no reader may be active."""
+        """Deletes folders and pointers that the latest pointer does not use; no reader may be active."""
         state = self.state()
-        live = {
-            "deltas": {str(c) for c in state["deltas"]},
-            "progress": {str(c) for c in state["progress"]},
-        }
-        for name in self.specs:
-            live[f"base/table_name={name}"] = set(state["base"].get(name, {}))
-        for folder, commits in live.items():
-            for n in files.names(self.spark, f"{self.root}/{folder}"):
-                if n.startswith("_commit=") and n.removeprefix("_commit=") not in commits:
-                    files.remove(self.spark, f"{self.root}/{folder}/{n}")
-        for n in files.names(self.spark, f"{self.root}/manifests"):
+        live = {f"progress/_v={state['progress']}"}
+        for name, versions in state["tables"].items():
+            live |= {f"base/table_name={name}/_v={v}/_bucket={b}" for b, v in versions.items()}
+        for top in ["progress", *(f"base/table_name={name}" for name in self.specs)]:
+            for v in self._folders(top):
+                kept = [d for d in (v, *self._folders(v)) if d in live]
+                for gone in [v] if not kept else [d for d in self._folders(v) if d not in live]:
+                    files.remove(self.spark, f"{self.root}/{gone}")
+        for n in files.names(self.spark, f"{self.root}/pointer"):
             if n.endswith(".json") and n < f"{state['seq']:012d}.json":
-                files.remove(self.spark, f"{self.root}/manifests/{n}")
+                files.remove(self.spark, f"{self.root}/pointer/{n}")
+
+    def _folders(self, path: str) -> list[str]:
+        return [f"{path}/{n}" for n in files.names(self.spark, f"{self.root}/{path}") if n.startswith(("_v=", "_bucket="))]

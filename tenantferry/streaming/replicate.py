@@ -68,8 +68,6 @@ def replicate(
     start: tuple | DataFrame | None = None,
     on_tenant_exit: str = "ignore",
     on_key_change: str = "ignore",
-    fold_every: int | None = 20,
-    compact_every: int | None = None,
     interval: str | None = None,
 ) -> StreamingQuery:
     """Starts replication; with no ``interval`` it takes what is there and stops.
@@ -79,8 +77,7 @@ def replicate(
     path starts anew instead. Batch size is set at the feed. Tenants asked for by name must have a
     start position if ``start`` is a list of them.
 
-    Small deltas are joined every ``fold_every`` batches. ``compact_every`` rewrites the touched
-    part of the target and is meant to be rare.
+    A batch rewrites the key buckets it touches.
     """
     tenant_col = next(iter(target.specs.values())).tenant_col
     if isinstance(start, DataFrame) and tenants is not None:
@@ -97,10 +94,6 @@ def replicate(
                 target.apply(kept, writer_of(target.spark, checkpoint), batch_id, tenant_col)
         finally:
             kept.unpersist()
-        if compact_every and (batch_id + 1) % compact_every == 0:
-            target.compact()
-        elif fold_every and (batch_id + 1) % fold_every == 0:
-            target.fold()
 
     writer = changes.writeStream.foreachBatch(apply_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)

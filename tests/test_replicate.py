@@ -63,7 +63,7 @@ def test_files_in_reversed_order(site):
     events = random_events(300, seed=5)
     for i, part in enumerate(parts(events)):
         site.add(part, older=100 * i)
-    site.run(fold_every=2, compact_every=3)
+    site.run()
     assert content(site.target) == applied(events)
 
 

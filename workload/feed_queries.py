@@ -267,7 +267,7 @@ def _(spark, sf):
 @query("str4_small_batches", merged_sql())
 def _(spark, sf):
     target = _target(spark, sf)
-    _stream(spark, sf, target, _files(spark, sf), scratch(spark, "cp"), max_files=1, fold_every=2, compact_every=5)
+    _stream(spark, sf, target, _files(spark, sf), scratch(spark, "cp"), max_files=1)
     return _rows(target)
 
 
