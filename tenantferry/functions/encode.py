@@ -44,6 +44,9 @@ def column_text(spec: TableSpec, name: str) -> Column:
         return _datetime_text(c, spec.datetime_digits)
     if isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
         return F.to_json(c)
+    if name in spec.json:
+        # a variant keeps an object's keys in order; text that is no document stays as it is
+        return F.coalesce(F.to_json(F.try_parse_json(c)), c)
     return c.cast("string")
 
 

@@ -45,7 +45,7 @@ def assign_chunks(df: DataFrame, spec: TableSpec, widths: DataFrame, only: DataF
     mine = widths.where(F.col("table_name") == spec.name).select(
         F.col("tenant"), "min_pk", "max_pk", "step", "wide"
     )
-    pk = F.col(spec.pk[0]).cast("bigint")
+    pk = spec.chunk_key
     joined = df.join(mine, F.col(spec.tenant_col) == F.col("tenant")).where(pk.between(F.col("min_pk"), F.col("max_pk")))
     start = chunking.start_of(pk, F.col("min_pk"), F.col("step"), F.col("wide"))
     rows = joined.withColumn("start_pk", start).drop("min_pk", "max_pk", "step", "wide")
@@ -57,7 +57,7 @@ def assign_chunks(df: DataFrame, spec: TableSpec, widths: DataFrame, only: DataF
 
 def chunk_counts(df: DataFrame, spec: TableSpec, widths: DataFrame, only: DataFrame | None = None) -> DataFrame:
     """Rows per non-empty chunk."""
-    keys = df.select(spec.tenant_col, spec.pk[0])
+    keys = df.select(*dict.fromkeys([spec.tenant_col, *spec.pk]))
     return (
         assign_chunks(keys, spec, widths, only)
         .groupBy("tenant", "start_pk").agg(F.count("*").alias("n"))

@@ -161,6 +161,13 @@ class KeyedTarget:
         self._publish(state)
         return state["seq"]
 
+    def loaded(self, name: str, load: int) -> DataFrame:
+        """The rows that a load, named by what ``load`` returned, has read from its source; until the next ``vacuum``."""
+        spec, version = self.specs[name], load - 1
+        folder = f"{self.root}/base/table_name={name}/_v={version}"
+        wrote = {n.removeprefix("_bucket="): version for n in files.names(self.spark, folder) if n.startswith("_bucket=")}
+        return self._rows(spec, wrote).select(*spec.columns)
+
     def apply(self, changes: DataFrame, writer: str, batch_id: int, tenant_col: str | None = None, parallelism: int = 4) -> bool:
         """Applies one batch of changes (``table_name, _op, _pos`` and row columns), once.
 

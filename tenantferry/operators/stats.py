@@ -18,7 +18,7 @@ def union_all(frames) -> DataFrame:
 
 def slice_stats(df: DataFrame, spec: TableSpec, *extra: Column) -> DataFrame:
     """Smallest and largest key and row count of every tenant; empty slices give no row."""
-    pk = F.col(spec.pk[0]).cast("bigint")
+    pk = spec.chunk_key
     return (
         df.where(F.col(spec.tenant_col).isNotNull())
         .groupBy(F.col(spec.tenant_col).alias("tenant"))
@@ -26,7 +26,7 @@ def slice_stats(df: DataFrame, spec: TableSpec, *extra: Column) -> DataFrame:
             F.min(pk).alias("min_pk"), F.max(pk).alias("max_pk"),
             F.count("*").alias("total_rows"), *extra,
         )
-        .select(F.lit(spec.name).alias("table_name"), F.lit(spec.pk[0]).alias("pk_col"), "*")
+        .select(F.lit(spec.name).alias("table_name"), F.lit(spec.chunk_key_name).alias("pk_col"), "*")
     )
 
 

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, Row
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,8 +16,11 @@ from tenantferry.operators.keyed_target import BEFORE_ALL, KeyedTarget
 from tenantferry.operators.parity import compare_chunks
 from tenantferry.operators.stats import union_all
 from tenantferry.plans.planning import Plan
-from tenantferry.session import materialise, metadata_rows
-from tenantferry.sources.slices import jdbc_chunks, jdbc_waves, key_range
+from tenantferry.session import materialise, metadata_rows, scratch
+from tenantferry.sources.slices import jdbc_chunks, jdbc_waves
+
+#: Most key ranges, and most tenants, by which the scan of a table is narrowed.
+RANGES, TENANTS = 64, 200
 
 
 def pending_rows(source: DataFrame, spec, widths: DataFrame, pending: DataFrame | None) -> DataFrame:
@@ -23,22 +28,49 @@ def pending_rows(source: DataFrame, spec, widths: DataFrame, pending: DataFrame
     return assign_chunks(source, spec, widths, pending).select(*spec.columns)
 
 
-def pending_bounds(pending: DataFrame) -> dict[str, Row]:
-    """The range of the tenants and of the keys of each table's pending chunks: one row per table."""
-    rows = pending.groupBy("table_name").agg(
-        F.min("tenant").alias("first"), F.max("tenant").alias("last"),
-        F.min("start_pk").alias("start_pk"), F.max("end_pk").alias("end_pk"),
-    )
-    return {r.table_name: r for r in rows.collect()}
+def pending_ranges(pending: DataFrame, most: int = RANGES) -> dict[str, list[tuple[int, int]]]:
+    """The keys of each table's pending chunks, of all tenants together, as at most ``most`` ranges in order.
 
-
-def within(df: DataFrame, spec, bounds: Row) -> DataFrame:
-    """Rows in the range of the pending chunks: a filter in the scan, the same for any number of tenants."""
-    rows = key_range(df, spec, bounds.start_pk, bounds.end_pk)
-    # a plan holds tenants as text, whose order is that of text columns only
-    if df.schema[spec.tenant_col].dataType == T.StringType():
-        rows = rows.where(F.col(spec.tenant_col).between(bounds.first, bounds.last))
-    return rows
+    The span of the chunks is cut into ``most`` cells; a cell's range goes from the first pending key in it to the last.
+    Two grouped aggregates, and at most ``most`` rows a table reach the driver.
+    """
+    wide = "decimal(38,0)"
+    hull = pending.groupBy("table_name").agg(F.min("start_pk").cast(wide).alias("lo"), F.max("end_pk").cast(wide).alias("hi"))
+    width = F.col("hi") - F.col("lo") + F.lit(most)
+    sized = hull.withColumn("width", (width - F.pmod(width, F.lit(most).cast(wide))) / F.lit(most)).withColumn("width", F.col("width").cast(wide))
+    start, end = F.col("start_pk").cast(wide), F.col("end_pk").cast(wide)
+    cell = lambda key: F.floor((key - F.col("lo")) / F.col("width")).cast("int")
+    cells = pending.join(sized, "table_name").withColumn("cell", F.explode(F.sequence(cell(start), cell(end))))
+    first = F.col("lo") + F.col("cell") * F.col("width")
+    found = cells.groupBy("table_name", "cell").agg(
+        F.min(F.greatest(start, first)).cast("bigint").alias("a"), F.max(F.least(end, first + F.col("width") - 1)).cast("bigint").alias("b"))
+    out: dict[str, list[tuple[int, int]]] = {}
+    for r in found.orderBy("table_name", "a").collect():
+        ranges = out.setdefault(r.table_name, [])
+        if ranges and ranges[-1][1] >= r.a - 1:
+            ranges[-1] = (ranges[-1][0], max(ranges[-1][1], r.b))
+        else:
+            ranges.append((r.a, r.b))
+    return out
+
+
+def pending_tenants(pending: DataFrame, most: int = TENANTS) -> dict[str, list[str] | None]:
+    """The tenants of each table's pending chunks, or None where there are too many to list."""
+    few = pending.select("table_name", "tenant").distinct().groupBy("table_name").agg(F.count("*").alias("n"))
+    names = {r.table_name: r.n for r in few.collect()}
+    short = [t for t, n in names.items() if n <= most]
+    rows = pending.where(F.col("table_name").isin(short)).select("table_name", "tenant").distinct().collect() if short else []
+    return {t: sorted(r.tenant for r in rows if r.table_name == t) if t in short else None for t in names}
+
+
+def within(df: DataFrame, spec, ranges: list[tuple[int, int]], tenants: list[str] | None = None) -> DataFrame:
+    """Rows in the ranges of the pending chunks: a filter in the scan, by which sources skip data."""
+    if not spec.hashed:  # a hash is no column that a source could skip by
+        df = df.where(reduce(Column.__or__, (F.col(spec.pk[0]).between(a, b) for a, b in ranges)))
+    # a plan holds tenants as text
+    if tenants is not None and df.schema[spec.tenant_col].dataType == T.StringType():
+        df = df.where(F.col(spec.tenant_col).isin(tenants))
+    return df
 
 
 def migrate(
@@ -48,7 +80,7 @@ def migrate(
     """Loads what the ledger does not list yet and returns the parity of the chunks it loaded.
 
     ``handoff`` is the log position taken before the first read; replication starts from it. A run
-    cut short is simply repeated: scans are narrowed to the range of the pending chunks, rows of
+    cut short is simply repeated: scans are narrowed to the key ranges of the pending chunks, rows of
     chunks in the ledger are neither loaded nor counted again, and a load that was written but not
     recorded replaces itself.
     """
@@ -56,19 +88,21 @@ def migrate(
     todo = materialise(led.pending(plan.chunks, led.read_ledger(spark, ledger_path)), "pending")
     # if every chunk of the planned slices is to be loaded, rows need no look at the list
     whole = todo.count() == (plan.tables.agg(F.sum("chunk_count")).first()[0] or 0)
-    bounds = pending_bounds(todo)
-    names = sorted(bounds)
+    ranges = pending_ranges(todo)
+    names = sorted(ranges)
     if not names:
         return compare_chunks(*[_no_counts(spark)] * 2)
 
     counts = {"source": [], "target": []}
     only = None if whole else todo
-    source = {n: within(source[n], target.specs[n], bounds[n]) for n in names}
-    target.load({n: pending_rows(source[n], target.specs[n], plan.tables, only) for n in names}, handoff)
+    tenants = {} if whole else pending_tenants(todo)
+    near = {n: within(source[n], target.specs[n], ranges[n], tenants.get(n)) for n in names}
+    loaded = target.load({n: pending_rows(near[n], target.specs[n], plan.tables, only) for n in names}, handoff)
     for name in names:
         spec = target.specs[name]
-        counts["source"].append(chunk_counts(source[name], spec, plan.tables, only))
-        held = within(target.table(name), spec, bounds[name])
+        # the source is read once: what the load read from it is what was written
+        counts["source"].append(chunk_counts(target.loaded(name, loaded), spec, plan.tables, only))
+        held = within(target.table(name), spec, ranges[name], tenants.get(name))
         counts["target"].append(chunk_counts(held, spec, plan.tables, only))
     both = compare_chunks(union_all(counts["source"]), union_all(counts["target"]))
     report = materialise(
@@ -95,17 +129,19 @@ def migrate_jdbc(
 ) -> int:
     """The same from a JDBC source, in waves of bounded chunk reads; returns the chunks not in order.
 
-    Each chunk is one partition. The source sees as many reads at a time as the cluster has cores
-    for the job, so size the cluster, or ``wave``, to what the database stands.
+    Each chunk is one partition, and the database is read once. The waves of a table are written beside the ledger and
+    loaded together, as one commit. The source sees as many reads at a time as the cluster has cores for the
+    job, so size the cluster, or ``wave``, to what the database stands.
     """
     spark, failed = target.spark, 0
     todo = materialise(led.pending(plan.chunks, led.read_ledger(spark, ledger_path)), "pending")
     names = sorted(r[0] for r in todo.select("table_name").distinct().collect())
     for name in names:
-        for bounds in jdbc_waves(todo.where(F.col("table_name") == name), wave):
-            listed = metadata_rows(spark, bounds, "tenant string, start_pk bigint, end_pk bigint")
-            chunks = listed.withColumn("table_name", F.lit(name))
+        chunks, staged = todo.where(F.col("table_name") == name), scratch(spark, f"staged-{name}")
+        for bounds in jdbc_waves(chunks, wave):
             rows = jdbc_chunks(spark, url, target.specs[name], bounds, properties)
-            report = migrate(Plan(plan.tables, chunks, plan.skipped), {name: rows}, target, ledger_path, handoff)
-            failed += report.where("not ok").count()
+            rows.select(*target.specs[name].columns).write.mode("append").parquet(staged)
+        read = spark.read.schema(target.specs[name].schema).parquet(staged)
+        report = migrate(Plan(plan.tables, chunks, plan.skipped), {name: read}, target, ledger_path, handoff)
+        failed += report.where("not ok").count()
     return failed

@@ -21,7 +21,10 @@ STATS = "table_name string, pk_col string, tenant string, min_pk bigint, max_pk
 
 @dataclass(frozen=True)
 class Plan:
-    """``tables`` one row per tenant and table, ``chunks`` their ranges, ``skipped`` the rest."""
+    """``tables`` one row per tenant and table, ``chunks`` their ranges, ``skipped`` the rest.
+
+    Without a list of tenants ``skipped`` has a row for each table that cannot be cut, its tenant NULL.
+    """
 
     tables: DataFrame
     chunks: DataFrame
@@ -42,8 +45,13 @@ def grid(tenants: DataFrame, names: Iterable[str]) -> DataFrame:
     return tenants.select(F.col("tenant"), F.explode(listed).alias("table_name"))
 
 
+def skipped_tables(checked: DataFrame) -> DataFrame:
+    """Tables that no tenant's rows can be cut in, with the reason; they need no tenant to be known."""
+    return checked.where(~F.col("chunkable")).select(F.lit(None).cast("string").alias("tenant"), "table_name", "reason")
+
+
 def skipped_slices(checked: DataFrame, wanted: DataFrame, stats: DataFrame) -> DataFrame:
-    """Slices left out, with the reason: the table's key, or no rows for the tenant."""
+    """Slices of asked tenants left out, with the reason: the table's key, or no rows for the tenant."""
     found = stats.select("tenant", "table_name", F.lit(True).alias("found"))
     return (
         wanted.join(checked, "table_name")
@@ -76,6 +84,8 @@ def plan(
     catalog = catalog_of(spark, specs.values())
     found = tenant_tables(catalog, database, tenant_col, include, exclude)
     checked = key_check(found, primary_keys(catalog, database))
+    hashed = F.col("table_name").isin([s.name for s in specs.values() if s.hashed and s.pk])
+    checked = checked.select("table_name", (F.col("chunkable") | hashed).alias("chunkable"), F.when(~hashed, F.col("reason")).alias("reason"))
 
     # the catalog has one row per table, so its names may come to the driver
     listed = checked.select("table_name", "chunkable").collect()
@@ -90,8 +100,8 @@ def plan(
         stats = stats.join(tenants, "tenant", "left_semi")
     widths = materialise(with_widths(stats, chunk_size), "widths")
 
-    wanted = grid(tenants if tenants is not None else widths.select("tenant").distinct(), names)
-    return Plan(widths, explode_chunks(widths), skipped_slices(checked, wanted, widths))
+    skipped = skipped_tables(checked) if tenants is None else skipped_slices(checked, grid(tenants, names), widths)
+    return Plan(widths, explode_chunks(widths), skipped)
 
 
 def ordered_chunks(chunks: DataFrame) -> DataFrame:

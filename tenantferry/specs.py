@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,7 +15,11 @@ class TableSpec:
     """One source table.
 
     ``scales`` gives the decimal scale under which float columns are compared and
-    ``datetime_digits`` the number of fractional-second digits (MySQL DATETIME: 0).
+    ``datetime_digits`` the number of fractional-second digits (MySQL DATETIME: 0). Text columns in ``json``
+    are compared as documents, whatever the order of their keys and their spacing.
+
+    ``hashed`` cuts the table by a hash of its whole key, so that tables with a composite or a text key
+    have chunks too.
     """
 
     name: str
@@ -26,6 +30,8 @@ class TableSpec:
     table_type: str = "BASE TABLE"
     scales: Mapping[str, int] = field(default_factory=dict)
     datetime_digits: int = 6
+    json: tuple[str, ...] = ()
+    hashed: bool = False
 
     @property
     def columns(self) -> list[str]:
@@ -35,6 +41,20 @@ class TableSpec:
     def has_tenant(self) -> bool:
         return self.tenant_col in self.columns
 
+    @property
+    def chunk_key(self) -> Column:
+        """The whole number by which rows fall into chunks: the key's one column, or the hash of all."""
+        if not self.hashed:
+            return F.col(self.pk[0]).cast("bigint")
+        texts = [F.col(c).cast("string") for c in self.pk]
+        sized = [F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("~")) for t in texts]
+        # ten hexadecimal digits: the same number wherever it is computed
+        return F.conv(F.substring(F.md5(F.concat(*sized).cast("binary")), 1, 10), 16, 10).cast("bigint")
+
+    @property
+    def chunk_key_name(self) -> str:
+        return f"hash({', '.join(self.pk)})" if self.hashed else self.pk[0]
+
     @classmethod
     def of(cls, df: DataFrame, name: str, pk: Iterable[str] = (), **kw) -> TableSpec:
         return cls(name=name, schema=df.schema, pk=tuple(pk), **kw)

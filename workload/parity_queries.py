@@ -105,6 +105,21 @@ def _(spark, sf):
     )
 
 
+# the same documents as two servers write them: another order of keys, other spacing
+DOCUMENT = "(select event_id as id, 'acc_' || (user_id % 5) as account_id, '{\"a\":\"' || event_type || '\",\"k\":' || event_id % 100 || '}' as doc from events)"
+
+
+@query("prj2_canonical_json", f"with {w.CRC_TABLE} select account_id as tenant, count(*)::bigint as src_count, bit_xor({w.crc_sql('txt')})::bigint as src_checksum, bit_xor({w.crc_sql('txt')})::bigint as tgt_checksum, true as ok from (select account_id, concat_ws('|', id, account_id, doc) as txt from {DOCUMENT}), crc_table group by 1")
+def _(spark, sf):
+    events = w.given(spark, sf, "events")
+    names = F.col("event_id").alias("id"), F.concat(F.lit("acc_"), (F.col("user_id") % 5).cast("string")).alias("account_id")
+    kind, k = F.col("event_type"), (F.col("event_id") % 100).cast("string")
+    source = events.select(*names, F.format_string('{"k": %s, "a": "%s"}', k, kind).alias("doc"))
+    target = events.select(*names, F.format_string('{"a":"%s",  "k":%s}', kind, k).alias("doc"))
+    spec = TableSpec.of(source, "documents", ["id"], json=("doc",))
+    return verify({"documents": source}, {"documents": target}, [spec]).select("tenant", "src_count", "src_checksum", "tgt_checksum", "ok")
+
+
 # -- reports ------------------------------------------------------------------------------------------
 
 @query("jn3_side_by_side", REPORT + "select tenant, table_name, src_count, tgt_count, src_checksum, tgt_checksum from report")

@@ -1,13 +1,16 @@
 """Slice scans, statistics, chunks, plans, ledger and set operations on table names."""
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
-from tenantferry import KeyedTarget, migrate, plan
+from tenantferry import KeyedTarget, migrate, plan, verify
 from tenantferry.operators import ledger as led
 from tenantferry.operators.chunks import assign_chunks, chunk_counts, explode_chunks
 from tenantferry.operators.parity import compare_chunks
 from tenantferry.operators.stats import slice_counts, slice_stats, union_all, with_widths
 from tenantferry.plans import planning
+from tenantferry.plans.migrate import pending_ranges, within
 from tenantferry.session import materialise, metadata_rows, scratch
 from tenantferry.sources.catalog import catalog_of, tenant_tables
 from tenantferry.sources.slices import is_tenant, key_range, tenant_slice
@@ -155,14 +158,11 @@ def _(spark, sf):
 
 # -- plans ----------------------------------------------------------------------------------------
 
+# no tenants are asked for: a reason for each table that cannot be cut
 SKIPS = (
-    f"(select tenant, table_name, coalesce(r, 'no rows for customer') as reason from "
-    f"(select distinct tenant from {STATS}), (select table_name, {REASON} as r from {CARRYING} left join {KEYS} using (table_name)) k "
-    f"where r is not null or not exists (select 1 from {STATS} s where s.tenant = tenant and s.table_name = k.table_name))"
+    f"(select null::varchar as tenant, table_name, reason from "
+    f"(select table_name, {REASON} as reason from {CARRYING} left join {KEYS} using (table_name)) where reason is not null)"
 )
-# the inner tenant must be the outer one, so name it
-SKIPS = SKIPS.replace("(select distinct tenant from", "(select distinct tenant as asked from").replace(
-    "(select tenant, table_name, coalesce", "(select asked as tenant, table_name, coalesce").replace("s.tenant = tenant", "s.tenant = asked")
 
 
 @query("e2e1_plan", f"select tenant, table_name, min_pk, max_pk, total_rows, ((max_pk - min_pk) // step + 1)::bigint as chunk_count, null as reason from {STATS} union all select tenant, table_name, null, null, null, null, reason from {SKIPS}")
@@ -178,6 +178,89 @@ def _(spark, sf):
     return planning.plan_totals(p)
 
 
+@query("prj8_reasons_of_unchunkable_tables", f"select table_name, reason, tenant is null as of_all_tenants from {SKIPS} where table_name in ('email_preferences', 'vendors', 'order_lines')")
+def _(spark, sf):
+    # no table has slices, so no tenant is known
+    frames, specs = w.tables(spark, sf, ["email_preferences", "vendors", "order_lines"])
+    p = plan(frames, specs.values(), w.DB, w.TENANT, chunk_size=SIZE)
+    return p.skipped.unionByName(p.tables.select("tenant", "table_name", F.lit("planned").alias("reason"))).select(
+        "table_name", "reason", F.col("tenant").isNull().alias("of_all_tenants"))
+
+
+# -- tables with a composite or a text key, cut by the key's hash -------------------------------------
+
+HASHED = {"email_preferences": ("account_id", "conv_id", "turn"), "vendors": ("name",)}
+
+
+def _hash_sql(columns):
+    sized = " || ".join(f"coalesce(length({c}::varchar) || ':' || {c}::varchar, '~')" for c in columns)
+    return f"('0x' || substr(md5({sized}), 1, 10))::bigint"
+
+
+HASHED_ROWS = "(" + " union all ".join(
+    f"select '{n}' as table_name, 'hash({', '.join(pk)})' as pk_col, account_id as tenant, {_hash_sql(pk)} as h from {w.table_sql(n)}" for n, pk in HASHED.items()) + ")"
+HASHED_STATS = (
+    f"(select *, greatest(1, ceil({SIZE // 10}::double / (total_rows::double / (max_pk - min_pk + 1)::double)))::bigint as step from "
+    f"(select table_name, pk_col, tenant, min(h) as min_pk, max(h) as max_pk, count(*) as total_rows from {HASHED_ROWS} group by all))"
+)
+HASHED_CHUNKS = (
+    f"(select tenant, table_name, pk_col, start_pk, least(start_pk + step - 1, max_pk)::bigint as end_pk from "
+    f"(select *, unnest(range(min_pk, max_pk + 1, step)) as start_pk from {HASHED_STATS}))"
+)
+
+
+def _hashed(spark, sf):
+    frames, specs = w.tables(spark, sf, list(HASHED))
+    specs = {n: replace(s, hashed=True) for n, s in specs.items()}
+    return frames, specs, plan(frames, specs.values(), w.DB, w.TENANT, chunk_size=SIZE // 10)
+
+
+@query("pipe1_chunks_of_hashed_keys", f"select * from {HASHED_CHUNKS}")
+def _(spark, sf):
+    return _hashed(spark, sf)[2].chunks.select("tenant", "table_name", "pk_col", "start_pk", "end_pk")
+
+
+@query("agg3_chunk_counts_of_hashed_keys", f"select c.tenant, c.table_name, start_pk, count(*)::bigint as n from {HASHED_CHUNKS} c join {HASHED_ROWS} r on r.tenant = c.tenant and r.table_name = c.table_name and h between start_pk and end_pk group by 1, 2, 3")
+def _(spark, sf):
+    frames, specs, p = _hashed(spark, sf)
+    return union_all(chunk_counts(frames[n], specs[n], p.tables) for n in HASHED)
+
+
+@query("e2e3_resume_of_hashed_keys", f"""
+select c.table_name, c.tenant, count(distinct start_pk)::bigint as chunks, count(h)::bigint as n_rows, true as ok
+from {HASHED_CHUNKS} c left join {HASHED_ROWS} r on r.tenant = c.tenant and r.table_name = c.table_name and h between start_pk and end_pk group by 1, 2""")
+def _(spark, sf):
+    frames, specs, p = _hashed(spark, sf)
+    root = scratch(spark, "target")
+    target = KeyedTarget(spark, root, specs, buckets=8)
+    migrate(planning.Plan(p.tables, p.chunks.where("chunk_no % 3 = 0"), p.skipped), frames, target, f"{root}/ledger")
+    migrate(p, frames, target, f"{root}/ledger")
+    done = led.completed_counts(led.read_ledger(spark, f"{root}/ledger"))
+    report = verify(frames, target.tables(), specs.values())
+    return report.join(done, ["tenant", "table_name"]).select(
+        "table_name", "tenant", F.col("n_done").alias("chunks"), F.col("tgt_count").alias("n_rows"), "ok")
+
+
+# -- reading the pending ranges only ------------------------------------------------------------------
+
+ENDS = f"(select *, start_pk = min(start_pk) over (partition by table_name) or end_pk = max(end_pk) over (partition by table_name) as pending from {w.chunks_sql(['activities', 'leads'], 50)})"
+
+
+@query("e2e3_rows_in_pending_ranges", " union all ".join(
+    f"select '{n}' as table_name, count(*)::bigint as n_rows, sum(id)::bigint as id_sum from {w.table_sql(n)} r "
+    f"where exists (select 1 from {ENDS} c where c.pending and c.table_name = '{n}' and r.id between c.start_pk and c.end_pk)" for n in ("activities", "leads")))
+def _(spark, sf):
+    # what the scans of a resumed load read when chunks at both ends of the keys are pending
+    frames, specs, widths = _widths(spark, sf, ["activities", "leads"], 50)
+    chunks = materialise(explode_chunks(widths), "chunks")
+    ends = chunks.groupBy("table_name").agg(F.min("start_pk").alias("lo"), F.max("end_pk").alias("hi"))
+    pending = chunks.join(ends, "table_name").where("start_pk = lo or end_pk = hi").drop("lo", "hi")
+    ranges = pending_ranges(pending)
+    read = {n: within(frames[n], specs[n], ranges[n]) for n in ranges}
+    return union_all(
+        read[n].agg(F.lit(n).alias("table_name"), F.count("*").alias("n_rows"), F.sum("id").cast("bigint").alias("id_sum")) for n in ("activities", "leads"))
+
+
 @query("ord4_chunk_order", f"select tenant, table_name, start_pk, end_pk, row_number() over (partition by tenant order by table_name, start_pk) = 1 as is_first from {CHUNKS} order by 1, 2, 3")
 def _(spark, sf):
     _, _, p = _plan(spark, sf)
@@ -193,12 +276,15 @@ def _(spark, sf):
 _HEAD = "'{\"customer_id\":\"' || tenant || '\",\"tenant_column\":\"account_id\",\"source_database\":\"src\",\"table\":\"' || table_name || '\"'"
 
 
+_NO_TENANT = "'{\"tenant_column\":\"account_id\",\"source_database\":\"src\",\"table\":\"' || table_name || '\"'"
+
+
 @query("snk3_plan_documents", f"""
 select tenant, table_name, 0::bigint as page_no, {_HEAD} || ',"pk_col":"id","min_pk":' || min_pk || ',"max_pk":' || max_pk
   || ',"total_rows":' || total_rows || ',"chunk_count":' || ((max_pk - min_pk) // step + 1) || ',"chunks":[' || list || ']}}' as plan
 from {STATS} join (select tenant, table_name, string_agg('{{"start":' || start_pk || ',"end":' || end_pk || '}}', ',' order by start_pk) as list
   from {CHUNKS} group by 1, 2) using (tenant, table_name)
-union all select tenant, table_name, 0, {_HEAD} || ',"reason":"' || reason || '"}}' from {SKIPS}""")
+union all select tenant, table_name, 0, {_NO_TENANT} || ',"reason":"' || reason || '"}}' from {SKIPS}""")
 def _(spark, sf):
     _, _, p = _plan(spark, sf)
     path = scratch(spark, "plan")
@@ -273,6 +359,15 @@ def _(spark, sf):
     return led.completed_counts(led.read_ledger(spark, path))
 
 
+@query("agg12_chunks_recorded_twice", f"select tenant, table_name, count(*)::bigint as n_done from {DONE} group by 1, 2")
+def _(spark, sf):
+    _, _, p = _plan(spark, sf)
+    path = scratch(spark, "ledger")
+    for _ in range(2):  # as two runs over the same chunks do
+        led.record(_half_done(p), path)
+    return led.completed_counts(led.read_ledger(spark, path))
+
+
 @query("jn4_chunk_parity", f"""
 with c as (select * from {w.chunks_sql(['activities'], SIZE)}),
 s as (select tenant, start_pk, count(*)::bigint as n from c join {ACT} on account_id = tenant and id between start_pk and end_pk group by 1, 2),
