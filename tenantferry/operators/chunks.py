@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tenantferry.functions import chunking
+from tenantferry.operators.stats import with_widths
+from tenantferry.session import materialise
 from tenantferry.specs import TableSpec
 
 # chunks made per generated array; a slice with more is spread over several tasks
 BLOCK = 16_384
 
 
-def explode_chunks(widths: DataFrame, block: int = BLOCK) -> DataFrame:
+def explode_chunks(widths: DataFrame, block: int = BLOCK, keep: Sequence[str] = ()) -> DataFrame:
     """All ``(start_pk, end_pk)`` ranges of the slices: contiguous, the last one clipped.
 
     Done in two steps so that one huge slice neither builds one huge array nor stays in one task:
@@ -31,16 +35,18 @@ def explode_chunks(widths: DataFrame, block: int = BLOCK) -> DataFrame:
     )
     end = chunking.end_of(F.col("start_pk"), F.col("max_pk"), F.col("step"), F.col("wide"))
     return started.select(
-        "tenant", "table_name", "pk_col", F.col("i").alias("chunk_no"), "start_pk", end.alias("end_pk")
+        "tenant", "table_name", "pk_col", F.col("i").alias("chunk_no"), "start_pk", end.alias("end_pk"), *keep
     )
 
 
-def assign_chunks(df: DataFrame, spec: TableSpec, widths: DataFrame, only: DataFrame | None = None) -> DataFrame:
+def assign_chunks(
+    df: DataFrame, spec: TableSpec, widths: DataFrame, only: DataFrame | None = None, splits: DataFrame | None = None,
+) -> DataFrame:
     """Adds ``tenant`` and ``start_pk`` to each row inside a planned slice, or inside the chunks in ``only``.
 
-    An equi join on the tenant plus arithmetic. Rows outside the planned key span, such as those
-    added after planning, belong to no chunk. Pass materialised widths: their size then decides
-    whether they are broadcast; if not, AQE splits the partitions of a hot tenant.
+    An equi join on the tenant plus arithmetic, and one more on the chunk for each level of ``splits``. Rows outside
+    the planned key span, such as those added after planning, belong to no chunk. Pass materialised
+    widths: their size then decides whether they are broadcast; if not, AQE splits the partitions of a hot tenant.
     """
     mine = widths.where(F.col("table_name") == spec.name).select(
         F.col("tenant"), "min_pk", "max_pk", "step", "wide"
@@ -49,17 +55,66 @@ def assign_chunks(df: DataFrame, spec: TableSpec, widths: DataFrame, only: DataF
     joined = df.join(mine, F.col(spec.tenant_col) == F.col("tenant")).where(pk.between(F.col("min_pk"), F.col("max_pk")))
     start = chunking.start_of(pk, F.col("min_pk"), F.col("step"), F.col("wide"))
     rows = joined.withColumn("start_pk", start).drop("min_pk", "max_pk", "step", "wide")
+    if splits is not None:
+        of_table = splits.where(F.col("table_name") == spec.name)
+        for level in range(1, (of_table.agg(F.max("level")).first()[0] or 0) + 1):
+            rows = split_rows(rows, spec, of_table.where(F.col("level") == level))
     if only is not None:
         listed = only.where(F.col("table_name") == spec.name).select("tenant", "start_pk")
         rows = rows.join(listed, ["tenant", "start_pk"], "left_semi")
     return rows
 
 
-def chunk_counts(df: DataFrame, spec: TableSpec, widths: DataFrame, only: DataFrame | None = None) -> DataFrame:
+def split_rows(rows: DataFrame, spec: TableSpec, level: DataFrame) -> DataFrame:
+    """Rows of the chunks that ``level`` splits go to the part they lie in; those between its parts to none."""
+    at = [F.col(f"__{c}") for c in ("min_pk", "max_pk", "step", "wide")]
+    parts = level.select("tenant", F.col("parent").alias("start_pk"), *(F.col(c).alias(f"__{c}") for c in ("min_pk", "max_pk", "step", "wide")))
+    pk = spec.chunk_key
+    part = F.when(pk.between(at[0], at[1]), chunking.start_of(pk, at[0], at[2], at[3]))
+    joined = rows.join(parts, ["tenant", "start_pk"], "left")
+    placed = joined.withColumn("start_pk", F.when(at[0].isNull(), F.col("start_pk")).otherwise(part))
+    return placed.where(F.col("start_pk").isNotNull()).drop("__min_pk", "__max_pk", "__step", "__wide")
+
+
+def even_splits(df: DataFrame, spec: TableSpec, widths: DataFrame, chunk_size: int, most: float = 2.0) -> DataFrame:
+    """Splits of the chunks that hold over ``most * chunk_size`` rows, and of theirs, until none does.
+
+    ``widths`` assume that keys are spread evenly; where they are not, a chunk is cut anew over the keys that it
+    holds, by its own density. Each level is one grouped pass over the rows of the chunks that are still too large, and
+    a chunk cut has at least two parts with rows, so it ends. Rows that share one key stay together.
+    """
+    pk = spec.chunk_key
+    rows = assign_chunks(df.select(*dict.fromkeys([spec.tenant_col, *spec.pk])), spec, widths)
+    found, level = None, 0
+    while True:
+        sizes = rows.groupBy("tenant", "start_pk").agg(F.count("*").alias("total_rows"), F.min(pk).alias("min_pk"), F.max(pk).alias("max_pk"))
+        level += 1
+        large = sizes.where((F.col("total_rows") > most * chunk_size) & (F.col("max_pk") > F.col("min_pk"))).select(
+            F.lit(spec.name).alias("table_name"), F.lit(spec.chunk_key_name).alias("pk_col"), "tenant", "min_pk", "max_pk", "total_rows",
+            F.col("start_pk").alias("parent"), F.lit(level).alias("level"))
+        large = materialise(with_widths(large, chunk_size), "splits")
+        found = large if found is None else found.unionByName(large)
+        if large.isEmpty():
+            return found
+        rows = split_rows(rows.join(large.select("tenant", F.col("parent").alias("start_pk")), ["tenant", "start_pk"], "left_semi"), spec, large)
+
+
+def even_chunks(widths: DataFrame, splits: DataFrame) -> DataFrame:
+    """The chunks of the slices and of the splits, without those that were split."""
+    levels = [explode_chunks(widths).withColumn("level", F.lit(0))]
+    # the start is not enough to tell a chunk from its first part
+    levels.append(explode_chunks(splits.withColumnRenamed("level", "__level"), keep=("__level",)).withColumnRenamed("__level", "level"))
+    gone = splits.select("tenant", "table_name", F.col("parent").alias("start_pk"), (F.col("level") - 1).alias("level"))
+    return levels[0].unionByName(levels[1]).join(gone, ["tenant", "table_name", "start_pk", "level"], "left_anti").drop("level")
+
+
+def chunk_counts(
+    df: DataFrame, spec: TableSpec, widths: DataFrame, only: DataFrame | None = None, splits: DataFrame | None = None,
+) -> DataFrame:
     """Rows per non-empty chunk."""
     keys = df.select(*dict.fromkeys([spec.tenant_col, *spec.pk]))
     return (
-        assign_chunks(keys, spec, widths, only)
+        assign_chunks(keys, spec, widths, only, splits)
         .groupBy("tenant", "start_pk").agg(F.count("*").alias("n"))
         .select("tenant", F.lit(spec.name).alias("table_name"), "start_pk", "n")
     )

@@ -23,9 +23,9 @@ from tenantferry.sources.slices import jdbc_chunks, jdbc_waves
 RANGES, TENANTS = 64, 200
 
 
-def pending_rows(source: DataFrame, spec, widths: DataFrame, pending: DataFrame | None) -> DataFrame:
+def pending_rows(source: DataFrame, spec, widths: DataFrame, pending: DataFrame | None, splits: DataFrame | None = None) -> DataFrame:
     """Source rows in the pending chunks; ``None`` stands for all chunks."""
-    return assign_chunks(source, spec, widths, pending).select(*spec.columns)
+    return assign_chunks(source, spec, widths, pending, splits).select(*spec.columns)
 
 
 def pending_ranges(pending: DataFrame, most: int = RANGES) -> dict[str, list[tuple[int, int]]]:
@@ -36,11 +36,11 @@ def pending_ranges(pending: DataFrame, most: int = RANGES) -> dict[str, list[tup
     """
     wide = "decimal(38,0)"
     hull = pending.groupBy("table_name").agg(F.min("start_pk").cast(wide).alias("lo"), F.max("end_pk").cast(wide).alias("hi"))
-    width = F.col("hi") - F.col("lo") + F.lit(most)
-    sized = hull.withColumn("width", (width - F.pmod(width, F.lit(most).cast(wide))) / F.lit(most)).withColumn("width", F.col("width").cast(wide))
+    # whole-number division; a quotient's digits would be rounded
+    sized = hull.withColumn("width", F.expr(f"cast((hi - lo) div {most} + 1 as {wide})"))
     start, end = F.col("start_pk").cast(wide), F.col("end_pk").cast(wide)
-    cell = lambda key: F.floor((key - F.col("lo")) / F.col("width")).cast("int")
-    cells = pending.join(sized, "table_name").withColumn("cell", F.explode(F.sequence(cell(start), cell(end))))
+    cell = lambda key: F.expr(f"cast((cast({key} as {wide}) - lo) div width as int)")
+    cells = pending.join(sized, "table_name").withColumn("cell", F.explode(F.sequence(cell("start_pk"), cell("end_pk"))))
     first = F.col("lo") + F.col("cell") * F.col("width")
     found = cells.groupBy("table_name", "cell").agg(
         F.min(F.greatest(start, first)).cast("bigint").alias("a"), F.max(F.least(end, first + F.col("width") - 1)).cast("bigint").alias("b"))
@@ -87,7 +87,7 @@ def migrate(
     spark = target.spark
     todo = materialise(led.pending(plan.chunks, led.read_ledger(spark, ledger_path)), "pending")
     # if every chunk of the planned slices is to be loaded, rows need no look at the list
-    whole = todo.count() == (plan.tables.agg(F.sum("chunk_count")).first()[0] or 0)
+    whole = plan.splits is None and todo.count() == (plan.tables.agg(F.sum("chunk_count")).first()[0] or 0)
     ranges = pending_ranges(todo)
     names = sorted(ranges)
     if not names:
@@ -97,13 +97,13 @@ def migrate(
     only = None if whole else todo
     tenants = {} if whole else pending_tenants(todo)
     near = {n: within(source[n], target.specs[n], ranges[n], tenants.get(n)) for n in names}
-    loaded = target.load({n: pending_rows(near[n], target.specs[n], plan.tables, only) for n in names}, handoff)
+    loaded = target.load({n: pending_rows(near[n], target.specs[n], plan.tables, only, plan.splits) for n in names}, handoff)
     for name in names:
         spec = target.specs[name]
         # the source is read once: what the load read from it is what was written
-        counts["source"].append(chunk_counts(target.loaded(name, loaded), spec, plan.tables, only))
+        counts["source"].append(chunk_counts(target.loaded(name, loaded), spec, plan.tables, only, plan.splits))
         held = within(target.table(name), spec, ranges[name], tenants.get(name))
-        counts["target"].append(chunk_counts(held, spec, plan.tables, only))
+        counts["target"].append(chunk_counts(held, spec, plan.tables, only, plan.splits))
     both = compare_chunks(union_all(counts["source"]), union_all(counts["target"]))
     report = materialise(
         todo.join(both, ["tenant", "table_name", "start_pk"], "left").select(
@@ -142,6 +142,6 @@ def migrate_jdbc(
             rows = jdbc_chunks(spark, url, target.specs[name], bounds, properties)
             rows.select(*target.specs[name].columns).write.mode("append").parquet(staged)
         read = spark.read.schema(target.specs[name].schema).parquet(staged)
-        report = migrate(Plan(plan.tables, chunks, plan.skipped), {name: read}, target, ledger_path, handoff)
+        report = migrate(Plan(plan.tables, chunks, plan.skipped, plan.splits), {name: read}, target, ledger_path, handoff)
         failed += report.where("not ok").count()
     return failed

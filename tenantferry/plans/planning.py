@@ -8,7 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenantferry.operators.chunks import BLOCK, explode_chunks
+from tenantferry.files import exists
+from tenantferry.operators.chunks import BLOCK, even_chunks, even_splits, explode_chunks
 from tenantferry.operators.stats import slice_stats, union_all, with_widths
 from tenantferry.session import materialise, metadata_rows
 from tenantferry.sources.catalog import catalog_of, key_check, primary_keys, tenant_tables
@@ -16,6 +17,7 @@ from tenantferry.sources.slices import of_tenants, tenant_frame
 from tenantferry.specs import TableSpec
 
 DEFAULT_CHUNK_SIZE = 5000
+PARTS = ("tables", "chunks", "skipped", "splits")
 STATS = "table_name string, pk_col string, tenant string, min_pk bigint, max_pk bigint, total_rows bigint"
 
 
@@ -29,14 +31,17 @@ class Plan:
     tables: DataFrame
     chunks: DataFrame
     skipped: DataFrame
+    #: Chunks that were cut anew because they held too many rows, if the plan was made ``even``.
+    splits: DataFrame | None = None
 
     def write(self, path: str) -> None:
-        for name in ("tables", "chunks", "skipped"):
-            getattr(self, name).write.mode("overwrite").parquet(f"{path}/{name}")
+        for name in PARTS:
+            if getattr(self, name) is not None:
+                getattr(self, name).write.mode("overwrite").parquet(f"{path}/{name}")
 
     @staticmethod
     def read(spark: SparkSession, path: str) -> Plan:
-        return Plan(*[spark.read.parquet(f"{path}/{n}") for n in ("tables", "chunks", "skipped")])
+        return Plan(*[spark.read.parquet(f"{path}/{n}") for n in PARTS if exists(spark, f"{path}/{n}")])
 
 
 def grid(tenants: DataFrame, names: Iterable[str]) -> DataFrame:
@@ -70,13 +75,17 @@ def plan(
     chunk_size: int = DEFAULT_CHUNK_SIZE,
     include: Iterable[str] = (),
     exclude: Iterable[str] = (),
+    even: bool = False,
 ) -> Plan:
     """Plan of the given tenants, or of all that have rows.
 
     A list of tenants is filtered in the scans; a frame with a ``tenant`` column, for very many, is
     joined to the statistics and not to the rows.
 
-    Each table is read once, its key and tenant columns only. The statistics are written to the
+    Chunks are equally wide, so they hold ``chunk_size`` rows only if keys are spread evenly. With ``even`` those of
+    over twice that are cut anew, at the cost of further passes over the keys: of all, then of the chunks that are too large.
+
+    Each table is read once otherwise, its key and tenant columns only. The statistics are written to the
     shared folder, so that chunks, totals and skips come from one and the same scan.
     """
     specs = {s.name: s for s in specs}
@@ -95,13 +104,17 @@ def plan(
         stats = union_all(slice_stats(of_tenants(tables[s.name], s, tenants), s) for s in chunkable)
     else:
         stats = metadata_rows(spark, [], STATS)
+    listed_tenants = tenants
     if tenants is not None:
         tenants = tenant_frame(spark, tenants)
         stats = stats.join(tenants, "tenant", "left_semi")
     widths = materialise(with_widths(stats, chunk_size), "widths")
 
     skipped = skipped_tables(checked) if tenants is None else skipped_slices(checked, grid(tenants, names), widths)
-    return Plan(widths, explode_chunks(widths), skipped)
+    if not (even and chunkable):
+        return Plan(widths, explode_chunks(widths), skipped)
+    splits = union_all(even_splits(of_tenants(tables[s.name], s, listed_tenants), s, widths, chunk_size) for s in chunkable)
+    return Plan(widths, even_chunks(widths, splits), skipped, splits)
 
 
 def ordered_chunks(chunks: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from tenantferry import KeyedTarget, Plan, migrate, plan
 from tenantferry.operators.chunks import assign_chunks, chunk_counts, explode_chunks
 from tenantferry.operators.stats import slice_stats, with_widths
 from tenantferry.session import metadata_rows
@@ -99,3 +100,64 @@ def test_wide_chunks_reach_the_last_key(spark):
             assert all(a[1] + 1 == b[0] for a, b in zip(got, got[1:]))
     (got,) = chunks(spark, [(-(2**62), 2**62, 2)], 1)
     assert got[0][0] == -(2**62) and got[-1][1] == 2**62
+
+
+def test_even_chunks_of_skewed_keys(spark):
+    # ten far keys, a dense run and a sparse tail, of two tenants
+    keys = list(range(40_000)) + [10**12 + i * 10**11 for i in range(10)] + [10**7 + i * i for i in range(3000)]
+    df = spark.createDataFrame([(k * 2 + t, f"acc_{t}") for k in keys for t in (0, 1)], "id long, account_id string").repartition(4)
+    spec = TableSpec.of(df, "t", ["id"])
+    plain, even = (plan({"t": df}, [spec], "src", "account_id", chunk_size=500, even=e) for e in (False, True))
+    assert max(r.n for r in chunk_counts(df, spec, plain.tables).collect()) > 30_000
+    counts = {(r.tenant, r.start_pk): r.n for r in chunk_counts(df, spec, even.tables, None, even.splits).collect()}
+    assert max(counts.values()) <= 1000 and sum(counts.values()) == 2 * len(keys)
+    chunks = [(r.tenant, r.start_pk, r.end_pk) for r in even.chunks.collect()]
+    # a row's chunk is the listed one that holds its key, and chunks do not overlap
+    for t in ("acc_0", "acc_1"):
+        mine = sorted((a, b) for x, a, b in chunks if x == t)
+        assert all(b < c for (_, b), (c, _) in zip(mine, mine[1:])) and len(mine) < 4 * len(keys) / 500
+        mine_keys = sorted(k * 2 + int(t[-1]) for k in keys)
+        import bisect
+
+        for a, b in mine:
+            n = bisect.bisect_right(mine_keys, b) - bisect.bisect_left(mine_keys, a)
+            assert n == counts.get((t, a), 0)
+
+
+def test_even_chunks_are_migrated_and_resumed(spark, tmp_path):
+    keys = [*range(3000), *(10**9 + i for i in range(5)), 2**62]
+    df = spark.createDataFrame([(k, f"acc_{k % 2}") for k in keys], "id long, account_id string")
+    spec = TableSpec.of(df, "t", ["id"])
+    p = plan({"t": df}, [spec], "src", "account_id", chunk_size=100, even=True)
+    target, ledger = KeyedTarget(spark, str(tmp_path / "t"), {"t": spec}, buckets=4), str(tmp_path / "l")
+    p.write(str(tmp_path / "plan"))
+    p = Plan.read(spark, str(tmp_path / "plan"))
+    some = p.chunks.where("start_pk % 3 = 0")
+    migrate(Plan(p.tables, some, p.skipped, p.splits), {"t": df}, target, ledger)
+    report = migrate(p, {"t": df}, target, ledger)
+    assert report.where("not ok").isEmpty() and report.count() == p.chunks.count() - some.count()
+    assert sorted(r.id for r in target.table("t").collect()) == keys
+
+
+def test_keys_that_repeat_are_not_split_forever(spark):
+    df = spark.createDataFrame([(7, "a")] * 50 + [(8, "a")] * 3, "id long, account_id string")
+    spec = TableSpec.of(df, "t", ["id"])
+    p = plan({"t": df}, [spec], "src", "account_id", chunk_size=5, even=True)
+    assert sorted(r.n for r in chunk_counts(df, spec, p.tables, None, p.splits).collect()) == [3, 50]
+
+
+def test_hashed_keys(spark):
+    rows = [("a", f"k{i}", i if i % 9 else None) for i in range(400)]
+    df = spark.createDataFrame(rows, "account_id string, code string, n long")
+    spec = TableSpec.of(df, "t", ["code", "n"], hashed=True)
+    import hashlib
+
+    def number(code, n):
+        text = f"{len(code)}:{code}" + ("~" if n is None else f"{len(str(n))}:{n}")
+        return int(hashlib.md5(text.encode()).hexdigest()[:10], 16)
+
+    got = {(r.code, r.n): r.h for r in df.select("code", "n", spec.chunk_key.alias("h")).collect()}
+    assert got == {(c, n): number(c, n) for _, c, n in rows}
+    p = plan({"t": df}, [spec], "src", "account_id", chunk_size=50)
+    assert p.skipped.isEmpty() and p.tables.first().pk_col == "hash(code, n)"
+    assert sum(r.n for r in chunk_counts(df, spec, p.tables).collect()) == 400

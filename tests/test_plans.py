@@ -11,7 +11,7 @@ from tenantferry.operators.chunks import chunk_counts, explode_chunks
 from tenantferry.operators.merge import latest_per_key
 from tenantferry.operators.parity import slice_metrics
 from tenantferry.operators.stats import slice_stats, with_widths
-from tenantferry.plans.migrate import pending_bounds, pending_rows, within
+from tenantferry.plans.migrate import pending_ranges, pending_rows, pending_tenants, within
 from tenantferry.session import materialise
 from tenantferry.sources.feed import tenant_changes
 from tenantferry.sources.slices import key_range, tenant_slice
@@ -68,14 +68,54 @@ def test_bounds_of_the_pending_chunks_reach_the_scan(table):
     df, spec = table
     widths = materialise(with_widths(slice_stats(df, spec), 100), "widths")
     todo = materialise(explode_chunks(widths).where("tenant between 'acc_1' and 'acc_2' and chunk_no = 3"), "todo")
-    bounds = pending_bounds(todo)["t"]
-    rows = pending_rows(within(df, spec, bounds), spec, widths, todo)
+    ranges, tenants = pending_ranges(todo)["t"], pending_tenants(todo)["t"]
+    near = within(df, spec, ranges, tenants)
+    rows = pending_rows(near, spec, widths, todo)
     text = explained(rows)
     pushed = " ".join(re.findall(r"PushedFilters: (.*)", text))
-    for part in ("GreaterThanOrEqual(account_id,acc_1)", "LessThanOrEqual(account_id,acc_2)", f"GreaterThanOrEqual(id,{bounds.start_pk})", f"LessThanOrEqual(id,{bounds.end_pk})"):
+    for part in ("In(account_id, [acc_1,acc_2])", f"GreaterThanOrEqual(id,{ranges[0][0]})", f"LessThanOrEqual(id,{ranges[-1][1]})"):
         assert part in pushed
     assert len(re.findall(r"ReadSchema: .*wide_text", text)) == 1
-    assert sorted(r.n for r in chunk_counts(within(df, spec, bounds), spec, widths, todo).collect()) == [100, 100] and rows.count() == 200
+    assert sorted(r.n for r in chunk_counts(near, spec, widths, todo).collect()) == [100, 100] and rows.count() == 200
+
+
+def test_two_pending_chunks_at_both_ends_read_two_row_groups(spark, tmp_path):
+    path = str(tmp_path / "many")
+    spark.range(0, 200_000, 1, 1).select("id", F.lit("a").alias("account_id")).write.option("parquet.block.size", 64 * 1024).option(
+        "parquet.page.row.count.limit", 2000).parquet(path)
+    df = spark.read.parquet(path)
+    spec = TableSpec.of(df, "many", ["id"])
+    widths = materialise(with_widths(slice_stats(df, spec), 1000), "widths")
+    todo = materialise(explode_chunks(widths).where("chunk_no in (0, 199)"), "todo")
+    ranges = pending_ranges(todo)["many"]
+    assert ranges == [(0, 999), (199_000, 199_999)]
+    near = within(df, spec, ranges)
+    near.write.format("noop").mode("overwrite").save()
+    rows = near._jdf.queryExecution().executedPlan()
+    near.collect()
+    scans = [rows]
+    read = None
+    while scans:  # the rows that the scan gave, before the filter
+        node = scans.pop()
+        if node.nodeName().startswith("Scan"):
+            read = node.metrics().apply("numOutputRows").value()
+        children = node.children()
+        scans += [children.apply(i) for i in range(children.size())]
+    assert near.count() == 2000
+    assert read is None or read < 100_000
+
+
+def test_ranges_are_bounded_and_cover_what_is_pending(spark):
+    import random
+
+    r = random.Random(3)
+    for span in (1000, 2**63 - 1):
+        chunks = [(f"t{i % 7}", "x", a, a + r.randrange(5)) for i, a in enumerate(sorted(r.randrange(-span, span - 10) for _ in range(300)))]
+        pending = spark.createDataFrame(chunks, "tenant string, table_name string, start_pk long, end_pk long")
+        ranges = pending_ranges(pending)["x"]
+        assert len(ranges) <= 64 and all(b < c for (_, b), (c, _) in zip(ranges, ranges[1:]))
+        assert all(any(a <= s and e <= b for a, b in ranges) for _, _, s, e in chunks)
+        assert (ranges[0][0], ranges[-1][1]) == (min(c[2] for c in chunks), max(c[3] for c in chunks))
 
 
 def test_newest_change_combines_before_the_shuffle(spark):

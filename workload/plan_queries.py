@@ -187,6 +187,27 @@ def _(spark, sf):
         "table_name", "reason", F.col("tenant").isNull().alias("of_all_tenants"))
 
 
+# -- chunks of even size where keys are not spread evenly ---------------------------------------------
+
+# a thousandth of the keys lies far out
+SKEWED = "case when event_id % 1000 = 0 then event_id * 1000000000 else event_id end"
+
+
+@query("gen1_even_chunks", f"""
+select account_id as tenant, count(*)::bigint as n_rows, sum(id)::bigint as id_sum, true as bounded, true as listed
+from (select {SKEWED} as id, 'acc_' || (user_id % 5) as account_id from events) group by 1""")
+def _(spark, sf):
+    account = F.concat(F.lit("acc_"), (F.col("user_id") % 5).cast("string"))
+    df = w.given(spark, sf, "events").select(F.expr(SKEWED).alias("id"), account.alias("account_id"))
+    spec = TableSpec.of(df, "skewed", ["id"])
+    p = plan({"skewed": df}, [spec], w.DB, w.TENANT, chunk_size=50, even=True)
+    rows = assign_chunks(df, spec, p.tables, None, p.splits).join(p.chunks.select("tenant", "start_pk", "end_pk"), ["tenant", "start_pk"], "left")
+    per_chunk = rows.groupBy("tenant", "start_pk").agg(
+        F.count("*").alias("n"), F.sum("id").alias("s"), F.bool_and(F.coalesce(F.col("id").between(F.col("start_pk"), F.col("end_pk")), F.lit(False))).alias("listed"))
+    return per_chunk.groupBy("tenant").agg(
+        F.sum("n").alias("n_rows"), F.sum("s").cast("bigint").alias("id_sum"), (F.max("n") <= 100).alias("bounded"), F.bool_and("listed").alias("listed"))
+
+
 # -- tables with a composite or a text key, cut by the key's hash -------------------------------------
 
 HASHED = {"email_preferences": ("account_id", "conv_id", "turn"), "vendors": ("name",)}
