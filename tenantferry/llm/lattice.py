@@ -32,6 +32,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tenantferry.llm.common import settled
 from tenantferry.session import materialise
 
 SPACE = "▁"
@@ -309,6 +310,7 @@ def occurrences(docs: DataFrame, v: Vocabulary, id_col: str = "doc_id", text_col
     hold the units that are not frequent.
     """
     pieces = piece_table(docs.sparkSession, v)
+    docs = settled(docs.select(id_col, text_col), "texts")  # numbered more than once below
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), units(F.col(text_col), v).alias("us"))
     n_docs = docs.count()
     sample = rows.filter(F.pmod(F.xxhash64("row"), F.lit(max(1, n_docs // HOT_DOCUMENTS))) == 0).select(F.explode("us").alias("u"))
@@ -321,7 +323,7 @@ def occurrences(docs: DataFrame, v: Vocabulary, id_col: str = "doc_id", text_col
     each = rows.select("row", "doc_id", F.posexplode_outer("us").alias("pos", "u")).withColumn("hash", F.xxhash64("u"))
     is_hot = (F.col("hash") == F.col("h")) & _same("u", "hu")
     frequent = each.join(F.broadcast(hot), is_hot, "left")
-    rare = materialise(each.filter("u is not null").join(F.broadcast(hot), is_hot, "left_anti").select("row", "doc_id", "pos", "u"), "rare-units")  # the same columns of docs as above, so the same row numbers
+    rare = materialise(each.filter("u is not null").join(F.broadcast(hot), is_hot, "left_anti").select("row", "doc_id", "pos", "u"), "rare-units")
     folds = foldable(F.col("u"), v)
     n = parts(rare.count())
     tail = dictionary(rare.filter(folds).select("u").repartition(n, "u").distinct(), pieces, v)

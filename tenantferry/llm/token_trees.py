@@ -6,25 +6,34 @@ characters before it, at the start of the pre-token there, since the pattern loo
 characters past a match; it ends as soon as a new pre-token ends, after the edit, where an old one ended. Only
 the pre-tokens in between are encoded anew, and only the sums above their leaves change.
 
+Trees are kept: ``trees`` makes a table of all documents' leaves, ``keep`` writes it, and ``after`` joins a table of edits
+to it and gives the table that comes next. What is stored are the texts and the lengths and counts of their pre-tokens; a
+tree's sums are added up from these, without matching or encoding. Rows without edits pass by as they are.
+
 Null texts count as empty ones. Edits apply in order, each to the text as the one before left it. A position beyond
 the text means its end, one below zero its start; a deletion ends at the text's end. An edit without a
-position is left out; without a length or text it deletes or inserts nothing. Texts are taken whole.
+position is left out; without a length or text it deletes or inserts nothing. Texts are taken whole. Edits of an id
+that several rows have apply to each of them; edits of a null id to none. Edits of equal ``seq`` apply by position, length, text.
 """
 
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tenantferry.session import scratch
+
 LEAF = 64
 #: Characters past a match that the pattern may look at: a contraction of three, one of which is matched.
 CONTEXT = 4
 MOST_KNOWN = 400_000
 EDIT = "array<struct<pos:long,deleted:long,inserted:string>>"
+LEAVES = "lens array<int>, counts array<int>"
 FIELDS = "tokens_before long, tokens_after long, n_pretokens long, n_encoded_anew long, n_edits long"
 
 
@@ -52,8 +61,11 @@ class Counter(dict):
 class TokenTree:
     """The pre-tokens of one text as a segment tree; node i has the children 2i and 2i + 1."""
 
-    def __init__(self, text: str, counter: Counter) -> None:
+    def __init__(self, text: str, counter: Counter, leaves: tuple[Sequence[int], Sequence[int]] | None = None) -> None:
         self.text, self.counter, self.encoded = text, counter, 0
+        if leaves is not None:
+            self._build(*map(list, leaves))
+            return
         words = counter.pattern.findall(text)
         self._build(list(map(len, words)), list(map(counter.__getitem__, words)))
 
@@ -71,6 +83,12 @@ class TokenTree:
         self.chars[i] = self.chars[2 * i] + self.chars[2 * i + 1]
         self.tokens[i] = self.tokens[2 * i] + self.tokens[2 * i + 1]
 
+    @property
+    def leaves(self) -> tuple[np.ndarray, np.ndarray]:
+        """Lengths and counts of the pre-tokens in order, from which the tree can be made again."""
+        lens, counts = (np.fromiter((x for part in parts for x in part), np.int32) for parts in (self.lens, self.counts))
+        return lens, counts
+
     @property
     def total(self) -> int:
         return self.tokens[1]
@@ -140,29 +158,67 @@ class TokenTree:
             nodes = {i // 2 for i in nodes}
 
 
-def edited_counts(text: Column, edits: Column, ranks_path: str, pattern: str) -> Column:
-    """A struct of ``FIELDS`` and the edited text, for columns of texts and of edits (``EDIT``)."""
-    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+def trees(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", more: Sequence[Column] = ()) -> DataFrame:
+    """One row per document: doc_id, text, ``LEAVES`` and the columns in ``more``. Other columns are left out."""
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         counter = Counter(ranks_path, pattern)
-        for texts, changes in batches:
+        for texts in batches:
+            yield pd.DataFrame([TokenTree(t, counter).leaves for t in texts], columns=["lens", "counts"])
+
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    grown = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), F.pandas_udf(run, LEAVES)(text).alias("t"), *more)
+    return grown.select("doc_id", "text", "t.*", *grown.columns[3:])
+
+
+def keep(made: DataFrame, path: str | None = None) -> DataFrame:
+    """Writes trees as a table, into the shared folder if no path is given, and reads them back."""
+    spark, path = made.sparkSession, path or scratch(made.sparkSession, "trees")
+    made.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(made.schema).parquet(path)
+
+
+def edited(kept: DataFrame, edits: Column, ranks_path: str, pattern: str, with_leaves: bool = True) -> DataFrame:
+    """Kept trees after a column of edits (``EDIT``): doc_id, ``FIELDS``, text and, on request, ``LEAVES``."""
+    def run(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
+        counter = Counter(ranks_path, pattern)
+        for texts, lens, counts, changes in batches:
             rows = []
-            for text, many in zip(texts, changes):
-                tree = TokenTree(text, counter)
+            for text, a, b, many in zip(texts, lens, counts, changes):
+                tree = TokenTree(text, counter, (a.tolist(), b.tolist()))
                 before, done = tree.total, 0
                 for e in many if many is not None else ():
                     if e is not None and e["pos"] is not None:
                         tree.edit(int(e["pos"]), int(e["deleted"] or 0), e["inserted"] or "")
                         done += 1
-                rows.append((before, tree.total, sum(map(len, tree.lens)), tree.encoded, done, tree.text))
-            yield pd.DataFrame(rows, columns=["tokens_before", "tokens_after", "n_pretokens", "n_encoded_anew", "n_edits", "text"])
+                rows.append((before, tree.total, sum(map(len, tree.lens)), tree.encoded, done, tree.text, *(tree.leaves if with_leaves else ())))
+            yield pd.DataFrame(rows, columns=names)
+
+    schema = FIELDS + ", text string" + (f", {LEAVES}" if with_leaves else "")
+    names = [f.split()[0] for f in schema.split(", ")]
+    out = F.pandas_udf(run, schema)(F.col("text"), F.col("lens"), F.col("counts"), edits.cast(EDIT))
+    return kept.select("doc_id", out.alias("c")).select("doc_id", "c.*")
 
-    return F.pandas_udf(run, FIELDS + ", text string")(F.coalesce(text, F.lit("")), edits.cast(EDIT))
+
+def after(kept: DataFrame, log: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id") -> DataFrame:
+    """The kept trees after a table of edits (id, seq, pos, deleted, inserted), to be kept in their turn.
+
+    One row per document: doc_id, text, ``LEAVES`` and n_encoded_anew, the pre-tokens that these edits made it encode. Only
+    documents with edits go through Python, and only regions around the edits are matched and encoded.
+    """
+    changes = gathered(log.filter(F.col(id_col).isNotNull()), id_col).select(F.col(id_col).alias("doc_id"), "edits")
+    columns = ["doc_id", "text", "lens", "counts"]
+    touched = edited(kept.select(columns).join(changes, "doc_id"), F.col("edits"), ranks_path, pattern)
+    rest = kept.select(columns).join(changes, "doc_id", "left_anti").withColumn("n_encoded_anew", F.lit(0).cast("long"))
+    return touched.select(*columns, "n_encoded_anew").unionByName(rest)
 
 
 def counts(docs: DataFrame, edits: Column, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id, ``FIELDS`` and ``text``, the edited text. Other columns are left out."""
-    out = edited_counts(F.col(text_col), edits, ranks_path, pattern)
-    return docs.select(F.col(id_col).alias("doc_id"), out.alias("c")).select("doc_id", "c.*")
+    """One row per document: doc_id, ``FIELDS`` and ``text``, the edited text. Other columns are left out.
+
+    The trees are kept as a table first; the edits, a column over ``docs``, are applied to what it holds.
+    """
+    kept = keep(trees(docs, ranks_path, pattern, id_col, text_col, [edits.cast(EDIT).alias("edits")]))
+    return edited(kept, F.col("edits"), ranks_path, pattern, with_leaves=False)
 
 
 def gathered(edits: DataFrame, id_col: str = "doc_id") -> DataFrame:

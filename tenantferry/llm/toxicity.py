@@ -6,10 +6,10 @@ ratio and weight is the n-gram's part of the score, and n-grams without a part a
 scoring a text costs a hash and a table look-up for each of its characters and n.
 
 Fitting takes at most ``MAX_LABELLED`` labelled rows, chosen by a hash of their id, half of them toxic if there
-are so many. Scoring takes whole texts of any length; null and empty texts get the score of a text
+are so many, and at most ``MAX_FIT_TOTAL`` characters of them. Scoring takes whole texts of any length; null and empty texts get the score of a text
 without any n-gram, which is that of the bias. With one class only, or none, in the labels, the score is
 that class's share (0 without labels). Labels that are null, or of ids that are null, are not used;
-of several labels for an id the largest holds.
+of several labels for an id the largest holds, of several texts the one whose hash is largest.
 """
 
 from __future__ import annotations
@@ -19,13 +19,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tenantferry.session import materialise
 
-#: Labelled rows that the fit may use: this bounds the driver's memory.
-MAX_LABELLED = 3000
+#: Labelled rows that the fit may use, and characters of all of them: these bound the driver's memory.
+MAX_LABELLED, MAX_FIT_TOTAL = 3000, 8_000_000
 #: Characters of one text that the fit may use; longer labelled texts are passed over in the fit, never cut.
 MAX_FIT_CHARS = 20_000
 SIZES = (3, 4, 5, 6)
@@ -63,8 +63,9 @@ def fit(texts: list[str], toxic: list[int]) -> Model:
         share = float(y.mean()) if len(y) else 0.0
         return Model(part, float(np.clip(np.log(share + 1e-9) - np.log(1 - share + 1e-9), -20, 20)))
     sets = [np.unique(grams(x)) for x in texts]
+    rows = np.repeat(np.arange(len(sets), dtype=np.int32), [len(x) for x in sets])
     columns = np.concatenate(sets)
-    rows = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    del sets
     pos = np.bincount(columns[y[rows] == 1], minlength=1 << BITS) + 1.0
     neg = np.bincount(columns[y[rows] == 0], minlength=1 << BITS) + 1.0
     ratio = np.log(pos / pos.sum()) - np.log(neg / neg.sum())
@@ -107,15 +108,23 @@ def score(model: Model, texts: list[str]) -> np.ndarray:
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-          max_labelled: int = MAX_LABELLED) -> Model:
-    """Fit on labelled documents. The rows are chosen among the ids first, so that only their texts move."""
+          max_labelled: int = MAX_LABELLED, max_total: int = MAX_FIT_TOTAL) -> Model:
+    """Fit on labelled documents. The rows are chosen among the ids first, so that only their texts move.
+
+    Each class takes its rows in the order of their ids' hashes until half of either bound is reached.
+    """
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("y")).dropna().groupBy("id").agg(F.max("y").alias("y"))
     fits = docs.select(F.col(id_col).alias("id"), F.lower(F.coalesce(F.col(text_col), F.lit(""))).alias("text"))
-    ids = fits.filter(F.length("text") <= MAX_FIT_CHARS).select("id").join(known, "id").distinct()
+    one = F.max(F.struct(F.xxhash64("text").alias("h"), F.length("text").alias("n"))).alias("t")
+    ids = fits.filter(F.length("text") <= MAX_FIT_CHARS).join(known, "id").groupBy("id", "y").agg(one).select("id", "y", "t.*")
     order = [F.xxhash64("id"), F.col("id")]
     half = [ids.filter(p).orderBy(*order).limit(max_labelled // 2) for p in ("y > 0", "y <= 0")]
-    chosen = materialise(half[0].unionByName(half[1]), "labelled")
-    rows = fits.join(F.broadcast(chosen), "id").dropDuplicates(["id"]).orderBy("id").select("text", (F.col("y") > 0).cast("int").alias("y")).collect()
+    drawn = materialise(half[0].unionByName(half[1]), "labelled")
+    # no more than max_labelled rows
+    so_far = F.sum("n").over(Window.partitionBy(F.col("y") > 0).orderBy(*order))
+    chosen = drawn.withColumn("so_far", so_far).filter(F.col("so_far") <= max_total // 2).select("id", "h", "y")
+    mine = fits.withColumn("h", F.xxhash64("text")).join(F.broadcast(chosen), ["id", "h"])
+    rows = mine.dropDuplicates(["id"]).orderBy("id").select("text", (F.col("y") > 0).cast("int").alias("y")).collect()
     return fit([r.text for r in rows], [r.y for r in rows])
 
 
