@@ -33,7 +33,10 @@ LEAF = 64
 CONTEXT = 4
 MOST_KNOWN = 400_000
 EDIT = "array<struct<pos:long,deleted:long,inserted:string>>"
-LEAVES = "lens array<int>, counts array<int>"
+#: Arrays of 32-bit whole numbers, as the bytes that numpy has for them: no part of a row for each pre-token.
+LEAVES = "lens binary, counts binary"
+#: Characters after which the rows that are done leave Python.
+PIECE = 4_000_000
 FIELDS = "tokens_before long, tokens_after long, n_pretokens long, n_encoded_anew long, n_edits long"
 
 
@@ -58,16 +61,42 @@ class Counter(dict):
         return n
 
 
+def matched(text: str, counter: Counter) -> tuple[list[int], list[int]]:
+    """Lengths and counts of a text's pre-tokens."""
+    words = counter.pattern.findall(text)
+    return list(map(len, words)), list(map(counter.__getitem__, words))
+
+
+def packed(numbers: Sequence[int]) -> bytes:
+    return np.asarray(numbers, "<i4").tobytes()
+
+
+def unpacked(data: bytes) -> list[int]:
+    return np.frombuffer(data, "<i4").tolist()
+
+
+def pieces(rows: Iterator[tuple], names: Sequence[str], text_at: int) -> Iterator[pd.DataFrame]:
+    """Rows in frames that hold about ``PIECE`` characters of text."""
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += len(row[text_at])
+        if size >= PIECE:
+            yield pd.DataFrame(held, columns=names)
+            held, size = [], 0
+    if held:
+        yield pd.DataFrame(held, columns=names)
+
+
 class TokenTree:
     """The pre-tokens of one text as a segment tree; node i has the children 2i and 2i + 1."""
 
-    def __init__(self, text: str, counter: Counter, leaves: tuple[Sequence[int], Sequence[int]] | None = None) -> None:
+    def __init__(self, text: str, counter: Counter, leaves: tuple[list[int], list[int]] | None = None) -> None:
         self.text, self.counter, self.encoded = text, counter, 0
         if leaves is not None:
-            self._build(*map(list, leaves))
+            self._build(*leaves)
             return
-        words = counter.pattern.findall(text)
-        self._build(list(map(len, words)), list(map(counter.__getitem__, words)))
+        self._build(*matched(text, counter))
 
     def _build(self, lens: list[int], counts: list[int]) -> None:
         self.lens = [lens[i:i + LEAF] for i in range(0, len(lens), LEAF)] or [[]]
@@ -84,10 +113,9 @@ class TokenTree:
         self.tokens[i] = self.tokens[2 * i] + self.tokens[2 * i + 1]
 
     @property
-    def leaves(self) -> tuple[np.ndarray, np.ndarray]:
-        """Lengths and counts of the pre-tokens in order, from which the tree can be made again."""
-        lens, counts = (np.fromiter((x for part in parts for x in part), np.int32) for parts in (self.lens, self.counts))
-        return lens, counts
+    def leaves(self) -> tuple[bytes, bytes]:
+        """Lengths and counts of the pre-tokens in order, packed, from which the tree can be made again."""
+        return packed([x for part in self.lens for x in part]), packed([x for part in self.counts for x in part])
 
     @property
     def total(self) -> int:
@@ -163,11 +191,11 @@ def trees(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id"
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         counter = Counter(ranks_path, pattern)
         for texts in batches:
-            yield pd.DataFrame([TokenTree(t, counter).leaves for t in texts], columns=["lens", "counts"])
+            yield from pieces(((*map(packed, matched(t, counter)), t) for t in texts), ["lens", "counts", "text"], 2)
 
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    grown = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), F.pandas_udf(run, LEAVES)(text).alias("t"), *more)
-    return grown.select("doc_id", "text", "t.*", *grown.columns[3:])
+    # the text comes back from Python, so that the rows that wait for it are small
+    grown = docs.select(F.col(id_col).alias("doc_id"), F.pandas_udf(run, LEAVES + ", text string")(F.coalesce(F.col(text_col), F.lit(""))).alias("t"), *more)
+    return grown.select("doc_id", "t.text", "t.lens", "t.counts", *grown.columns[2:])
 
 
 def keep(made: DataFrame, path: str | None = None) -> DataFrame:
@@ -181,17 +209,17 @@ def edited(kept: DataFrame, edits: Column, ranks_path: str, pattern: str, with_l
     """Kept trees after a column of edits (``EDIT``): doc_id, ``FIELDS``, text and, on request, ``LEAVES``."""
     def run(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
         counter = Counter(ranks_path, pattern)
-        for texts, lens, counts, changes in batches:
-            rows = []
-            for text, a, b, many in zip(texts, lens, counts, changes):
-                tree = TokenTree(text, counter, (a.tolist(), b.tolist()))
-                before, done = tree.total, 0
-                for e in many if many is not None else ():
-                    if e is not None and e["pos"] is not None:
-                        tree.edit(int(e["pos"]), int(e["deleted"] or 0), e["inserted"] or "")
-                        done += 1
-                rows.append((before, tree.total, sum(map(len, tree.lens)), tree.encoded, done, tree.text, *(tree.leaves if with_leaves else ())))
-            yield pd.DataFrame(rows, columns=names)
+        for batch in batches:
+            yield from pieces((row(counter, *x) for x in zip(*batch)), names, 5)
+
+    def row(counter: Counter, text: str, lens: bytes, counts: bytes, many) -> tuple:
+        tree = TokenTree(text, counter, (unpacked(lens), unpacked(counts)))
+        before, done = tree.total, 0
+        for e in many if many is not None else ():
+            if e is not None and e["pos"] is not None:
+                tree.edit(int(e["pos"]), int(e["deleted"] or 0), e["inserted"] or "")
+                done += 1
+        return before, tree.total, sum(map(len, tree.lens)), tree.encoded, done, tree.text, *(tree.leaves if with_leaves else ())
 
     schema = FIELDS + ", text string" + (f", {LEAVES}" if with_leaves else "")
     names = [f.split()[0] for f in schema.split(", ")]

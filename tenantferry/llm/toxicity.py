@@ -115,8 +115,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("y")).dropna().groupBy("id").agg(F.max("y").alias("y"))
     fits = docs.select(F.col(id_col).alias("id"), F.lower(F.coalesce(F.col(text_col), F.lit(""))).alias("text"))
-    one = F.max(F.struct(F.xxhash64("text").alias("h"), F.length("text").alias("n"))).alias("t")
-    ids = fits.filter(F.length("text") <= MAX_FIT_CHARS).join(known, "id").groupBy("id", "y").agg(one).select("id", "y", "t.*")
+    # a hash and a length stand for the text, so that no text is shuffled
+    sizes = fits.filter(F.length("text") <= MAX_FIT_CHARS).select("id", F.struct(F.xxhash64("text").alias("h"), F.length("text").alias("n")).alias("t"))
+    ids = sizes.join(known, "id").groupBy("id", "y").agg(F.max("t").alias("t")).select("id", "y", "t.*")
     order = [F.xxhash64("id"), F.col("id")]
     half = [ids.filter(p).orderBy(*order).limit(max_labelled // 2) for p in ("y > 0", "y <= 0")]
     drawn = materialise(half[0].unionByName(half[1]), "labelled")
