@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 
 from tenantferry import files
 from tenantferry.operators.merge import latest_per_key
-from tenantferry.sources.feed import POS, position
+from tenantferry.sources.feed import LAST_ROW, POS, position
 from tenantferry.specs import TableSpec
 
 PROGRESS = T.StructType([
@@ -55,7 +55,7 @@ class KeyedTarget:
     # -- pointer ----------------------------------------------------------------------------
 
     def state(self) -> dict:
-        """Latest pointer. Keys: seq, tables {table: {bucket: version}}, progress (its version), writers {writer: batch}."""
+        """Latest pointer. Keys: seq, tables {table: {bucket: version}}, progress (its version), writers {writer: batch}, handoff."""
         found = [n for n in files.names(self.spark, f"{self.root}/pointer") if n.endswith(".json")]
         if not found:
             return {"seq": 0, "tables": {}, "progress": None, "writers": {}, "buckets": self.buckets}
@@ -158,9 +158,16 @@ class KeyedTarget:
         for name, write in writes.items():
             state["tables"][name] = state["tables"].get(name, {}) | write.result()
         state["seq"] = version + 1
+        # the earliest of all loads: later ones win over the changes between by their rows' position
+        state["handoff"] = min(filter(None, [[*at, LAST_ROW][:3], state.get("handoff")]))
         self._publish(state)
         return state["seq"]
 
+    def handoff(self) -> tuple | None:
+        """The position from which the feed completes what was loaded; None if nothing was, ``BEFORE_ALL`` if a load had none."""
+        at = self.state().get("handoff")
+        return tuple(at) if at else None
+
     def loaded(self, name: str, load: int) -> DataFrame:
         """The rows that a load, named by what ``load`` returned, has read from its source; until the next ``vacuum``."""
         spec, version = self.specs[name], load - 1

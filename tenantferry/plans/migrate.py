@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -75,11 +75,12 @@ def within(df: DataFrame, spec, ranges: list[tuple[int, int]], tenants: list[str
 
 def migrate(
     plan: Plan, source: Mapping[str, DataFrame], target: KeyedTarget, ledger_path: str,
-    handoff: tuple = BEFORE_ALL,
+    handoff: tuple | None = None,
 ) -> DataFrame:
     """Loads what the ledger does not list yet and returns the parity of the chunks it loaded.
 
-    ``handoff`` is the log position taken before the first read; replication starts from it. A run
+    ``handoff`` is the log position taken before the first read, by default the one the plan has captured. The target
+    records it in the same step in which the rows become visible; replication starts from ``target.handoff()``. A run
     cut short is simply repeated: scans are narrowed to the key ranges of the pending chunks, rows of
     chunks in the ledger are neither loaded nor counted again, and a load that was written but not
     recorded replaces itself.
@@ -97,7 +98,7 @@ def migrate(
     only = None if whole else todo
     tenants = {} if whole else pending_tenants(todo)
     near = {n: within(source[n], target.specs[n], ranges[n], tenants.get(n)) for n in names}
-    loaded = target.load({n: pending_rows(near[n], target.specs[n], plan.tables, only, plan.splits) for n in names}, handoff)
+    loaded = target.load({n: pending_rows(near[n], target.specs[n], plan.tables, only, plan.splits) for n in names}, handoff or plan.handoff or BEFORE_ALL)
     for name in names:
         spec = target.specs[name]
         # the source is read once: what the load read from it is what was written
@@ -124,7 +125,7 @@ def _no_counts(spark):
 
 
 def migrate_jdbc(
-    plan: Plan, url: str, target: KeyedTarget, ledger_path: str, handoff: tuple = BEFORE_ALL,
+    plan: Plan, url: str, target: KeyedTarget, ledger_path: str, handoff: tuple | None = None,
     wave: int = 10_000, properties: dict | None = None,
 ) -> int:
     """The same from a JDBC source, in waves of bounded chunk reads; returns the chunks not in order.
@@ -142,6 +143,6 @@ def migrate_jdbc(
             rows = jdbc_chunks(spark, url, target.specs[name], bounds, properties)
             rows.select(*target.specs[name].columns).write.mode("append").parquet(staged)
         read = spark.read.schema(target.specs[name].schema).parquet(staged)
-        report = migrate(Plan(plan.tables, chunks, plan.skipped, plan.splits), {name: read}, target, ledger_path, handoff)
+        report = migrate(replace(plan, chunks=chunks), {name: read}, target, ledger_path, handoff)
         failed += report.where("not ok").count()
     return failed

@@ -2,22 +2,24 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenantferry.files import exists
+from tenantferry.files import exists, remove
 from tenantferry.operators.chunks import BLOCK, even_chunks, even_splits, explode_chunks
 from tenantferry.operators.stats import slice_stats, union_all, with_widths
 from tenantferry.session import materialise, metadata_rows
 from tenantferry.sources.catalog import catalog_of, key_check, primary_keys, tenant_tables
+from tenantferry.sources.feed import LAST_ROW
 from tenantferry.sources.slices import of_tenants, tenant_frame
 from tenantferry.specs import TableSpec
 
 DEFAULT_CHUNK_SIZE = 5000
 PARTS = ("tables", "chunks", "skipped", "splits")
+POSITION = "log_file string, log_pos bigint, row_idx int"
 STATS = "table_name string, pk_col string, tenant string, min_pk bigint, max_pk bigint, total_rows bigint"
 
 
@@ -33,15 +35,24 @@ class Plan:
     skipped: DataFrame
     #: Chunks that were cut anew because they held too many rows, if the plan was made ``even``.
     splits: DataFrame | None = None
+    #: The log position taken before the first look at the source, if the plan was made with ``capture``.
+    handoff: tuple | None = None
 
     def write(self, path: str) -> None:
-        for name in PARTS:
-            if getattr(self, name) is not None:
-                getattr(self, name).write.mode("overwrite").parquet(f"{path}/{name}")
+        spark = self.tables.sparkSession
+        at = None if self.handoff is None else metadata_rows(spark, [self.handoff], POSITION)
+        for name, part in [*((n, getattr(self, n)) for n in PARTS), ("handoff", at)]:
+            if part is None:  # an older plan may have had it
+                remove(spark, f"{path}/{name}")
+            else:
+                part.write.mode("overwrite").parquet(f"{path}/{name}")
 
     @staticmethod
     def read(spark: SparkSession, path: str) -> Plan:
-        return Plan(*[spark.read.parquet(f"{path}/{n}") for n in PARTS if exists(spark, f"{path}/{n}")])
+        parts = {n: spark.read.parquet(f"{path}/{n}") for n in (*PARTS, "handoff") if exists(spark, f"{path}/{n}")}
+        if "handoff" in parts:
+            parts["handoff"] = tuple(parts["handoff"].first())
+        return Plan(**parts)
 
 
 def grid(tenants: DataFrame, names: Iterable[str]) -> DataFrame:
@@ -76,6 +87,7 @@ def plan(
     include: Iterable[str] = (),
     exclude: Iterable[str] = (),
     even: bool = False,
+    capture: Callable[[], tuple | None] | None = None,
 ) -> Plan:
     """Plan of the given tenants, or of all that have rows.
 
@@ -85,9 +97,14 @@ def plan(
     Chunks are equally wide, so they hold ``chunk_size`` rows only if keys are spread evenly. With ``even`` those of
     over twice that are cut anew, at the cost of further passes over the keys: of all, then of the chunks that are too large.
 
+    ``capture`` gives the log's present position, ``(log_file, log_pos)`` or with a row index. It is called before any row is
+    read, since keys added after the statistics lie in no chunk: what happens from then on is the feed's to deliver.
+
     Each table is read once otherwise, its key and tenant columns only. The statistics are written to the
     shared folder, so that chunks, totals and skips come from one and the same scan.
     """
+    at = capture() if capture else None
+    at = None if at is None else (*at, LAST_ROW)[:3]
     specs = {s.name: s for s in specs}
     spark = next(iter(tables.values())).sparkSession
     catalog = catalog_of(spark, specs.values())
@@ -112,9 +129,9 @@ def plan(
 
     skipped = skipped_tables(checked) if tenants is None else skipped_slices(checked, grid(tenants, names), widths)
     if not (even and chunkable):
-        return Plan(widths, explode_chunks(widths), skipped)
+        return Plan(widths, explode_chunks(widths), skipped, handoff=at)
     splits = union_all(even_splits(of_tenants(tables[s.name], s, listed_tenants), s, widths, chunk_size) for s in chunkable)
-    return Plan(widths, even_chunks(widths, splits), skipped, splits)
+    return Plan(widths, even_chunks(widths, splits), skipped, splits, at)
 
 
 def ordered_chunks(chunks: DataFrame) -> DataFrame:

@@ -80,6 +80,12 @@ def row_events(feed: DataFrame, database: str) -> DataFrame:
     return feed.where(F.col("op").isin(*OPS) & (F.col("schema_name") == database))
 
 
+def newest_position(feed: DataFrame, database: str) -> tuple[str, int, int] | None:
+    """The position of the newest row operation in a feed, or None: what a load may take as its hand-off."""
+    newest = row_events(feed, database).agg(F.max("pos").alias("pos")).first().pos
+    return tuple(newest) if newest else None
+
+
 def _image(feed: DataFrame, side: str, row: T.StructType) -> Column:
     """The row image with exactly the catalog's columns: missing ones NULL, others dropped."""
     present = set(feed.schema[side].dataType.fieldNames())

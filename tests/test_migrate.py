@@ -1,13 +1,18 @@
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import DataFrameReader
 from pyspark.sql import functions as F
 
-from tenantferry import KeyedTarget, TableSpec, isolation_report, migrate, plan, verdict, verify
+from feeds import ROW, SPECS, applied, content, frame, random_events
+from tenantferry import KeyedTarget, TableSpec, isolation_report, migrate, plan, replicate, verdict, verify
 from tenantferry.operators import ledger as led
 from tenantferry.plans.migrate import migrate_jdbc
 from tenantferry.plans.planning import Plan
 from tenantferry.plans.verification import ParityError, require_ok
+from tenantferry.operators.keyed_target import BEFORE_ALL
 from tenantferry.session import metadata_rows
+from tenantferry.sources.feed import LAST_ROW, file_feed, newest_position
 
 
 @pytest.fixture(scope="module")
@@ -113,6 +118,71 @@ def test_jdbc_source(spark, source, specs, target, tmp_path, monkeypatch):
     assert same(source, target)
 
 
+# -- hand-off ---
+
+def test_position_captured_by_the_plan_completes_the_load(spark, tmp_path):
+    """Changes before the capture are in the source, those after it come while chunks are planned, loaded and loaded again."""
+    events = random_events(240, keys=60)
+    cuts = [events[:120], events[120:160], events[160:200], events[200:]]
+    feed, ledger = str(tmp_path / "feed"), str(tmp_path / "ledger")
+
+    def happen(part):
+        frame(spark, part).coalesce(1).write.mode("append").parquet(feed)
+
+    def source(upto):
+        """What the tables hold after some of the parts."""
+        rows = applied([e for part in cuts[:upto] for e in part])
+        return {n: spark.createDataFrame([r for (t, _), r in rows.items() if t == n], ROW) for n in SPECS}
+
+    target = KeyedTarget(spark, str(tmp_path / "target"), SPECS, buckets=4)
+    assert target.handoff() is None
+    happen(cuts[0])
+    order = []
+
+    def capture():
+        order.append(newest_position(spark.read.parquet(feed), "src"))
+        happen(cuts[1])  # right after the capture, before the statistics
+        return order[0]
+
+    made = plan(source(2), SPECS.values(), "src", "account_id", chunk_size=5, capture=capture)
+    made.write(str(tmp_path / "plan"))
+    made = Plan.read(spark, str(tmp_path / "plan"))
+    assert made.handoff == order[0] == tuple(events[119][3]) and len(order) == 1
+    happen(cuts[2])
+    migrate(replace(made, chunks=made.chunks.where("chunk_no % 2 = 0")), source(2), target, ledger)
+    assert target.handoff() == order[0]
+    migrate(made, source(3), target, ledger)  # resumed when the source has moved on
+    happen(cuts[3])
+    assert target.handoff() == order[0]
+    live = file_feed(spark, feed, ROW)
+    replicate(live, target, "src", str(tmp_path / "checkpoint"), start=target.handoff()).awaitTermination()
+    assert content(target) == applied(events)
+
+
+def test_handoff_is_published_with_the_rows(spark, source, specs, target, tmp_path, monkeypatch):
+    p = make_plan(source, specs, capture=lambda: ("b.000007", 11))
+    assert p.handoff == ("b.000007", 11, LAST_ROW)
+    with monkeypatch.context() as m:
+        m.setattr(target, "_publish", lambda *a: (_ for _ in ()).throw(RuntimeError("killed")))
+        with pytest.raises(RuntimeError):
+            migrate(p, source, target, str(tmp_path / "ledger"))
+    assert target.handoff() is None
+    migrate(p, source, target, str(tmp_path / "ledger"))
+    assert target.handoff() == p.handoff
+    target.load({}, ("b.000009", 1))
+    assert target.handoff() == p.handoff  # the earliest counts
+    target.load({})
+    assert target.handoff() == BEFORE_ALL  # unknown: the whole feed is needed
+
+
+def test_a_plan_written_over_another_leaves_nothing_of_it(spark, source, specs, tmp_path):
+    make_plan(source, specs, capture=lambda: ("b.000007", 11), even=True).write(str(tmp_path / "plan"))
+    make_plan(source, specs).write(str(tmp_path / "plan"))
+    again = Plan.read(spark, str(tmp_path / "plan"))
+    assert again.handoff is None and again.splits is None
+    assert newest_position(frame(spark, []), "src") is None
+
+
 # -- verification -----------------------------------------------------------------------------------
 
 def test_verify_finds_each_kind_of_difference(spark, source, specs):
