@@ -2,12 +2,13 @@
 
 A slice spans ``max - min + 1`` keys of which ``n`` exist. Chunks are equally wide key ranges
 that hold about ``chunk_size`` rows if the density is even. Keys are 64-bit; the width of a slice
-may need one bit more, and such ``wide`` slices use decimals.
+may need one bit more, and such ``wide`` slices use decimals. So do all slices of a plan that has unsigned
+keys: its ``kind`` of key is then a decimal of 20 digits from end to end.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 INT64_MAX = 2**63 - 1
@@ -36,22 +37,24 @@ def chunk_count(min_pk: Column, max_pk: Column, step: Column) -> Column:
     return (full + F.lit(1)).cast(KEY)
 
 
-def nth_start(min_pk: Column, step: Column, i: Column, wide: Column) -> Column:
-    narrow_start = min_pk + i * step
-    wide_start = (min_pk.cast(WIDE) + i.cast(WIDE) * step.cast(WIDE)).cast(KEY)
-    return F.when(wide, wide_start).otherwise(narrow_start)
+def key_kind(df: DataFrame, column: str = "min_pk") -> str:
+    """The type of a plan's keys: ``KEY``, or ``WIDE`` if any of its tables has unsigned keys."""
+    return KEY if df.schema[column].dataType.simpleString() == KEY else WIDE
 
 
-def end_of(start: Column, max_pk: Column, step: Column, wide: Column) -> Column:
+def nth_start(min_pk: Column, step: Column, i: Column, wide: Column, kind: str = KEY) -> Column:
+    wide_start = (min_pk.cast(WIDE) + i.cast(WIDE) * step.cast(WIDE)).cast(kind)
+    return wide_start if kind == WIDE else F.when(wide, wide_start).otherwise(min_pk + i * step)
+
+
+def end_of(start: Column, max_pk: Column, step: Column, wide: Column, kind: str = KEY) -> Column:
     """Last key of the chunk, clipped to the slice."""
-    narrow_end = start + F.least(step - F.lit(1), max_pk - start)
-    wide_end = F.least(start.cast(WIDE) + step.cast(WIDE) - F.lit(1), max_pk.cast(WIDE)).cast(KEY)
-    return F.when(wide, wide_end).otherwise(narrow_end)
+    wide_end = F.least(start.cast(WIDE) + step.cast(WIDE) - F.lit(1), max_pk.cast(WIDE)).cast(kind)
+    return wide_end if kind == WIDE else F.when(wide, wide_end).otherwise(start + F.least(step - F.lit(1), max_pk - start))
 
 
-def start_of(pk: Column, min_pk: Column, step: Column, wide: Column) -> Column:
+def start_of(pk: Column, min_pk: Column, step: Column, wide: Column, kind: str = KEY) -> Column:
     """First key of the chunk a row belongs to; arithmetic, so no range join is needed."""
-    narrow_start = pk - F.pmod(pk - min_pk, step)
     offset = pk.cast(WIDE) - min_pk.cast(WIDE)
-    wide_start = (pk.cast(WIDE) - F.pmod(offset, step.cast(WIDE))).cast(KEY)
-    return F.when(wide, wide_start).otherwise(narrow_start)
+    wide_start = (pk.cast(WIDE) - F.pmod(offset, step.cast(WIDE))).cast(kind)
+    return wide_start if kind == WIDE else F.when(wide, wide_start).otherwise(pk - F.pmod(pk - min_pk, step))

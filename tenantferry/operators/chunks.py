@@ -22,7 +22,7 @@ def explode_chunks(widths: DataFrame, block: int = BLOCK, keep: Sequence[str] =
     Done in two steps so that one huge slice neither builds one huge array nor stays in one task:
     first blocks of chunk numbers, spread over the cluster, then the numbers of each block.
     """
-    spark = widths.sparkSession
+    spark, kind = widths.sparkSession, chunking.key_kind(widths)
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     blocks = widths.withColumn(
         "block_no", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("chunk_count") - 1) / block)))
@@ -31,9 +31,9 @@ def explode_chunks(widths: DataFrame, block: int = BLOCK, keep: Sequence[str] =
     last = F.least(F.col("chunk_count"), first + F.lit(block)) - 1
     numbered = blocks.withColumn("i", F.explode(F.sequence(first, last)))
     started = numbered.withColumn(
-        "start_pk", chunking.nth_start(F.col("min_pk"), F.col("step"), F.col("i"), F.col("wide"))
+        "start_pk", chunking.nth_start(F.col("min_pk"), F.col("step"), F.col("i"), F.col("wide"), kind)
     )
-    end = chunking.end_of(F.col("start_pk"), F.col("max_pk"), F.col("step"), F.col("wide"))
+    end = chunking.end_of(F.col("start_pk"), F.col("max_pk"), F.col("step"), F.col("wide"), kind)
     return started.select(
         "tenant", "table_name", "pk_col", F.col("i").alias("chunk_no"), "start_pk", end.alias("end_pk"), *keep
     )
@@ -53,7 +53,7 @@ def assign_chunks(
     )
     pk = spec.chunk_key
     joined = df.join(mine, F.col(spec.tenant_col) == F.col("tenant")).where(pk.between(F.col("min_pk"), F.col("max_pk")))
-    start = chunking.start_of(pk, F.col("min_pk"), F.col("step"), F.col("wide"))
+    start = chunking.start_of(pk, F.col("min_pk"), F.col("step"), F.col("wide"), chunking.key_kind(widths))
     rows = joined.withColumn("start_pk", start).drop("min_pk", "max_pk", "step", "wide")
     if splits is not None:
         of_table = splits.where(F.col("table_name") == spec.name)
@@ -70,7 +70,7 @@ def split_rows(rows: DataFrame, spec: TableSpec, level: DataFrame) -> DataFrame:
     at = [F.col(f"__{c}") for c in ("min_pk", "max_pk", "step", "wide")]
     parts = level.select("tenant", F.col("parent").alias("start_pk"), *(F.col(c).alias(f"__{c}") for c in ("min_pk", "max_pk", "step", "wide")))
     pk = spec.chunk_key
-    part = F.when(pk.between(at[0], at[1]), chunking.start_of(pk, at[0], at[2], at[3]))
+    part = F.when(pk.between(at[0], at[1]), chunking.start_of(pk, at[0], at[2], at[3], chunking.key_kind(level)))
     joined = rows.join(parts, ["tenant", "start_pk"], "left")
     placed = joined.withColumn("start_pk", F.when(at[0].isNull(), F.col("start_pk")).otherwise(part))
     return placed.where(F.col("start_pk").isNotNull()).drop("__min_pk", "__max_pk", "__step", "__wide")
@@ -83,7 +83,7 @@ def even_splits(df: DataFrame, spec: TableSpec, widths: DataFrame, chunk_size: i
     holds, by its own density. Each level is one grouped pass over the rows of the chunks that are still too large, and
     a chunk cut has at least two parts with rows, so it ends. Rows that share one key stay together.
     """
-    pk = spec.chunk_key
+    pk = spec.chunk_key.cast(chunking.key_kind(widths))
     rows = assign_chunks(df.select(*dict.fromkeys([spec.tenant_col, *spec.pk])), spec, widths)
     found, level = None, 0
     while True:

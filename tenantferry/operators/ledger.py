@@ -6,16 +6,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tenantferry.files import exists
+from tenantferry.functions import chunking
 from tenantferry.session import metadata_rows
 
 KEY = ["tenant", "table_name", "start_pk", "end_pk"]
-SCHEMA = "tenant string, table_name string, start_pk bigint, end_pk bigint, n_rows bigint"
+SCHEMA = "tenant string, table_name string, start_pk {0}, end_pk {0}, n_rows bigint"
 
 
-def read_ledger(spark: SparkSession, path: str) -> DataFrame:
+def read_ledger(spark: SparkSession, path: str, kind: str = chunking.KEY) -> DataFrame:
+    """The ledger with keys of the plan's ``kind``; entries that this kind can't hold are of other plans and left out.
+
+    Runs before and after a table got unsigned keys wrote keys of two types, so all are read as the wider one.
+    """
     if not exists(spark, path):
-        return metadata_rows(spark, [], SCHEMA)
-    return spark.read.schema(SCHEMA).parquet(path)
+        return metadata_rows(spark, [], SCHEMA.format(kind))
+    every = spark.read.schema(SCHEMA.format(chunking.WIDE)).parquet(path)
+    if kind == chunking.WIDE:
+        return every
+    keys = {c: F.col(c).try_cast(kind) for c in ("start_pk", "end_pk")}
+    return every.withColumns(keys).where("start_pk is not null and end_pk is not null")
 
 
 def record(done: DataFrame, path: str) -> None:

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tenantferry.functions.chunking import key_kind
 from tenantferry.operators import ledger as led
 from tenantferry.operators.chunks import assign_chunks, chunk_counts
 from tenantferry.operators.keyed_target import BEFORE_ALL, KeyedTarget
@@ -43,14 +44,14 @@ def pending_ranges(pending: DataFrame, most: int = RANGES) -> dict[str, list[tup
     cells = pending.join(sized, "table_name").withColumn("cell", F.explode(F.sequence(cell("start_pk"), cell("end_pk"))))
     first = F.col("lo") + F.col("cell") * F.col("width")
     found = cells.groupBy("table_name", "cell").agg(
-        F.min(F.greatest(start, first)).cast("bigint").alias("a"), F.max(F.least(end, first + F.col("width") - 1)).cast("bigint").alias("b"))
+        F.min(F.greatest(start, first)).alias("a"), F.max(F.least(end, first + F.col("width") - 1)).alias("b"))
     out: dict[str, list[tuple[int, int]]] = {}
     for r in found.orderBy("table_name", "a").collect():
-        ranges = out.setdefault(r.table_name, [])
-        if ranges and ranges[-1][1] >= r.a - 1:
-            ranges[-1] = (ranges[-1][0], max(ranges[-1][1], r.b))
+        ranges, a, b = out.setdefault(r.table_name, []), int(r.a), int(r.b)
+        if ranges and ranges[-1][1] >= a - 1:
+            ranges[-1] = (ranges[-1][0], max(ranges[-1][1], b))
         else:
-            ranges.append((r.a, r.b))
+            ranges.append((a, b))
     return out
 
 
@@ -66,7 +67,7 @@ def pending_tenants(pending: DataFrame, most: int = TENANTS) -> dict[str, list[s
 def within(df: DataFrame, spec, ranges: list[tuple[int, int]], tenants: list[str] | None = None) -> DataFrame:
     """Rows in the ranges of the pending chunks: a filter in the scan, by which sources skip data."""
     if not spec.hashed:  # a hash is no column that a source could skip by
-        df = df.where(reduce(Column.__or__, (F.col(spec.pk[0]).between(a, b) for a, b in ranges)))
+        df = df.where(reduce(Column.__or__, (F.col(spec.pk[0]).between(spec.key_bound(a), spec.key_bound(b)) for a, b in ranges)))
     # a plan holds tenants as text
     if tenants is not None and df.schema[spec.tenant_col].dataType == T.StringType():
         df = df.where(F.col(spec.tenant_col).isin(tenants))
@@ -86,7 +87,7 @@ def migrate(
     recorded replaces itself.
     """
     spark = target.spark
-    todo = materialise(led.pending(plan.chunks, led.read_ledger(spark, ledger_path)), "pending")
+    todo = materialise(led.pending(plan.chunks, led.read_ledger(spark, ledger_path, key_kind(plan.chunks, "start_pk"))), "pending")
     # if every chunk of the planned slices is to be loaded, rows need no look at the list
     whole = plan.splits is None and todo.count() == (plan.tables.agg(F.sum("chunk_count")).first()[0] or 0)
     ranges = pending_ranges(todo)
@@ -135,7 +136,7 @@ def migrate_jdbc(
     job, so size the cluster, or ``wave``, to what the database stands.
     """
     spark, failed = target.spark, 0
-    todo = materialise(led.pending(plan.chunks, led.read_ledger(spark, ledger_path)), "pending")
+    todo = materialise(led.pending(plan.chunks, led.read_ledger(spark, ledger_path, key_kind(plan.chunks, "start_pk"))), "pending")
     names = sorted(r[0] for r in todo.select("table_name").distinct().collect())
     for name in names:
         chunks, staged = todo.where(F.col("table_name") == name), scratch(spark, f"staged-{name}")

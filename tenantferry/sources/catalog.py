@@ -14,10 +14,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tenantferry.session import metadata_rows
-from tenantferry.specs import TableSpec
+from tenantferry.specs import UNSIGNED, TableSpec
 
 # fixed values: key types that can be cut into ranges
-INTEGER_TYPES = ("tinyint", "smallint", "mediumint", "int", "bigint")
+INTEGER_TYPES = ("tinyint", "smallint", "mediumint", "int", "bigint", "bigint unsigned")
 
 TABLES = "table_schema string, table_name string, table_type string"
 COLUMNS = "table_schema string, table_name string, column_name string, data_type string, ordinal_position int"
@@ -32,6 +32,8 @@ class Catalog:
 
 
 def _type_name(kind: T.DataType) -> str:
+    if kind == UNSIGNED:
+        return "bigint unsigned"
     return "varchar" if isinstance(kind, T.StringType) else kind.simpleString()
 
 

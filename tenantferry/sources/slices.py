@@ -40,7 +40,7 @@ def tenant_frame(spark: SparkSession, tenants) -> DataFrame:
 
 
 def key_range(df: DataFrame, spec: TableSpec, start: int, end: int) -> DataFrame:
-    return df.where(F.col(spec.pk[0]).between(start, end))
+    return df.where(F.col(spec.pk[0]).between(spec.key_bound(start), spec.key_bound(end)))
 
 
 def backslash_escapes(url: str) -> bool:

@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: What readers make of an unsigned 64-bit column.
+UNSIGNED = T.DecimalType(20, 0)
+
 
 @dataclass(frozen=True)
 class TableSpec:
@@ -41,11 +45,20 @@ class TableSpec:
     def has_tenant(self) -> bool:
         return self.tenant_col in self.columns
 
+    @property
+    def unsigned(self) -> bool:
+        """Whether the key is one unsigned 64-bit column, which Spark holds as a decimal."""
+        return not self.hashed and len(self.pk) == 1 and self.schema[self.pk[0]].dataType == UNSIGNED
+
+    def key_bound(self, key: int) -> int | Decimal:
+        """A key as a literal of the key column's type, so that scans can skip by it."""
+        return Decimal(int(key)) if self.unsigned else int(key)
+
     @property
     def chunk_key(self) -> Column:
         """The whole number by which rows fall into chunks: the key's one column, or the hash of all."""
         if not self.hashed:
-            return F.col(self.pk[0]).cast("bigint")
+            return F.col(self.pk[0]).cast(UNSIGNED.simpleString() if self.unsigned else "bigint")
         texts = [F.col(c).cast("string") for c in self.pk]
         sized = [F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("~")) for t in texts]
         # ten hexadecimal digits: the same number wherever it is computed

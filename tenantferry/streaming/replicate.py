@@ -16,6 +16,11 @@ from tenantferry.sources.feed import LAST_ROW, position, row_events, tenant_chan
 from tenantferry.sources.slices import tenant_frame
 
 
+def after_position(changes: DataFrame, at: tuple) -> DataFrame:
+    # the log file by itself is a filter that a scan can skip data by
+    return changes.where((F.col("_pos.log_file") >= at[0]) & (F.col("_pos") > position(*at)))
+
+
 def after_start(changes: DataFrame, tenant_col: str, start: tuple | DataFrame | None) -> DataFrame:
     """Changes past the start position: one for all, or per tenant ``tenant, log_file, log_pos``.
 
@@ -24,8 +29,7 @@ def after_start(changes: DataFrame, tenant_col: str, start: tuple | DataFrame |
     if start is None:
         return changes
     if isinstance(start, tuple):
-        # the log file by itself is a filter that a scan can skip data by
-        return changes.where((F.col("_pos.log_file") >= start[0]) & (F.col("_pos") > position(*start)))
+        return after_position(changes, start)
     at = start.select(
         F.col("tenant").alias(tenant_col),
         F.struct(
@@ -100,7 +104,9 @@ def replicate(
     return writer.start()
 
 
-def lag(feed: DataFrame, target: KeyedTarget, database: str, checkpoint: str | None = None, **options) -> DataFrame:
+def lag(
+    feed: DataFrame, target: KeyedTarget, database: str, checkpoint: str | None = None, recent: bool = False, **options,
+) -> DataFrame:
     """Per tenant the newest position in the feed, the newest applied one, and how many changes are pending.
 
     A tenant can be cut over when nothing is pending: no change lies past the newest applied one, and
@@ -108,6 +114,10 @@ def lag(feed: DataFrame, target: KeyedTarget, database: str, checkpoint: str | N
     options (``tenants``, ``start`` and so on) must be those of ``replicate``. ``checkpoint`` tells whose
     changes count as applied; without it, those of the writer that applied most for a tenant. A tenant
     whose changes several writers share is then reported as pending, never as ready too soon.
+
+    All that reads the feed's whole history. ``recent`` reads only what lies past the newest position the writer has
+    applied, by a filter in the scan: right for a feed that is written in log order, where all before that
+    position has been applied. It does not see files that come late, so ask once without it before the cut-over.
     """
     tenant_col = next(iter(target.specs.values())).tenant_col
     changes = wanted_changes(feed, target, database, **options).select(
@@ -117,7 +127,12 @@ def lag(feed: DataFrame, target: KeyedTarget, database: str, checkpoint: str | N
     if checkpoint is not None:
         written = written.where(F.col("writer") == writer_of(target.spark, checkpoint))
     progress = written.groupBy("tenant").agg(F.max("applied").alias("applied"), F.max("n_changes").alias("n_changes"))
-    return lag_of(changes, progress)
+    if not recent:
+        return lag_of(changes, progress)
+    if checkpoint is None and len(target.state()["writers"]) > 1:
+        raise ValueError("several writers have applied changes: name the checkpoint")
+    newest = progress.agg(F.max("applied")).first()[0]
+    return recent_lag_of(changes if newest is None else after_position(changes, tuple(newest)), progress)
 
 
 def lag_of(changes: DataFrame, progress: DataFrame) -> DataFrame:
@@ -134,6 +149,14 @@ def lag_of(changes: DataFrame, progress: DataFrame) -> DataFrame:
     )
 
 
+def recent_lag_of(newer: DataFrame, progress: DataFrame) -> DataFrame:
+    """The same from the changes past the newest applied position only; tenants without any are ready."""
+    found = newer.groupBy("tenant").agg(F.max("_pos").alias("newest"), F.count("*").alias("n"))
+    both = found.join(progress.select("tenant", F.col("applied").alias("applied_pos")), "tenant", "full_outer")
+    pending = F.coalesce("n", F.lit(0).cast("bigint"))
+    return both.select("tenant", F.coalesce("newest", "applied_pos").alias("feed_pos"), "applied_pos", pending.alias("pending"), (pending == 0).alias("ready"))
+
+
 def duplicate_positions(feed: DataFrame, database: str) -> DataFrame:
     """Positions that occur more than once with different content: an error in the feed."""
     same = row_events(feed, database).select("pos", F.xxhash64("op", "table_name", "before", "after").alias("h"))

@@ -146,6 +146,29 @@ def test_lag_sees_what_comes_late(spark, site):
     assert not lag(frame(spark, events), site.target, "src").first().ready
 
 
+def test_recent_lag_reads_past_the_applied_position(spark, site):
+    events = random_events(400, seed=8)
+    for part in parts(events):
+        site.add(part)
+    static = spark.read.schema(frame(spark, []).schema).parquet(site.feed)
+    # nothing is applied yet: all is pending, by both ways
+    assert sorted(lag(static, site.target, "src", recent=True).collect()) == sorted(lag(static, site.target, "src").collect())
+    site.target.apply(changes_of(spark, events[:250]), "w", 0)
+    report = lag(static, site.target, "src", recent=True)
+    got = sorted(report.collect())
+    assert got == sorted(lag(static, site.target, "src").collect()) and sum(r.pending for r in got) == 150
+    # the scan skips by the position
+    mode = spark.sparkContext._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    pushed = [line for line in report._jdf.queryExecution().explainString(mode).splitlines() if "PushedFilters" in line and "schema_name" in line]
+    assert pushed and all("GreaterThanOrEqual(pos.log_file,b.000003)" in line for line in pushed)
+    site.target.apply(changes_of(spark, events[250:]), "w", 1)
+    done = lag(static, site.target, "src", recent=True).collect()
+    assert len(done) == 3 and all(r.ready and r.pending == 0 and r.feed_pos == r.applied_pos for r in done)
+    site.target.apply(changes_of(spark, events), "again", 0)
+    with pytest.raises(ValueError, match="several writers"):
+        lag(static, site.target, "src", recent=True)
+
+
 def test_the_writer_is_named_by_the_id_in_its_checkpoint(spark, site):
     site.add([event("I", 1, None, (1, "a", "x"))])
     site.run()

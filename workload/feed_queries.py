@@ -342,10 +342,10 @@ select tenant, feed.log_file || ':' || feed.log_pos || ':' || feed.row_idx as fe
  (select count(*) from c where c.tenant = t.tenant and (applied is null or c.pos > applied))::bigint as pending, feed = applied as ready from t"""
 
 
-def _lag(spark, sf, part):
+def _lag(spark, sf, part, **kw):
     target = _target(spark, sf, with_snapshot=False)
     target.apply(_split(_changes(spark, sf))[part], "batches", 0)
-    report = lag(w.feed(spark, sf), target, w.DB)
+    report = lag(w.feed(spark, sf), target, w.DB, **kw)
 
     def text(c):
         return F.concat(f"{c}.log_file", F.lit(":"), F.col(f"{c}.log_pos").cast("string"), F.lit(":"), F.col(f"{c}.row_idx").cast("string")).alias(c)
@@ -358,6 +358,11 @@ def _(spark, sf):
     return _lag(spark, sf, 0)
 
 
+@query("str10_lag_past_the_applied", LAG.format(w.changes_sql()))
+def _(spark, sf):
+    return _lag(spark, sf, 0, recent=True)
+
+
 LATE_LAG = """with c as (select account_id as tenant, struct_pack(log_file := log_file, log_pos := log_pos, row_idx := row_idx) as pos, log_file >= 'bin.000003' as late from {}),
 t as (select tenant, max(pos) as feed, max(case when late then pos end) as applied, count(*) - count(*) filter (late) as n_missing from c group by 1),
 p as (select *, greatest(n_missing, (select count(*) from c where c.tenant = t.tenant and (applied is null or c.pos > applied)))::bigint as pending from t)

@@ -5,6 +5,7 @@ from dataclasses import replace
 from pyspark.sql import functions as F
 
 from tenantferry import KeyedTarget, migrate, plan, verify
+from tenantferry.functions.chunking import key_kind
 from tenantferry.operators import ledger as led
 from tenantferry.operators.chunks import assign_chunks, chunk_counts, explode_chunks
 from tenantferry.operators.parity import compare_chunks
@@ -262,6 +263,60 @@ def _(spark, sf):
         "table_name", "tenant", F.col("n_done").alias("chunks"), F.col("tgt_count").alias("n_rows"), "ok")
 
 
+# -- unsigned 64-bit keys, on both sides of the largest signed one, beside a table of signed ones ------
+
+UNSIGNED_ID = "cast(cast(o_orderkey as {}) * 1000003 + 9223372036354775808 as decimal(20,0))"
+UNSIGNED_ROWS = (
+    f"(select 'postings' as table_name, concat('acc_', o_custkey % 5) as tenant, {UNSIGNED_ID.format('hugeint')}::hugeint as id from orders"
+    f" union all select 'leads', account_id, id::hugeint from {LEADS})"
+)
+UNSIGNED_STATS = (
+    f"(select *, greatest(1, ceil({SIZE // 10}::double / (total_rows::double / (max_pk - min_pk + 1)::double)))::hugeint as step from "
+    f"(select table_name, tenant, min(id) as min_pk, max(id) as max_pk, count(*) as total_rows from {UNSIGNED_ROWS} group by all))"
+)
+UNSIGNED_CHUNKS = (
+    f"(select tenant, table_name, start_pk, least(start_pk + step - 1, max_pk) as end_pk from (select *, min_pk + i * step as start_pk from "
+    f"(select *, unnest(range(0, ((max_pk - min_pk) // step + 1)::bigint)) as i from {UNSIGNED_STATS})))"
+)
+
+
+def _unsigned(spark, sf):
+    columns = UNSIGNED_ID.format("decimal(20,0)"), "concat('acc_', o_custkey % 5)", "o_orderstatus"
+    postings = w.given(spark, sf, "orders").select(*(F.expr(e).alias(c) for e, c in zip(columns, ("id", "account_id", "status"))))
+    leads, spec = _one(spark, sf, "leads")
+    frames = {"postings": postings, "leads": leads}
+    specs = {"postings": TableSpec.of(postings, "postings", ["id"], tenant_col=w.TENANT, database=w.DB), "leads": spec}
+    return frames, specs, plan(frames, specs.values(), w.DB, w.TENANT, chunk_size=SIZE // 10)
+
+
+@query("gen1_unsigned_chunks", f"select tenant, table_name, start_pk::varchar as start_pk, end_pk::varchar as end_pk from {UNSIGNED_CHUNKS}")
+def _(spark, sf):
+    chunks = _unsigned(spark, sf)[2].chunks
+    return chunks.select("tenant", "table_name", F.col("start_pk").cast("string").alias("start_pk"), F.col("end_pk").cast("string").alias("end_pk"))
+
+
+@query("agg3_unsigned_chunk_counts", f"select c.tenant, c.table_name, start_pk::varchar as start_pk, count(*)::bigint as n from {UNSIGNED_CHUNKS} c join {UNSIGNED_ROWS} r on r.tenant = c.tenant and r.table_name = c.table_name and id between start_pk and end_pk group by all")
+def _(spark, sf):
+    frames, specs, p = _unsigned(spark, sf)
+    counts = union_all(chunk_counts(frames[n], specs[n], p.tables) for n in frames)
+    return counts.withColumn("start_pk", F.col("start_pk").cast("string"))
+
+
+@query("e2e3_resume_of_unsigned_keys", f"""
+select c.table_name, c.tenant, count(distinct start_pk)::bigint as chunks, count(id)::bigint as n_rows, true as ok
+from {UNSIGNED_CHUNKS} c left join {UNSIGNED_ROWS} r on r.tenant = c.tenant and r.table_name = c.table_name and id between start_pk and end_pk group by 1, 2""")
+def _(spark, sf):
+    frames, specs, p = _unsigned(spark, sf)
+    root = scratch(spark, "target")
+    target = KeyedTarget(spark, root, specs, buckets=8)
+    migrate(planning.Plan(p.tables, p.chunks.where("chunk_no % 3 = 0"), p.skipped), frames, target, f"{root}/ledger")
+    migrate(p, frames, target, f"{root}/ledger")
+    done = led.completed_counts(led.read_ledger(spark, f"{root}/ledger", key_kind(p.chunks, "start_pk")))
+    report = verify(frames, target.tables(), specs.values())
+    return report.join(done, ["tenant", "table_name"]).select(
+        "table_name", "tenant", F.col("n_done").alias("chunks"), F.col("tgt_count").alias("n_rows"), "ok")
+
+
 # -- reading the pending ranges only ------------------------------------------------------------------
 
 ENDS = f"(select *, start_pk = min(start_pk) over (partition by table_name) or end_pk = max(end_pk) over (partition by table_name) as pending from {w.chunks_sql(['activities', 'leads'], 50)})"
