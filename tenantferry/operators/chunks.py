@@ -52,7 +52,7 @@ def assign_chunks(
         F.col("tenant"), "min_pk", "max_pk", "step", "wide"
     )
     pk = spec.chunk_key
-    joined = df.join(mine, F.col(spec.tenant_col) == F.col("tenant")).where(pk.between(F.col("min_pk"), F.col("max_pk")))
+    joined = df.join(mine, spec.tenant == F.col("tenant")).where(pk.between(F.col("min_pk"), F.col("max_pk")))
     start = chunking.start_of(pk, F.col("min_pk"), F.col("step"), F.col("wide"), chunking.key_kind(widths))
     rows = joined.withColumn("start_pk", start).drop("min_pk", "max_pk", "step", "wide")
     if splits is not None:

@@ -192,7 +192,8 @@ class KeyedTarget:
 
         with ThreadPoolExecutor(parallelism) as pool:
             done = dict(zip(self.specs, pool.map(merge, self.specs.values())))
-        tenant = F.col(tenant_col or next(iter(self.specs.values())).tenant_col).cast("string")
+        spec = next(iter(self.specs.values()))
+        tenant = spec.tenant_of(F.col(tenant_col or spec.tenant_col).cast("string"))
         counted = changes.groupBy(tenant.alias("tenant")).agg(
             F.max("_pos").alias("applied"), F.count("*").alias("n_changes")
         )

@@ -16,7 +16,7 @@ def slice_metrics(df: DataFrame, spec: TableSpec, mode: str = "compat") -> DataF
     """Count and checksum of every tenant's slice in one scan and one small shuffle."""
     return (
         df.where(F.col(spec.tenant_col).isNotNull())
-        .groupBy(F.col(spec.tenant_col).alias("tenant"))
+        .groupBy(spec.tenant.alias("tenant"))
         .agg(F.count("*").alias("n"), CHECKSUMS[mode](spec).alias("checksum"))
         .select("tenant", F.lit(spec.name).alias("table_name"), "n", "checksum")
     )
@@ -76,7 +76,7 @@ def verdict(report: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 def foreign_rows(df: DataFrame, spec: TableSpec, tenant) -> DataFrame:
     """Rows of other tenants on a target that should hold one tenant only."""
     return (
-        df.where(~F.col(spec.tenant_col).eqNullSafe(F.lit(tenant)))
+        df.where(~spec.tenant.eqNullSafe(spec.tenant_of(F.lit(tenant))))
         .groupBy(F.col(spec.tenant_col).alias("tenant"))
         .agg(F.count("*").alias("n"))
         .select(F.lit(spec.name).alias("table_name"), "tenant", "n")

@@ -21,7 +21,7 @@ def slice_stats(df: DataFrame, spec: TableSpec, *extra: Column) -> DataFrame:
     pk = spec.chunk_key
     return (
         df.where(F.col(spec.tenant_col).isNotNull())
-        .groupBy(F.col(spec.tenant_col).alias("tenant"))
+        .groupBy(spec.tenant.alias("tenant"))
         .agg(
             F.min(pk).alias("min_pk"), F.max(pk).alias("max_pk"),
             F.count("*").alias("total_rows"), *extra,
@@ -32,7 +32,7 @@ def slice_stats(df: DataFrame, spec: TableSpec, *extra: Column) -> DataFrame:
 
 def slice_counts(df: DataFrame, spec: TableSpec) -> DataFrame:
     return (
-        df.groupBy(F.col(spec.tenant_col).alias("tenant"))
+        df.groupBy(spec.tenant.alias("tenant"))
         .agg(F.count("*").alias("n"))
         .select(F.lit(spec.name).alias("table_name"), "*")
     )

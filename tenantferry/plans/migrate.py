@@ -70,7 +70,7 @@ def within(df: DataFrame, spec, ranges: list[tuple[int, int]], tenants: list[str
         df = df.where(reduce(Column.__or__, (F.col(spec.pk[0]).between(spec.key_bound(a), spec.key_bound(b)) for a, b in ranges)))
     # a plan holds tenants as text
     if tenants is not None and df.schema[spec.tenant_col].dataType == T.StringType():
-        df = df.where(F.col(spec.tenant_col).isin(tenants))
+        df = df.where(spec.is_one_of(F.col(spec.tenant_col), tenants))
     return df
 
 

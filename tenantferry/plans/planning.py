@@ -15,7 +15,7 @@ from tenantferry.session import materialise, metadata_rows
 from tenantferry.sources.catalog import catalog_of, key_check, primary_keys, tenant_tables
 from tenantferry.sources.feed import LAST_ROW
 from tenantferry.sources.slices import of_tenants, tenant_frame
-from tenantferry.specs import TableSpec
+from tenantferry.specs import TableSpec, any_case
 
 DEFAULT_CHUNK_SIZE = 5000
 PARTS = ("tables", "chunks", "skipped", "splits")
@@ -106,6 +106,7 @@ def plan(
     at = capture() if capture else None
     at = None if at is None else (*at, LAST_ROW)[:3]
     specs = {s.name: s for s in specs}
+    one_case = any_case(specs.values())
     spark = next(iter(tables.values())).sparkSession
     catalog = catalog_of(spark, specs.values())
     found = tenant_tables(catalog, database, tenant_col, include, exclude)
@@ -123,7 +124,7 @@ def plan(
         stats = metadata_rows(spark, [], STATS)
     listed_tenants = tenants
     if tenants is not None:
-        tenants = tenant_frame(spark, tenants)
+        tenants = tenant_frame(spark, tenants, one_case)
         stats = stats.join(tenants, "tenant", "left_semi")
     widths = materialise(with_widths(stats, chunk_size), "widths")
 

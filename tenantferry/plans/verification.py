@@ -12,7 +12,7 @@ from tenantferry.operators import parity
 from tenantferry.operators.stats import union_all
 from tenantferry.plans.planning import grid
 from tenantferry.sources.slices import of_tenants, tenant_frame
-from tenantferry.specs import TableSpec
+from tenantferry.specs import TableSpec, any_case
 
 verdict = parity.verdict
 
@@ -39,7 +39,7 @@ def verify(
     report = parity.compare_metrics(*sides, mode)
     if tenants is None:
         return report
-    asked = grid(tenant_frame(report.sparkSession, tenants), [s.name for s in checked])
+    asked = grid(tenant_frame(report.sparkSession, tenants, any_case(checked)), [s.name for s in checked])
     zero = F.lit(0).cast("bigint")
     filled = asked.join(report, ["tenant", "table_name"], "left").select(
         "tenant", "table_name",

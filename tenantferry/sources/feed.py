@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tenantferry.specs import TableSpec, union_schema
+from tenantferry.sources.slices import tenant_frame
+from tenantferry.specs import TableSpec, any_case, union_schema
 
 OPS = ("I", "U", "D")
 POS = T.StructType([
@@ -107,7 +108,7 @@ def tenant_changes(
     """Changes of the wanted tenants: ``table_name, _op, _pos`` and the row's columns.
 
     Inserts and updates carry the image after the change, deletes the deleted row, and the
-    tenant is tested on that image by exact equality, before any deduplication. ``tenants`` is a
+    tenant is tested on that image by exact equality, or as ``any_case`` says, before any deduplication. ``tenants`` is a
     list, a DataFrame with a ``tenant`` column for long lists, or None for every tenant.
 
     An update that leaves the tenant is dropped and one that changes the key leaves the old key
@@ -120,7 +121,8 @@ def tenant_changes(
     tenant_cols = {s.tenant_col for s in specs.values()}
     if len(tenant_cols) != 1:
         raise ValueError("the tables of one feed must share the tenant column")
-    tenant_col = tenant_cols.pop()
+    tenant_col, one_case = tenant_cols.pop(), any_case(specs.values())
+    spec_of_all = next(iter(specs.values()))
     long_list = isinstance(tenants, DataFrame)
     if on_tenant_exit == "delete" and long_list and not tenant_in_key:
         raise ValueError("on_tenant_exit='delete' needs the tenants as a list")
@@ -128,7 +130,7 @@ def tenant_changes(
     def wanted(image: Column) -> Column:
         if tenants is None or long_list:
             return image[tenant_col].isNotNull()
-        return image[tenant_col].isNotNull() & image[tenant_col].isin(list(tenants))
+        return image[tenant_col].isNotNull() & spec_of_all.is_one_of(image[tenant_col], tenants)
 
     events = row_events(feed, database).where(F.col("table_name").isin(*specs)).select(
         "op", "table_name", "pos",
@@ -166,5 +168,6 @@ def tenant_changes(
         ).select("table_name", "c._op", "_pos", "c.row")
     flat = flat.select("table_name", "_op", "_pos", "row.*")
     if long_list:
-        flat = flat.join(tenants.select(F.col("tenant").alias(tenant_col)).distinct(), tenant_col, "left_semi")
+        listed = tenant_frame(feed.sparkSession, tenants, one_case).select(F.col("tenant").alias("_wanted"))
+        flat = flat.join(listed, spec_of_all.tenant == F.col("_wanted"), "left_semi")
     return flat.select("table_name", "_op", "_pos", *row.fieldNames())

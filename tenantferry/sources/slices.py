@@ -22,21 +22,27 @@ def is_tenant(column: Column, tenant, collation: str | None = None) -> Column:
 
 def tenant_slice(df: DataFrame, spec: TableSpec, tenant, collation: str | None = None) -> DataFrame:
     """All columns of one tenant's rows; the exact match is pushed down to the source."""
-    return df.where(is_tenant(F.col(spec.tenant_col), tenant, collation)).select(*spec.columns)
+    return df.where(is_tenant(spec.tenant, spec.tenant_of(F.lit(tenant)), collation)).select(*spec.columns)
 
 
 def of_tenants(df: DataFrame, spec: TableSpec, tenants) -> DataFrame:
     """Rows of listed tenants, filtered in the scan; anything but a list leaves the rows as they are."""
     if tenants is None or isinstance(tenants, DataFrame):
         return df
-    return df.where(F.col(spec.tenant_col).isin(list(tenants)))
+    return df.where(spec.is_one_of(F.col(spec.tenant_col), tenants))
 
 
-def tenant_frame(spark: SparkSession, tenants) -> DataFrame:
+def tenant_frame(spark: SparkSession, tenants, any_case: bool = False) -> DataFrame:
     """Distinct tenants, from a list or from a frame with a ``tenant`` column."""
-    if isinstance(tenants, DataFrame):
-        return tenants.select("tenant").distinct()
-    return metadata_rows(spark, [(t,) for t in dict.fromkeys(tenants)], "tenant string")
+    if not isinstance(tenants, DataFrame):
+        tenants = metadata_rows(spark, [(t,) for t in dict.fromkeys(tenants)], "tenant string")
+        return lower_tenants(tenants).distinct() if any_case else tenants
+    tenants = tenants.select("tenant")
+    return (lower_tenants(tenants) if any_case else tenants).distinct()
+
+
+def lower_tenants(df: DataFrame) -> DataFrame:
+    return df.withColumn("tenant", F.lower("tenant"))
 
 
 def key_range(df: DataFrame, spec: TableSpec, start: int, end: int) -> DataFrame:
@@ -62,12 +68,13 @@ def _quoted(value, url: str) -> str:
 
 
 def chunk_predicate(spec: TableSpec, tenant, start: int, end: int, url: str) -> str:
-    """The rows of a chunk. The tenant matches exactly, so that no row is read under two predicates."""
+    """The rows of a chunk. The tenant matches exactly, or in lower case, so that no row is read under two predicates."""
     column, value = _name(spec.tenant_col, url), _quoted(tenant, url)
-    same = f"{column} = {value}"
+    exact = f"LOWER({column})" if spec.any_case else column
+    same = f"{column if backslash_escapes(url) else exact} = {value}"
     if backslash_escapes(url) and isinstance(tenant, str):
         # the first lets an index find the rows, the second leaves those of other case or with blanks behind
-        same += " AND " + " = ".join(f"CAST(CONVERT({x} USING utf8mb4) AS BINARY)" for x in (column, value))
+        same += " AND " + " = ".join(f"CAST(CONVERT({x} USING utf8mb4) AS BINARY)" for x in (exact, value))
     return f"{same} AND {_name(spec.pk[0], url)} BETWEEN {int(start)} AND {int(end)}"
 
 

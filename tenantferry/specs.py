@@ -24,6 +24,9 @@ class TableSpec:
 
     ``hashed`` cuts the table by a hash of its whole key, so that tables with a composite or a text key
     have chunks too.
+
+    ``any_case`` makes tenants that differ in case one: plans, ledgers, reports and progress name it in lower case, while
+    rows keep what they hold. All tables of a plan or feed must agree in it. A source can't skip data by such a tenant.
     """
 
     name: str
@@ -36,6 +39,7 @@ class TableSpec:
     datetime_digits: int = 6
     json: tuple[str, ...] = ()
     hashed: bool = False
+    any_case: bool = False
 
     @property
     def columns(self) -> list[str]:
@@ -45,6 +49,17 @@ class TableSpec:
     def has_tenant(self) -> bool:
         return self.tenant_col in self.columns
 
+    def tenant_of(self, value: Column) -> Column:
+        """The tenant that a value of the tenant column names."""
+        return F.lower(value) if self.any_case else value
+
+    @property
+    def tenant(self) -> Column:
+        return self.tenant_of(F.col(self.tenant_col))
+
+    def is_one_of(self, value: Column, tenants: Iterable) -> Column:
+        return self.tenant_of(value).isin([self.tenant_of(F.lit(t)) for t in tenants])
+
     @property
     def unsigned(self) -> bool:
         """Whether the key is one unsigned 64-bit column, which Spark holds as a decimal."""
@@ -83,6 +98,14 @@ def duplicate_keys(df: DataFrame, spec: TableSpec) -> DataFrame:
     return df.groupBy(*spec.pk).agg(F.count("*").alias("n")).where("n > 1")
 
 
+def any_case(specs: Iterable[TableSpec]) -> bool:
+    """Whether the tables take tenants in any case; they must agree."""
+    found = {s.any_case for s in specs}
+    if len(found) > 1:
+        raise ValueError("the tables must agree on any_case")
+    return found == {True}
+
+
 def union_schema(specs: Iterable[TableSpec]) -> T.StructType:
     """Columns of all tables together, the row shape of a feed that carries several."""
     fields: dict[str, T.StructField] = {}

@@ -13,7 +13,8 @@ from tenantferry import files
 from tenantferry.operators.keyed_target import KeyedTarget
 from tenantferry.sources.coordinates import missing_positions
 from tenantferry.sources.feed import LAST_ROW, position, row_events, tenant_changes
-from tenantferry.sources.slices import tenant_frame
+from tenantferry.sources.slices import lower_tenants, tenant_frame
+from tenantferry.specs import any_case
 
 
 def after_position(changes: DataFrame, at: tuple) -> DataFrame:
@@ -21,7 +22,7 @@ def after_position(changes: DataFrame, at: tuple) -> DataFrame:
     return changes.where((F.col("_pos.log_file") >= at[0]) & (F.col("_pos") > position(*at)))
 
 
-def after_start(changes: DataFrame, tenant_col: str, start: tuple | DataFrame | None) -> DataFrame:
+def after_start(changes: DataFrame, tenant_col: str, start: tuple | DataFrame | None, one_case: bool = False) -> DataFrame:
     """Changes past the start position: one for all, or per tenant ``tenant, log_file, log_pos``.
 
     With a list, tenants that are not on it are not replicated.
@@ -30,15 +31,16 @@ def after_start(changes: DataFrame, tenant_col: str, start: tuple | DataFrame |
         return changes
     if isinstance(start, tuple):
         return after_position(changes, start)
+    tenant = F.lower if one_case else F.col
     at = start.select(
-        F.col("tenant").alias(tenant_col),
+        tenant("tenant").alias("_tenant"),
         F.struct(
             F.col("log_file"), F.col("log_pos").cast("bigint").alias("log_pos"),
             F.lit(LAST_ROW).alias("row_idx"),
         ).alias("_start"),
     )
     # the coordinate is the end of the last event taken in, so every row of that event is past it
-    return changes.join(at, tenant_col).where(F.col("_pos") > F.col("_start")).drop("_start").select(*changes.columns)
+    return changes.join(at, tenant(tenant_col) == F.col("_tenant")).where(F.col("_pos") > F.col("_start")).select(*changes.columns)
 
 
 def writer_of(spark: SparkSession, checkpoint: str) -> str:
@@ -60,7 +62,7 @@ def wanted_changes(
     changes = tenant_changes(
         feed, target.specs, database, tenants, on_tenant_exit, on_key_change, target.tenant_in_key
     )
-    return after_start(changes, tenant_col, start)
+    return after_start(changes, tenant_col, start, any_case(target.specs.values()))
 
 
 def replicate(
@@ -85,7 +87,9 @@ def replicate(
     """
     tenant_col = next(iter(target.specs.values())).tenant_col
     if isinstance(start, DataFrame) and tenants is not None:
-        missing = missing_positions(tenant_frame(target.spark, tenants), start).limit(10).collect()
+        one_case = any_case(target.specs.values())
+        known = lower_tenants(start) if one_case else start
+        missing = missing_positions(tenant_frame(target.spark, tenants, one_case), known).limit(10).collect()
         if missing:
             raise ValueError(f"no start position for tenants such as {[r.tenant for r in missing]}")
     changes = wanted_changes(feed, target, database, tenants, start, on_tenant_exit, on_key_change)
@@ -119,9 +123,9 @@ def lag(
     applied, by a filter in the scan: right for a feed that is written in log order, where all before that
     position has been applied. It does not see files that come late, so ask once without it before the cut-over.
     """
-    tenant_col = next(iter(target.specs.values())).tenant_col
+    spec = next(iter(target.specs.values()))
     changes = wanted_changes(feed, target, database, **options).select(
-        F.col(tenant_col).cast("string").alias("tenant"), "_pos"
+        spec.tenant_of(F.col(spec.tenant_col).cast("string")).alias("tenant"), "_pos"
     )
     written = target.progress_of_writers()
     if checkpoint is not None:

@@ -317,6 +317,32 @@ def _(spark, sf):
         "table_name", "tenant", F.col("n_done").alias("chunks"), F.col("tgt_count").alias("n_rows"), "ok")
 
 
+# -- tenants that differ in case only -----------------------------------------------------------------
+
+MIXED = "concat(case when c_custkey % 3 = 0 then 'ACC_' else 'acc_' end, c_custkey % 4)"
+MIXED_ROWS = f"(select c_custkey as id, lower({MIXED}) as tenant from customer)"
+MIXED_STATS = (
+    f"(select *, greatest(1, ceil({SIZE // 10}::double / (total_rows::double / (max_pk - min_pk + 1)::double)))::bigint as step from "
+    f"(select tenant, min(id) as min_pk, max(id) as max_pk, count(*) as total_rows from {MIXED_ROWS} group by 1))"
+)
+
+
+@query("e2e5_tenants_in_any_case", f"select 'clients' as table_name, tenant, ((max_pk - min_pk) // step + 1)::bigint as chunks, total_rows::bigint as n_rows, true as ok from {MIXED_STATS}")
+def _(spark, sf):
+    columns = "c_custkey", MIXED, "c_name"
+    df = w.given(spark, sf, "customer").select(*(F.expr(e).alias(c) for e, c in zip(columns, ("id", "account_id", "name"))))
+    spec = TableSpec.of(df, "clients", ["id"], tenant_col=w.TENANT, database=w.DB, any_case=True)
+    source, root = {"clients": df}, scratch(spark, "target")
+    p = plan(source, [spec], w.DB, w.TENANT, chunk_size=SIZE // 10)
+    target = KeyedTarget(spark, root, {"clients": spec}, buckets=8)
+    migrate(planning.Plan(p.tables, p.chunks.where("chunk_no % 2 = 0"), p.skipped), source, target, f"{root}/ledger")
+    migrate(p, source, target, f"{root}/ledger")
+    done = led.completed_counts(led.read_ledger(spark, f"{root}/ledger"))
+    report = verify(source, target.tables(), [spec], ["Acc_0", "acc_1", "ACC_2", "aCC_3"])
+    return report.join(done, ["tenant", "table_name"]).select(
+        "table_name", "tenant", F.col("n_done").alias("chunks"), F.col("tgt_count").alias("n_rows"), "ok")
+
+
 # -- reading the pending ranges only ------------------------------------------------------------------
 
 ENDS = f"(select *, start_pk = min(start_pk) over (partition by table_name) or end_pk = max(end_pk) over (partition by table_name) as pending from {w.chunks_sql(['activities', 'leads'], 50)})"
