@@ -10,7 +10,8 @@ from tenantferry.functions import chunking
 from tenantferry.session import metadata_rows
 
 KEY = ["tenant", "table_name", "start_pk", "end_pk"]
-SCHEMA = "tenant string, table_name string, start_pk {0}, end_pk {0}, n_rows bigint"
+ROW = "tenant string, table_name string, start_pk {0}, end_pk {0}, n_rows bigint"
+SCHEMA = ROW.format(chunking.KEY)
 
 
 def read_ledger(spark: SparkSession, path: str, kind: str = chunking.KEY) -> DataFrame:
@@ -19,8 +20,8 @@ def read_ledger(spark: SparkSession, path: str, kind: str = chunking.KEY) -> Dat
     Runs before and after a table got unsigned keys wrote keys of two types, so all are read as the wider one.
     """
     if not exists(spark, path):
-        return metadata_rows(spark, [], SCHEMA.format(kind))
-    every = spark.read.schema(SCHEMA.format(chunking.WIDE)).parquet(path)
+        return metadata_rows(spark, [], ROW.format(kind))
+    every = spark.read.schema(ROW.format(chunking.WIDE)).parquet(path)
     if kind == chunking.WIDE:
         return every
     keys = {c: F.col(c).try_cast(kind) for c in ("start_pk", "end_pk")}
