@@ -27,7 +27,8 @@ STATS = "table_name string, pk_col string, tenant string, min_pk bigint, max_pk
 class Plan:
     """``tables`` one row per tenant and table, ``chunks`` their ranges, ``skipped`` the rest.
 
-    Without a list of tenants ``skipped`` has a row for each table that cannot be cut, its tenant NULL.
+    Without a list of tenants ``skipped`` names every tenant of ``tables``, as with a list of them. If no table
+    has slices, no tenant is known: then it has a row for each table that cannot be cut, its tenant NULL.
     """
 
     tables: DataFrame
@@ -61,18 +62,16 @@ def grid(tenants: DataFrame, names: Iterable[str]) -> DataFrame:
     return tenants.select(F.col("tenant"), F.explode(listed).alias("table_name"))
 
 
-def skipped_tables(checked: DataFrame) -> DataFrame:
-    """Tables that no tenant's rows can be cut in, with the reason; they need no tenant to be known."""
-    return checked.where(~F.col("chunkable")).select(F.lit(None).cast("string").alias("tenant"), "table_name", "reason")
+def skipped_slices(checked: DataFrame, wanted: DataFrame, stats: DataFrame, known: bool = True) -> DataFrame:
+    """Slices of the wanted tenants left out, with the reason: the table's key, or no rows for the tenant.
 
-
-def skipped_slices(checked: DataFrame, wanted: DataFrame, stats: DataFrame) -> DataFrame:
-    """Slices of asked tenants left out, with the reason: the table's key, or no rows for the tenant."""
+    If it is not ``known`` whether there are any tenants, tables that cannot be cut are named without one, too.
+    """
     found = stats.select("tenant", "table_name", F.lit(True).alias("found"))
     return (
-        wanted.join(checked, "table_name")
+        checked.join(wanted, "table_name", "inner" if known else "left")
         .join(found, ["tenant", "table_name"], "left")
-        .where(~F.col("chunkable") | F.col("found").isNull())
+        .where(~F.col("chunkable") | (F.col("tenant").isNotNull() & F.col("found").isNull()))
         .select("tenant", "table_name", F.coalesce("reason", F.lit("no rows for customer")).alias("reason"))
     )
 
@@ -128,7 +127,8 @@ def plan(
         stats = stats.join(tenants, "tenant", "left_semi")
     widths = materialise(with_widths(stats, chunk_size), "widths")
 
-    skipped = skipped_tables(checked) if tenants is None else skipped_slices(checked, grid(tenants, names), widths)
+    wanted = grid(widths.select("tenant").distinct() if tenants is None else tenants, names)
+    skipped = skipped_slices(checked, wanted, widths, known=tenants is not None)
     if not (even and chunkable):
         return Plan(widths, explode_chunks(widths), skipped, handoff=at)
     splits = union_all(even_splits(of_tenants(tables[s.name], s, listed_tenants), s, widths, chunk_size) for s in chunkable)

@@ -154,6 +154,20 @@ def test_plan_of_a_tenant_without_rows(spark, seeded):
     assert reasons["leads"] == "no rows for customer" and reasons["email_preferences"].startswith("composite PK")
 
 
+def test_plan_of_all_tenants_says_what_each_is_left_out_of(spark, seeded):
+    frames, specs = seeded
+    frames = frames | {"leads": frames["leads"].where("account_id = 'acc_12345'")}
+    composite = "composite PK (account_id, email, preference_type)"
+    p = plan(frames, specs, "src", "account_id")
+    want = {("acc_12345", "email_preferences", composite), ("acc_99999", "email_preferences", composite), ("acc_99999", "leads", "no rows for customer")}
+    assert {tuple(r) for r in p.skipped.collect()} == want and p.skipped.count() == len(want)
+    documents = plan_json(p, "src", "account_id").where("tenant = 'acc_99999' and table_name = 'leads'").collect()
+    assert len(documents) == 1 and documents[0].plan.startswith('{"customer_id":"acc_99999",')
+    # no tenant is known
+    p = plan(frames, specs, "src", "account_id", include=["email_preferences"])
+    assert [tuple(r) for r in p.skipped.collect()] == [(None, "email_preferences", composite)]
+
+
 def test_plan_documents_are_paged(spark, seeded):
     frames, specs = seeded
     p = plan(frames, specs, "src", "account_id", include=["leads"])

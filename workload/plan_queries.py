@@ -159,8 +159,14 @@ def _(spark, sf):
 
 # -- plans ----------------------------------------------------------------------------------------
 
-# no tenants are asked for: a reason for each table that cannot be cut
+# every tenant with slices and every table left out for it
 SKIPS = (
+    f"(select asked as tenant, table_name, coalesce(r, 'no rows for customer') as reason from "
+    f"(select distinct tenant as asked from {STATS}), (select table_name, {REASON} as r from {CARRYING} left join {KEYS} using (table_name)) k "
+    f"where r is not null or not exists (select 1 from {STATS} s where s.tenant = asked and s.table_name = k.table_name))"
+)
+# a reason for each table that cannot be cut, whatever tenants there are
+UNCUT = (
     f"(select null::varchar as tenant, table_name, reason from "
     f"(select table_name, {REASON} as reason from {CARRYING} left join {KEYS} using (table_name)) where reason is not null)"
 )
@@ -179,7 +185,7 @@ def _(spark, sf):
     return planning.plan_totals(p)
 
 
-@query("prj8_reasons_of_unchunkable_tables", f"select table_name, reason, tenant is null as of_all_tenants from {SKIPS} where table_name in ('email_preferences', 'vendors', 'order_lines')")
+@query("prj8_reasons_of_unchunkable_tables", f"select table_name, reason, tenant is null as of_all_tenants from {UNCUT} where table_name in ('email_preferences', 'vendors', 'order_lines')")
 def _(spark, sf):
     # no table has slices, so no tenant is known
     frames, specs = w.tables(spark, sf, ["email_preferences", "vendors", "order_lines"])
@@ -386,7 +392,7 @@ select tenant, table_name, 0::bigint as page_no, {_HEAD} || ',"pk_col":"id","min
   || ',"total_rows":' || total_rows || ',"chunk_count":' || ((max_pk - min_pk) // step + 1) || ',"chunks":[' || list || ']}}' as plan
 from {STATS} join (select tenant, table_name, string_agg('{{"start":' || start_pk || ',"end":' || end_pk || '}}', ',' order by start_pk) as list
   from {CHUNKS} group by 1, 2) using (tenant, table_name)
-union all select tenant, table_name, 0, {_NO_TENANT} || ',"reason":"' || reason || '"}}' from {SKIPS}""")
+union all select tenant, table_name, 0, {_NO_TENANT} || ',"reason":"' || reason || '"}}' from {UNCUT}""")
 def _(spark, sf):
     _, _, p = _plan(spark, sf)
     path = scratch(spark, "plan")
@@ -396,27 +402,27 @@ def _(spark, sf):
 
 # -- names skipped and verified ---------------------------------------------------------------------
 
-@query("set2_skipped_and_discovered", f"select distinct table_name from {SKIPS} where reason like '%PK%' intersect select table_name from {CARRYING}")
+@query("set2_skipped_and_discovered", f"select distinct table_name from {UNCUT} where reason like '%PK%' intersect select table_name from {CARRYING}")
 def _(spark, sf):
     frames, specs, p = _plan(spark, sf)
     discovered = tenant_tables(catalog_of(spark, specs.values()), w.DB, w.TENANT)
     return p.skipped.where(F.contains("reason", F.lit("PK"))).select("table_name").intersect(discovered)
 
 
-@query("set3_discovered_minus_skipped", f"select table_name from {CARRYING} where table_name not in (select table_name from {SKIPS})")
+@query("set3_discovered_minus_skipped", f"select table_name from {CARRYING} where table_name not in (select table_name from {UNCUT})")
 def _(spark, sf):
     _, specs, p = _plan(spark, sf)
     discovered = tenant_tables(catalog_of(spark, specs.values()), w.DB, w.TENANT)
     return discovered.exceptAll(p.skipped.select("table_name").distinct())
 
 
-@query("set4_skipped_names", f"select distinct table_name from {SKIPS}")
+@query("set4_skipped_names", f"select distinct table_name from {UNCUT}")
 def _(spark, sf):
     _, _, p = _plan(spark, sf)
     return p.skipped.select("table_name").distinct()
 
 
-@query("ord5_skipped_names_sorted", f"select tenant, string_agg(distinct table_name, ', ' order by table_name) as skipped from {SKIPS} group by tenant")
+@query("ord5_skipped_names_sorted", f"select tenant, string_agg(distinct table_name, ', ' order by table_name) as skipped from {UNCUT} group by tenant")
 def _(spark, sf):
     _, _, p = _plan(spark, sf)
     # at most one name per table
@@ -424,11 +430,11 @@ def _(spark, sf):
     return p.skipped.groupBy("tenant").agg(names.alias("skipped"))
 
 
-@query("jn10_tables_to_verify", f"select tenant, table_name, total_rows from {STATS} where table_name not in (select table_name from {SKIPS})")
+@query("jn10_tables_to_verify", f"select tenant, table_name, total_rows from {STATS} where table_name not in (select table_name from {UNCUT})")
 def _(spark, sf):
     _, _, p = _plan(spark, sf)
-    gone = p.skipped.select("table_name").distinct()
-    return p.tables.select("tenant", "table_name", "total_rows").join(gone, "table_name", "left_anti")
+    gone = p.skipped.select("tenant", "table_name")
+    return p.tables.select("tenant", "table_name", "total_rows").join(gone, ["tenant", "table_name"], "left_anti")
 
 
 # -- ledger, bulk load, resume ----------------------------------------------------------------------
