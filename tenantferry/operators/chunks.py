@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tenantferry.functions import chunking
@@ -39,6 +39,40 @@ def explode_chunks(widths: DataFrame, block: int = BLOCK, keep: Sequence[str] =
     )
 
 
+def _slices(spec: TableSpec, widths: DataFrame) -> tuple[DataFrame, str]:
+    """The table's slices, and the kind of its own keys: signed ones stay whole numbers of 64 bits whatever the plan has."""
+    own = chunking.WIDE if spec.unsigned else chunking.KEY
+    bounds = [F.col(c).cast(own).alias(c) for c in ("min_pk", "max_pk")]
+    return widths.where(F.col("table_name") == spec.name).select(F.col("tenant"), *bounds, "step", "wide"), own
+
+
+def _numbered(df: DataFrame, spec: TableSpec, widths: DataFrame) -> DataFrame:
+    """Rows inside a planned slice with the slice's columns, and the chunk's number in it as ``__number``."""
+    mine, own = _slices(spec, widths)
+    pk = spec.chunk_key
+    joined = df.join(mine, spec.tenant == F.col("tenant")).where(pk.between(F.col("min_pk"), F.col("max_pk")))
+    return joined.withColumn("__number", chunking.number_of(pk, F.col("min_pk"), F.col("step"), F.col("wide"), own))
+
+
+def _start(spec: TableSpec, widths: DataFrame) -> Column:
+    own = chunking.WIDE if spec.unsigned else chunking.KEY
+    start = chunking.nth_start(F.col("min_pk"), F.col("step"), F.col("__number"), F.col("wide"), own)
+    return start.cast(chunking.key_kind(widths))
+
+
+def _marked(only: DataFrame, spec: TableSpec, widths: DataFrame) -> DataFrame:
+    """Chunks as bits: a row for each 64 neighbouring numbers of a slice of which one is listed."""
+    listed = only.where(F.col("table_name") == spec.name).select("tenant", F.col("start_pk").alias("__listed"))
+    mine, own = _slices(spec, widths)
+    key = F.col("__listed").cast(own)
+    number = chunking.number_of(key, F.col("min_pk"), F.col("step"), F.col("wide"), own)
+    found = listed.join(mine, "tenant").where(key.between(F.col("min_pk"), F.col("max_pk"))).withColumn("__number", number)
+    found = found.where(_start(spec, widths) == F.col("__listed"))  # of another plan
+    word = F.shiftright("__number", 6).alias("__word")
+    bit = F.expr("shiftleft(1L, cast(__number & 63 as int))")
+    return found.groupBy(F.col("tenant").alias("__tenant"), word).agg(F.bit_or(bit).alias("__bits"))
+
+
 def assign_chunks(
     df: DataFrame, spec: TableSpec, widths: DataFrame, only: DataFrame | None = None, splits: DataFrame | None = None,
 ) -> DataFrame:
@@ -47,24 +81,29 @@ def assign_chunks(
     An equi join on the tenant plus arithmetic, and one more on the chunk for each level of ``splits``. Rows outside
     the planned key span, such as those added after planning, belong to no chunk. Pass materialised
     widths: their size then decides whether they are broadcast; if not, AQE splits the partitions of a hot tenant.
+    The chunks in ``only`` are written first as bits, 64 to a row, so that rows are seldom shuffled to look them up.
     """
-    mine = widths.where(F.col("table_name") == spec.name).select(
-        F.col("tenant"), "min_pk", "max_pk", "step", "wide"
-    )
-    pk = spec.chunk_key
-    joined = df.join(mine, spec.tenant == F.col("tenant")).where(pk.between(F.col("min_pk"), F.col("max_pk")))
-    start = chunking.start_of(pk, F.col("min_pk"), F.col("step"), F.col("wide"), chunking.key_kind(widths))
-    rows = joined.withColumn("start_pk", start).drop("min_pk", "max_pk", "step", "wide")
+    rows = _numbered(df, spec, widths)
+    if only is not None and splits is None:
+        marked = materialise(_marked(only, spec, widths), "marked")
+        there = (F.col("tenant") == F.col("__tenant")) & (F.shiftright("__number", 6) == F.col("__word"))
+        rows = rows.join(marked, there & F.expr("shiftright(__bits, cast(__number & 63 as int)) & 1 = 1"), "left_semi")
+    rows = rows.withColumn("start_pk", _start(spec, widths)).drop("min_pk", "max_pk", "step", "wide", "__number")
     if splits is not None:
         of_table = splits.where(F.col("table_name") == spec.name)
         for level in range(1, (of_table.agg(F.max("level")).first()[0] or 0) + 1):
             rows = split_rows(rows, spec, of_table.where(F.col("level") == level))
-    if only is not None:
-        listed = only.where(F.col("table_name") == spec.name).select("tenant", "start_pk")
-        rows = rows.join(listed, ["tenant", "start_pk"], "left_semi")
+        rows = _listed(rows, spec, only)
     return rows
 
 
+def _listed(rows: DataFrame, spec: TableSpec, only: DataFrame | None) -> DataFrame:
+    if only is None:
+        return rows
+    listed = only.where(F.col("table_name") == spec.name).select("tenant", "start_pk")
+    return rows.join(listed, ["tenant", "start_pk"], "left_semi")
+
+
 def split_rows(rows: DataFrame, spec: TableSpec, level: DataFrame) -> DataFrame:
     """Rows of the chunks that ``level`` splits go to the part they lie in; those between its parts to none."""
     at = [F.col(f"__{c}") for c in ("min_pk", "max_pk", "step", "wide")]
@@ -111,10 +150,11 @@ def even_chunks(widths: DataFrame, splits: DataFrame) -> DataFrame:
 def chunk_counts(
     df: DataFrame, spec: TableSpec, widths: DataFrame, only: DataFrame | None = None, splits: DataFrame | None = None,
 ) -> DataFrame:
-    """Rows per non-empty chunk."""
+    """Rows per non-empty chunk. Counted by the chunk's number, then looked up: a list of chunks meets counts, not rows."""
     keys = df.select(*dict.fromkeys([spec.tenant_col, *spec.pk]))
-    return (
-        assign_chunks(keys, spec, widths, only, splits)
-        .groupBy("tenant", "start_pk").agg(F.count("*").alias("n"))
-        .select("tenant", F.lit(spec.name).alias("table_name"), "start_pk", "n")
-    )
+    if splits is None:
+        counts = _numbered(keys, spec, widths).groupBy("tenant", "__number").agg(F.count("*").alias("n"))
+        counts = counts.join(_slices(spec, widths)[0], "tenant").withColumn("start_pk", _start(spec, widths))
+    else:
+        counts = assign_chunks(keys, spec, widths, None, splits).groupBy("tenant", "start_pk").agg(F.count("*").alias("n"))
+    return _listed(counts, spec, only).select("tenant", F.lit(spec.name).alias("table_name"), "start_pk", "n")

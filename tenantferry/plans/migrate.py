@@ -20,8 +20,10 @@ from tenantferry.plans.planning import Plan
 from tenantferry.session import materialise, metadata_rows, scratch
 from tenantferry.sources.slices import jdbc_chunks, jdbc_waves
 
-#: Most key ranges, and most tenants, by which the scan of a table is narrowed.
+#: Most key ranges, and most tenants, by which the scan of a table is narrowed. A range more costs each row a comparison, so
+#: neighbours become one where their gap is under this part of the span; all such gaps together are under a 64th of it.
 RANGES, TENANTS = 64, 200
+GAP = 4096
 
 
 def pending_rows(source: DataFrame, spec, widths: DataFrame, pending: DataFrame | None, splits: DataFrame | None = None) -> DataFrame:
@@ -33,7 +35,7 @@ def pending_ranges(pending: DataFrame, most: int = RANGES) -> dict[str, list[tup
     """The keys of each table's pending chunks, of all tenants together, as at most ``most`` ranges in order.
 
     The span of the chunks is cut into ``most`` cells; a cell's range goes from the first pending key in it to the last.
-    Two grouped aggregates, and at most ``most`` rows a table reach the driver.
+    Ranges with next to nothing between them are joined up. Two grouped aggregates, and at most ``most`` rows a table reach the driver.
     """
     wide = "decimal(38,0)"
     hull = pending.groupBy("table_name").agg(F.min("start_pk").cast(wide).alias("lo"), F.max("end_pk").cast(wide).alias("hi"))
@@ -46,9 +48,9 @@ def pending_ranges(pending: DataFrame, most: int = RANGES) -> dict[str, list[tup
     found = cells.groupBy("table_name", "cell").agg(
         F.min(F.greatest(start, first)).alias("a"), F.max(F.least(end, first + F.col("width") - 1)).alias("b"))
     out: dict[str, list[tuple[int, int]]] = {}
-    for r in found.orderBy("table_name", "a").collect():
+    for r in found.join(hull, "table_name").orderBy("table_name", "a").collect():
         ranges, a, b = out.setdefault(r.table_name, []), int(r.a), int(r.b)
-        if ranges and ranges[-1][1] >= a - 1:
+        if ranges and a - ranges[-1][1] - 1 <= (int(r.hi) - int(r.lo)) // GAP:
             ranges[-1] = (ranges[-1][0], max(ranges[-1][1], b))
         else:
             ranges.append((a, b))

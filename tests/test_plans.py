@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from feeds import ROW, SPECS, frame, random_events
 from tenantferry import verify
-from tenantferry.operators.chunks import chunk_counts, explode_chunks
+from tenantferry.operators.chunks import _marked, chunk_counts, explode_chunks
 from tenantferry.operators.merge import latest_per_key
 from tenantferry.operators.parity import slice_metrics
 from tenantferry.operators.stats import slice_stats, with_widths
@@ -118,6 +118,29 @@ def test_ranges_are_bounded_and_cover_what_is_pending(spark):
         assert (ranges[0][0], ranges[-1][1]) == (min(c[2] for c in chunks), max(c[3] for c in chunks))
 
 
+def test_ranges_with_next_to_nothing_between_them_are_one(spark):
+    chunks = spark.range(30_000).selectExpr("'a' as tenant", "'x' as table_name", "id * 10 as start_pk", "id * 10 + 9 as end_pk")
+    assert pending_ranges(chunks.where("start_pk % 30 = 0"))["x"] == [(0, 299_979)]
+    assert pending_ranges(chunks.where("start_pk < 1000 or start_pk >= 299000"))["x"] == [(0, 999), (299_000, 299_999)]
+
+
+def test_listed_chunks_are_looked_up_as_bits(table, spark):
+    df, spec = table
+    widths = materialise(with_widths(slice_stats(df, spec), 2), "widths")
+    every = materialise(explode_chunks(widths), "chunks")
+    todo = every.where("chunk_no % 3 = 0").select("tenant", "table_name", "start_pk", "end_pk")
+    off = todo.withColumn("start_pk", F.col("start_pk") + 1)  # no chunk of this plan starts there
+    rows = pending_rows(df, spec, widths, todo.unionByName(off.where("end_pk > start_pk")))
+    starts = {(r.tenant, r.start_pk, r.end_pk) for r in todo.collect()}
+    want = sorted(r.id for r in df.select("id", "account_id").collect() if any(t == r.account_id and a <= r.id <= b for t, a, b in starts))
+    assert sorted(r.id for r in rows.select("id").collect()) == want
+    counts = {(r.tenant, r.start_pk): r.n for r in chunk_counts(df, spec, widths, todo).collect()}
+    assert sum(counts.values()) == len(want) and set(counts) <= {(t, a) for t, a, _ in starts}
+    # a row of the list stands for 64 chunks, so the list is broadcast where chunk by chunk it would not be
+    marked = _marked(every, spec, widths)
+    assert marked.count() <= every.count() / 64 + widths.count()
+
+
 def test_newest_change_combines_before_the_shuffle(spark):
     changes = tenant_changes(frame(spark, random_events(50)), SPECS, "src")
     text = explained(latest_per_key(changes, ["id", "table_name"]))
