@@ -121,10 +121,12 @@ def units(text: Column, v: Vocabulary) -> Column:
     """The units of a text, in order; joined they are the text with white space escaped."""
     marks = v.cuts()
     before = "".join("\\" + c for c in marks)
-    word = rf"[^\p{{L}}{SPACE}\n]*+\p{{L}}++"
-    pattern = rf"\n|{SPACE}*+{word}(?=[{before}])|{SPACE}*+[^{SPACE}\n]++|{SPACE}++" if marks else rf"\n|{SPACE}*+[^{SPACE}\n]++|{SPACE}++"
+    rest = rf"[^{SPACE}\n]"
+    # a word is walked over once, whether it is cut before a mark or goes on to the next white space
+    word = rf"{SPACE}*+[^\p{{L}}{SPACE}\n]*+\p{{L}}++(?:(?=[{before}])|{rest}*+)|" if marks else ""
+    pattern = rf"\n|{word}{SPACE}*+{rest}++|{SPACE}++"
     text = F.coalesce(text, F.lit(""))
-    escaped = F.concat(F.lit(SPACE if v.dummy_prefix else ""), F.translate(text, " ", SPACE))
+    escaped = F.concat(F.lit(SPACE if v.dummy_prefix else ""), F.replace(text, F.lit(" "), F.lit(SPACE)))
     return F.when(text == "", F.array().cast("array<string>")).otherwise(F.regexp_extract_all(escaped, F.lit(pattern), F.lit(0)))
 
 
