@@ -39,6 +39,7 @@ SPACE = "▁"
 #: Units in the broadcast dictionary at most, and documents they are taken from.
 HOT_UNITS, HOT_DOCUMENTS = 150_000, 20_000
 LONG = 60  # with its ends, a unit's borders fit the bits of a number
+LAST = (1 << 32) - 1  # after the place of any score
 
 
 @dataclass
@@ -138,15 +139,31 @@ def _edge(edges: Column, start: Column, length: Column) -> Column:
     return F.element_at(edges, start * 1000 + length)
 
 
+def _bits() -> Column:
+    """An edge as numbers: a key that sorts by score, then place; its ends as borders, and the borders between them, as bits.
+
+    The key holds the place of the score, the start from 0 and, from 1, the id. Single characters come last,
+    since nothing is merged into them; the id of one that has no piece is 0.
+    """
+    key = F.expr(f"(case when len = 1 then {LAST}L else place end << 30) | cast(start - 1 as long) << 24 | coalesce(id + 1, 0)").alias("key")
+    ends = F.expr("(1L << (start - 1)) | (1L << (start + len - 1))").alias("ends")
+    return F.struct(key, ends, F.expr("((1L << (len - 1)) - 1L) << start").alias("inner"))
+
+
 def _merged(edges: Column, n: Column) -> Column:
-    """Borders, as bits, after the merges of the edges in their order."""
+    """The path that is left after the merges of the edges in their order, as starts and ids; borders are the bits of a number."""
     def step(borders: Column, x: Column) -> Column:
         inside = borders.bitwiseAND(x["inner"])
         merge = (F.bit_count(inside) == 1) & (borders.bitwiseAND(x["ends"]) == x["ends"])
         return F.when(merge, borders.bitwiseXOR(inside)).otherwise(borders)
 
+    def path(borders: Column) -> Column:
+        between = F.filter(edges, lambda x: (borders.bitwiseAND(x["inner"]) == 0) & (borders.bitwiseAND(x["ends"]) == x["ends"]))
+        return F.sort_array(F.transform(between, lambda x: x["key"].bitwiseAND((1 << 30) - 1)))
+
     every = F.call_function("shiftleft", F.lit(1).cast("long"), n + 1) - F.lit(1).cast("long")
-    return F.aggregate(edges, every, step)
+    # the characters take no part; the path is the fold's last step, since a column of borders might be computed for each edge
+    return F.aggregate(F.slice(edges, F.lit(1), F.size(edges) - n), every, step, path)
 
 
 def _bytes(u: Column, at: Column, v: Vocabulary) -> Column:
@@ -157,13 +174,11 @@ def _bytes(u: Column, at: Column, v: Vocabulary) -> Column:
         number, F.conv(F.substring(digits, 2 * j + 1, F.lit(2)), 16, 10).cast("int")))
 
 
-def _merged_ids(u: Column, edges: Column, borders: Column, v: Vocabulary) -> Column:
-    """The ids of the edges between neighbouring borders; by their ends, which go up along the unit."""
-    path = F.filter(edges, lambda x: (borders.bitwiseAND(x["ends"]) == x["ends"]) & (borders.bitwiseAND(x["inner"]) == 0))
-    path = F.array_sort(F.transform(path, lambda x: F.struct(x["ends"], x["id"], x["at"])))
-    plain = F.transform(path, lambda x: x["id"])
-    spelt = F.flatten(F.transform(path, lambda x: F.when(x["id"].isNotNull(), F.array(x["id"])).otherwise(_bytes(u, (x["at"] % 256).cast("int"), v))))
-    return F.when(F.exists(plain, lambda i: i.isNull()), spelt).otherwise(plain)
+def _merged_ids(u: Column, path: Column, v: Vocabulary) -> Column:
+    """The ids of a path."""
+    number = lambda x: (x.bitwiseAND((1 << 24) - 1) - 1).cast("int")
+    spelt = F.flatten(F.transform(path, lambda x: F.when(number(x) >= 0, F.array(number(x))).otherwise(_bytes(u, (F.shiftright(x, 24) + 1).cast("int"), v))))
+    return F.when(F.exists(path, lambda x: number(x) < 0), spelt).otherwise(F.transform(path, number))
 
 
 def _viterbi(edges: Column, n: Column, longest: int, unknown: float) -> Column:
@@ -214,13 +229,9 @@ def dictionary(distinct: DataFrame, pieces: DataFrame, v: Vocabulary) -> DataFra
     edges = sub.join(F.broadcast(pieces), (F.col("hash") == F.col("h")) & _same("piece", "p"), "left").filter("id is not null or len = 1")
     n = F.length("u")
     if v.bpe:
-        # single characters last: nothing is merged into them
-        at = F.expr("case when len = 1 then 1L << 40 else place << 8 end + start").alias("at")
-        ends = F.expr("(1L << (start - 1)) | (1L << (start + len - 1))").alias("ends")
-        inner = F.expr("((1L << (len - 1)) - 1L) << start").alias("inner")
-        grouped = edges.select("u", F.struct(at, ends, inner, "id").alias("e")).groupBy("u").agg(F.array_sort(F.collect_list("e")).alias("e"))
-        merged = grouped.select("u", "e", _merged(F.col("e"), n).alias("b"))
-        return merged.select("u", _merged_ids(F.col("u"), F.col("e"), F.col("b"), v).alias("ids"))
+        grouped = edges.select("u", _bits().alias("e")).groupBy("u").agg(F.sort_array(F.collect_list("e")).alias("e"))
+        paths = grouped.select("u", _merged(F.col("e"), n).alias("path"))
+        return paths.select("u", _merged_ids(F.col("u"), F.col("path"), v).alias("ids"))
     edge = F.struct((F.col("start") * 1000 + F.col("len")).alias("key"), F.struct("score", "id").alias("value"))
     grouped = edges.groupBy("u").agg(F.collect_list(edge).alias("e"), F.collect_list(F.when(F.col("len") == 1, F.struct("start", "id"))).alias("one"))
     lattice = grouped.select("u", F.map_from_entries("e").alias("e"), F.transform(F.array_sort("one"), lambda x: x["id"]).alias("one"))
@@ -325,12 +336,13 @@ def occurrences(docs: DataFrame, v: Vocabulary, id_col: str = "doc_id", text_col
     each = rows.select("row", "doc_id", F.posexplode_outer("us").alias("pos", "u")).withColumn("hash", F.xxhash64("u"))
     is_hot = (F.col("hash") == F.col("h")) & _same("u", "hu")
     frequent = each.join(F.broadcast(hot), is_hot, "left")
-    rare = materialise(each.filter("u is not null").join(F.broadcast(hot), is_hot, "left_anti").select("row", "doc_id", "pos", "u"), "rare-units")
+    rare = materialise(each.filter("u is not null").join(F.broadcast(hot), is_hot, "left_anti").select("row", "pos", "u"), "rare-units")
     folds = foldable(F.col("u"), v)
     n = parts(rare.count())
     tail = dictionary(rare.filter(folds).select("u").repartition(n, "u").distinct(), pieces, v)
     columns = ["row", "pos", "u", "ids", "ok"]
-    folded = rare.filter(folds).select("row", "pos", "u").repartition(n, "u").join(checked(tail), "u").select(columns)
+    # a part's dictionary has few units, so that the occurrences need no sort
+    folded = rare.filter(folds).select("row", "pos", "u").repartition(n, "u").join(checked(tail).hint("shuffle_hash"), "u").select(columns)
     other = rare.filter(~folds).select("row", "pos", "u").mapInPandas(LongUnits(v).run, "row long, pos int, u string, ids array<int>")
     return frequent.select("row", "doc_id", "pos", "u", "ids", "ok"), [folded, checked(other).select(columns)]
 
